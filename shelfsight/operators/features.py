@@ -294,7 +294,8 @@ def one_hot_stages(columns: Sequence[str]) -> list:
     index, hot = [f"{c}_index" for c in columns], [f"{c}_hot" for c in columns]
     return [
         StringIndexer(inputCols=list(columns), outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True, handleInvalid="keep"),
+        # The index kept for unseen values comes last, so dropping the last one leaves them all zeros.
+        OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True),
     ]
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfsight.workload import q_clean, q_reports  # noqa: F401
+from shelfsight.workload import q_clean, q_evaluate, q_features, q_models, q_reports, q_sources  # noqa: F401
 from shelfsight.workload.registry import ORACLES, QUERIES
 
 
