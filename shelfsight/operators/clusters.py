@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,8 +55,8 @@ def silhouette_rows(
     rows is ever emitted.
     """
     spark = df.sparkSession
-    kind = df.schema[features].dataType.typeName()
-    vector = vector_to_array(features) if kind == "vector" else F.col(features).cast("array<double>")
+    is_vector = isinstance(df.schema[features].dataType, VectorUDT)
+    vector = vector_to_array(features) if is_vector else F.col(features).cast("array<double>")
     taken = uniform_sample(df.select(*ids, F.col(cluster).cast("int").alias("cluster"), vector.alias("_x")), ids, sample, seed)
     rows = taken.orderBy(*ids).toPandas()
     if rows.empty:

@@ -129,6 +129,14 @@ def most_frequent(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     return {r["column"]: r["value"] for r in text_values(df, columns).groupBy("column").agg(ranked).collect()}
 
 
+def typical_values(df: DataFrame) -> dict[str, float | str | None]:
+    """The median of every numeric column and the most frequent value of every text column."""
+    medians = exact_quantiles(df, clean.numeric_columns(df), [0.5])
+    texts = clean.text_columns(df)
+    frequent = most_frequent(df, texts)
+    return {**{c: q[0] for c, q in medians.items()}, **{c: frequent.get(c, "Unknown") for c in texts}}
+
+
 class ImputeModel(_Learned):
     def _transform(self, df: DataFrame) -> DataFrame:
         fills = {c: v for c, v in self.learned["fills"].items() if c in df.columns and v is not None}
@@ -160,14 +168,9 @@ class Impute(Estimator, _Saved):
 
     def _fit(self, df: DataFrame) -> ImputeModel:
         fixed = {c: v for c, v in json.loads(self.getOrDefault(self.overrides)).items() if c in df.columns}
-        numeric = clean.numeric_columns(df)
-        medians = exact_quantiles(df, [c for c in numeric if c not in fixed], [0.5])
-        texts = [c for c in clean.text_columns(df) if c not in fixed]
-        frequent = most_frequent(df, texts)
         shares, low = null_shares(df), self.getOrDefault(self.lowThreshold)
         return ImputeModel({
-            "fills": {**{c: q[0] for c, q in medians.items()}, **{c: frequent.get(c, "Unknown") for c in texts}, **fixed},
-            "numeric": numeric,
+            "fills": {**typical_values(df.drop(*fixed)), **fixed}, "numeric": clean.numeric_columns(df),
             "simple": [c for c, s in shares.items() if 0 < s <= low],
             "complex": [c for c, s in shares.items() if s > low],
         })
@@ -333,7 +336,8 @@ class _ImputeFeatures(Estimator, _Saved):
         self._set(columns=list(columns or []))
 
     def _fit(self, df: DataFrame) -> ImputeModel:
-        return Impute().fit(df.select(*self.getOrDefault(self.columns)))
+        named = df.select(*self.getOrDefault(self.columns))
+        return ImputeModel({"fills": typical_values(named), "numeric": clean.numeric_columns(named), "simple": [], "complex": []})
 
 
 def feature_names(df: DataFrame, column: str = "features") -> list[str]:

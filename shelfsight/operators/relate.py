@@ -41,7 +41,7 @@ def reviews_with_products(
 
 def not_in_cache(df: DataFrame, cache: DataFrame, key: str = "author_id") -> DataFrame:
     """Rows whose key, read as text, the cache does not hold. A missing key is never cached."""
-    known = cache.select(F.col(key).cast("string").alias("_known")).distinct()
+    known = cache.select(F.col(key).cast("string").alias("_known"))
     return df.join(known, df[key].cast("string") == known["_known"], "left_anti")
 
 

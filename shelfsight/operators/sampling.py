@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from shelfsight.session import broadcast_if_small
 
 HASH_BITS = 60
-RANGE_BITS = 12
+RANGE_BITS = 16
 
 
 def sample_hash(ids: Sequence[str], seed: int = 42) -> Column:
@@ -149,13 +149,12 @@ def stratified_folds(df: DataFrame, label: str, ids: Sequence[str], folds: int =
     hashed = df.withColumn("_h", sample_hash(ids, seed)).withColumn("_r", _hash_range("_h"))
     ranges = hashed.groupBy(label, "_r").agg(F.count(F.lit(1)).alias("_rows"))
     upto = Window.partitionBy(label).orderBy("_r").rowsBetween(Window.unboundedPreceding, 0)
-    before = broadcast_if_small(
-        ranges.select(
-            F.col(label).alias("_c0"), F.col("_r").alias("_r0"),
-            (F.sum("_rows").over(upto) - F.col("_rows")).alias("_before"),
-        )
+    before = ranges.select(
+        F.col(label).alias("_c0"), F.col("_r").alias("_r0"),
+        (F.sum("_rows").over(upto) - F.col("_rows")).alias("_before"),
     )
-    # Each (class, hash range) is an even slice of a class, so no task gets a whole class.
+    # Each (class, hash range) is an even slice of a class, so no task gets a whole class. The join
+    # and the window share one shuffle.
     within = Window.partitionBy(label, "_r").orderBy("_h", *ids)
     return (
         hashed.join(before, hashed[label].eqNullSafe(before["_c0"]) & (F.col("_r") == F.col("_r0")))

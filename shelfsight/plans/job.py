@@ -87,6 +87,9 @@ def run_job(
     def take() -> dict:
         products, reviews = extract()
         loaded = load_raw(warehouse, products, reviews)
+        # What this run has just stored is read from the store: the sources are scanned once.
+        products = warehouse.read("raw_products") if "raw_products" in loaded else products
+        reviews = warehouse.read("raw_reviews") if "raw_reviews" in loaded else reviews
         if review_limit is not None:
             reviews = uniform_sample(reviews, list(review_ids), review_limit)
         cache = warehouse.read_or_empty("sentiment_cache", SENTIMENT_SCHEMA) if use_cache else None

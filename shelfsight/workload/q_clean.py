@@ -308,14 +308,16 @@ def _(spark, d):
 @query("J05_compare_manifests", """
     SELECT coalesce(a.file, b.file) AS file, a.sha256, b.saved_sha256,
       CASE WHEN b.saved_sha256 IS NULL THEN 'new' WHEN a.sha256 IS NULL THEN 'gone' WHEN a.sha256 <> b.saved_sha256 THEN 'changed' ELSE 'ok' END AS status
-    FROM (SELECT url AS file, sha256(html) AS sha256 FROM pages WHERE page_id % 10 <> 0) a
-    FULL JOIN (SELECT url AS file, sha256(html || CASE WHEN page_id % 4 = 0 THEN ' ' ELSE '' END) AS saved_sha256 FROM pages WHERE page_id % 9 <> 0) b ON a.file = b.file""")
+    FROM (SELECT CAST(page_id AS VARCHAR) AS file, sha256(html) AS sha256 FROM pages) a
+    FULL JOIN (SELECT CASE WHEN page_id % 9 = 0 THEN 'old ' ELSE '' END || CAST(page_id AS VARCHAR) AS file,
+      sha256(html || CASE WHEN page_id % 4 = 0 THEN ' ' ELSE '' END) AS saved_sha256 FROM pages) b ON a.file = b.file""")
 def _(spark, d):
     pages = roles.table(spark, d, "pages")
-    now = pages.where("page_id % 10 <> 0").select(F.col("url").alias("file"), F.sha2("html", 256).alias("sha256"))
+    name = F.col("page_id").cast("string")
+    now = pages.select(name.alias("file"), F.sha2("html", 256).alias("sha256"))
     before = F.concat("html", F.when(F.col("page_id") % 4 == 0, " ").otherwise(""))
-    saved = pages.where("page_id % 9 <> 0").select(F.col("url").alias("file"), F.sha2(before, 256).alias("sha256"))
-    return relate.compare_manifests(now, saved)
+    renamed = F.concat(F.when(F.col("page_id") % 9 == 0, "old ").otherwise(""), name)
+    return relate.compare_manifests(now, pages.select(renamed.alias("file"), F.sha2(before, 256).alias("sha256")))
 
 
 @query("U01_union_by_name", """

@@ -209,7 +209,7 @@ def _count(words: list[str]) -> str:
 
 SCORED = f"""
     SELECT *, CASE WHEN ups = downs THEN 'neutral' WHEN ups > downs THEN 'positive' ELSE 'negative' END AS sentiment,
-      CASE WHEN ups = downs THEN 0.5::DOUBLE ELSE round(greatest(ups, downs) / (ups + downs)::DOUBLE, 4) END AS sentiment_score
+      CASE WHEN ups = downs THEN 0.5::DOUBLE ELSE round_even(greatest(ups, downs) / (ups + downs)::DOUBLE, 4) END AS sentiment_score
     FROM (SELECT *, {_count(GOOD)} AS ups, {_count(BAD)} AS downs FROM document_reviews)"""
 
 
