@@ -4,17 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DataType, DoubleType, FloatType, NumericType, StringType
+
+# Fixed value: text that reads as a number. Testing it first keeps the cast from raising, which is
+# slow on text, and from accepting forms like '1d'.
+NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 
 
 def nan_to_null(col: Column) -> Column:
     return F.when(~F.isnan(col), col)
 
 
-def to_number(col: Column) -> Column:
-    """Double, or null for text that is no number. NaN counts as missing throughout."""
-    # A JVM parser would accept '1d' and '1f' as numbers.
-    looks_numeric = ~F.coalesce(col.cast("string").rlike(r"[0-9.][dDfF]\s*$"), F.lit(False))
-    return nan_to_null(F.when(looks_numeric, col.try_cast("double")))
+def to_number(col: Column, kind: DataType | None = None) -> Column:
+    """Double from a column of type ``kind`` (text, if not given); null where it is no number or NaN."""
+    kind = kind or StringType()
+    if isinstance(kind, (DoubleType, FloatType)):
+        return nan_to_null(col.cast("double"))
+    if isinstance(kind, (NumericType, BooleanType)):
+        return col.cast("double")
+    return F.when(col.rlike(NUMBER), col.try_cast("double"))
 
 
 def parse_price(col: Column) -> Column:

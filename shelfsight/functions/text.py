@@ -9,7 +9,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shelfsight.schemas import (
-    DEMOGRAPHIC_NULL_TOKENS,
     SENTIMENT_LABELS,
     TEXT_NULL_TOKENS,
     UNKNOWN_PATTERN,
@@ -30,10 +29,6 @@ def clean_text(col: Column) -> Column:
     return null_if_in(strip(col), TEXT_NULL_TOKENS)
 
 
-def clean_demographic(col: Column) -> Column:
-    return null_if_in(F.lower(strip(col)), DEMOGRAPHIC_NULL_TOKENS)
-
-
 def null_if_unknown(col: Column, ignore_case: bool = True) -> Column:
     pattern = f"(?i){UNKNOWN_PATTERN}" if ignore_case else UNKNOWN_PATTERN
     return F.when(~col.rlike(pattern), col)

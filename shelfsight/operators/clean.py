@@ -25,11 +25,13 @@ from shelfsight.functions import numbers, text
 from shelfsight.schemas import (
     CSV_NULL_TOKENS,
     DEMOGRAPHIC_COLUMNS,
+    DEMOGRAPHIC_NULL_TOKENS,
     FEEDBACK_COLUMNS,
     JOIN_LEFTOVERS,
     JOIN_RENAMES,
     PRODUCT_SCHEMA,
     REVIEW_SCHEMA,
+    TEXT_NULL_TOKENS,
 )
 
 
@@ -76,7 +78,9 @@ def null_tokens(df: DataFrame, tokens: Sequence[str] = CSV_NULL_TOKENS) -> DataF
 
 
 def clean_text_columns(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    return each(df, text_columns(df) if columns is None else columns, text.clean_text)
+    names = text_columns(df) if columns is None else columns
+    # Two steps, so that each text is trimmed once although the second looks at it twice.
+    return each(each(df, names, text.strip), names, lambda c: text.null_if_in(c, TEXT_NULL_TOKENS))
 
 
 def unknown_to_null(df: DataFrame, columns: Iterable[str] | None = None, ignore_case: bool = True) -> DataFrame:
@@ -85,19 +89,25 @@ def unknown_to_null(df: DataFrame, columns: Iterable[str] | None = None, ignore_
 
 
 def clean_demographics(df: DataFrame, columns: Iterable[str] = tuple(DEMOGRAPHIC_COLUMNS)) -> DataFrame:
-    return each(df, columns, text.clean_demographic)
+    lowered = each(df, columns, lambda c: F.lower(text.strip(c)))
+    return each(lowered, columns, lambda c: text.null_if_in(c, DEMOGRAPHIC_NULL_TOKENS))
 
 
 def plain_word_columns(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     return each(df, text_columns(df) if columns is None else columns, text.plain_words)
 
 
+def as_number(df: DataFrame, name: str) -> Column:
+    """The column as double, null where it holds no number."""
+    return numbers.to_number(F.col(f"`{name}`"), df.schema[name].dataType)
+
+
 def coerce_numbers(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    return each(df, columns, numbers.to_number)
+    return df.withColumns({c: as_number(df, c) for c in columns if c in df.columns})
 
 
 def fill_feedback(df: DataFrame, columns: Iterable[str] = tuple(FEEDBACK_COLUMNS)) -> DataFrame:
-    return each(df, columns, lambda c: F.coalesce(numbers.to_number(c), F.lit(0.0)))
+    return df.withColumns({c: F.coalesce(as_number(df, c), F.lit(0.0)) for c in columns if c in df.columns})
 
 
 def add_catalog_columns(df: DataFrame) -> DataFrame:
@@ -199,12 +209,12 @@ def with_keys(df: DataFrame, keys: Sequence[str] = ("author_id", "product_id"))
 
 def with_label(df: DataFrame, label: str = "is_recommended") -> DataFrame:
     """Rows whose label is a number, with the label as a number."""
-    return df.withColumn(label, numbers.to_number(F.col(label))).where(F.col(label).isNotNull())
+    return coerce_numbers(df, [label]).where(F.col(label).isNotNull())
 
 
 def rating_in_range(df: DataFrame, fill: float | None, low: float = 1, high: float = 5) -> DataFrame:
     """Missing ratings take ``fill``; rows outside [low, high] go."""
-    rating = F.coalesce(numbers.to_number(F.col("rating")), F.lit(fill).cast("double"))
+    rating = F.coalesce(as_number(df, "rating"), F.lit(fill).cast("double"))
     return df.withColumn("rating", rating).where(F.col("rating").between(low, high))
 
 
@@ -216,7 +226,7 @@ def known_sentiment(df: DataFrame) -> DataFrame:
     # A missing label is not 'unknown', so it stays.
     kept = df.where(F.coalesce(F.col("sentiment") != "unknown", F.lit(True)))
     if "sentiment_score" in df.columns:
-        kept = kept.withColumn("sentiment_score", F.coalesce(numbers.to_number(F.col("sentiment_score")), F.lit(0.0)))
+        kept = kept.withColumn("sentiment_score", F.coalesce(as_number(kept, "sentiment_score"), F.lit(0.0)))
     return coerce_numbers(kept, ["is_recommended"])
 
 

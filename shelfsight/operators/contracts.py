@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfsight.functions.numbers import nan_to_null
+from shelfsight.operators.clean import as_number
 
 
 @dataclass(frozen=True)
@@ -44,9 +45,9 @@ class Field:
     nullable: bool = True
     checks: tuple[Check, ...] = ()
 
-    def value(self) -> Column:
-        cast = F.col(f"`{self.name}`").try_cast(self.kind)
-        return nan_to_null(cast) if self.kind == "double" else cast
+    def value(self, df: DataFrame) -> Column:
+        """The column of ``df`` in the declared type, null where it does not convert."""
+        return as_number(df, self.name) if self.kind == "double" else F.col(f"`{self.name}`").try_cast(self.kind)
 
 
 class ContractError(ValueError):
@@ -71,7 +72,7 @@ class Contract:
         for f in self.fields:
             if f.name not in df.columns:
                 continue
-            raw, value = F.col(f"`{f.name}`"), f.value()
+            raw, value = F.col(f"`{f.name}`"), f.value(df)
             given = nan_to_null(raw) if df.schema[f.name].dataType.simpleString() in ("double", "float") else raw
             if df.schema[f.name].dataType.simpleString() != f.kind:
                 found.append((f, f"coerce_dtype({f.kind})", given.isNotNull() & value.isNull()))
@@ -121,7 +122,7 @@ class Contract:
         return counts
 
     def coerced(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({f.name: f.value() for f in self.fields if f.name in df.columns})
+        return df.withColumns({f.name: f.value(df) for f in self.fields if f.name in df.columns})
 
     def validate(self, df: DataFrame, strict: bool = False) -> tuple[DataFrame, bool]:
         """(frame with declared types, True), or the frame as it came and False; strict raises instead."""

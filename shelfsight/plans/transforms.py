@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfsight.functions.numbers import clip, convert
-from shelfsight.functions.text import clean_text
 from shelfsight.operators import clean
 from shelfsight.operators.enrich import clean_sentiment
 from shelfsight.operators.quantiles import exact_quantiles
@@ -50,16 +49,18 @@ def clean_products(raw: DataFrame, rate: float | Column = 1.0, order: Sequence[s
 
 
 def clean_reviews(raw: DataFrame, order: Sequence[str] = ()) -> DataFrame:
-    """Identified, labelled reviews with a rating in 1..5, one per author and product."""
+    """Identified, labelled reviews with a rating in 1..5, one per author and product.
+
+    Cleaning text and counts touches neither keys nor which rows stay, so it waits until the repeats
+    are gone.
+    """
     named = clean.rename_simple(raw)
     labelled = clean.with_label(clean.with_keys(named))
-    median = None
     if "rating" in labelled.columns:
-        median = exact_quantiles(labelled, {"rating": clean.numbers.to_number(F.col("rating"))}, [0.5])["rating"][0]
+        median = exact_quantiles(labelled, {"rating": clean.as_number(labelled, "rating")}, [0.5])["rating"][0]
         labelled = clean.rating_in_range(labelled, median)
-    tidy = clean.each(labelled, ["review_text"], clean_text)
-    tidy = clean.clean_demographics(clean.fill_feedback(tidy))
-    return keep_first(tidy, ["author_id", "product_id"], order or named.columns)
+    first = keep_first(labelled, ["author_id", "product_id"], order or named.columns)
+    return clean.clean_demographics(clean.fill_feedback(clean.clean_text_columns(first, ["review_text"])))
 
 
 def clean_all(
