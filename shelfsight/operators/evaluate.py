@@ -9,6 +9,8 @@ each range, so that no task has to order all scores.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -141,7 +143,11 @@ def _running(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     )
     inside = Window.partitionBy(*by, "range").orderBy(F.desc("score"))
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    return counts.join(ranges, [*by, "range"]).select(
+    # Null-safe, so that both sides keep the same plan and Spark computes the counts once.
+    keys = [*by, "range"]
+    renamed = ranges.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(and_, [counts[k].eqNullSafe(renamed[f"_{k}"]) for k in keys])
+    return counts.join(renamed, same).select(
         *by, "score", "pos", "neg", "p", "q",
         (F.col("pos_above") + F.sum("pos").over(upto)).alias("tp"),
         (F.col("neg_above") + F.sum("neg").over(upto)).alias("fp"),

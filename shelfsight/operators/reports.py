@@ -115,14 +115,14 @@ def sentiment_distribution(sentiment: DataFrame) -> DataFrame:
 def class_distribution(df: DataFrame, column: str, digits: int = 4) -> DataFrame:
     """Rows and percentage per value; missing is a value of its own."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).scalar()  # over the counts, so the rows are read once
+    total = F.sum("n").over(Window.partitionBy())  # over one row per class; the table is read once
     return counts.withColumn("pct", F.round(F.col("n") * 100.0 / total, digits))
 
 
 def cluster_profile(df: DataFrame, cluster: str = "cluster", label: str = "is_recommended") -> DataFrame:
     """Size, recommended rows, their share, and the cluster's share of all rows."""
     totals = df.groupBy(cluster).agg(F.count(label).alias("total"), F.sum(label).cast("bigint").alias("recommended"))
-    everything = totals.agg(F.sum("total")).scalar()
+    everything = F.sum("total").over(Window.partitionBy())  # over one row per cluster
     return totals.select(
         cluster, "total", "recommended",
         percent(F.col("recommended"), F.col("total")).alias("pct_recommended"),

@@ -44,7 +44,8 @@ def mark_per_class(
     ``ids`` must tell rows apart.
     """
     keyed = df.select(*classes, *ids).withColumn("_h", sample_hash(ids, seed)).withColumn("_r", _hash_range("_h"))
-    ranges = keyed.groupBy(*classes, "_r").agg(F.count(F.lit(1)).alias("_rows"))
+    # At most 2 ** RANGE_BITS counts per class, looked at several times below.
+    ranges = keyed.groupBy(*classes, "_r").agg(F.count(F.lit(1)).alias("_rows")).persist()
     upto = Window.partitionBy(*classes).orderBy("_r").rowsBetween(Window.unboundedPreceding, 0)
     wanted = targets(ranges.groupBy(*classes).agg(F.sum("_rows").alias("n"))).select(
         *[F.col(c).alias(f"_c{i}") for i, c in enumerate(classes)], F.col("target").alias("_target")
@@ -60,6 +61,7 @@ def mark_per_class(
         )
     )
     cuts = broadcast_if_small(cuts)
+    ranges.unpersist()
     by_hash = Window.partitionBy(*[f"_c{i}" for i in range(len(classes))]).orderBy("_h", *ids)
     last = broadcast_if_small(
         keyed.join(cuts, _same_class(keyed, cuts, classes) & (F.col("_r") == F.col("_cut")))
@@ -110,12 +112,13 @@ def proportional(total: Callable[[Column], Column]) -> Callable[[DataFrame], Dat
     """
 
     def add(classes: DataFrame) -> DataFrame:
+        # All windows here run over one row per class.
         names = [c for c in classes.columns if c != "n"]
-        rows = classes.agg(F.sum("n")).scalar()
-        quota = total(rows) * F.col("n") / rows
-        split = classes.withColumn("_whole", F.floor(quota)).withColumn("_rest", quota - F.floor(quota))
-        spare = total(rows) - split.agg(F.sum("_whole")).scalar()
-        order = Window.orderBy(F.desc("_rest"), *names)  # one row per class
+        sized = classes.withColumn("_rows", F.sum("n").over(Window.partitionBy()))
+        quota = total(F.col("_rows")) * F.col("n") / F.col("_rows")
+        split = sized.withColumn("_whole", F.floor(quota)).withColumn("_rest", quota - F.floor(quota))
+        spare = total(F.col("_rows")) - F.sum("_whole").over(Window.partitionBy())
+        order = Window.orderBy(F.desc("_rest"), *names)
         return split.withColumn(
             "target", F.col("_whole") + (F.row_number().over(order) <= spare).cast("bigint")
         )

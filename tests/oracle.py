@@ -73,12 +73,18 @@ def compare(spark, con, name, run, sql, folder):
 
 def main():
     import __spark_entry__ as entry
-    from shelfsight.session import session
+    from pyspark.sql import SparkSession
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
-    spark = session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-                                          "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
+    # A plain session: results must not depend on our own settings.
+    builder = SparkSession.builder.master("local[8]").appName("oracle")
+    for key, value in {
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "8g", "spark.sql.session.timeZone": "UTC",
+    }.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(folder)
     oracles = entry.oracle_sql()
