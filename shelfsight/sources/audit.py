@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsight.operators.relate import compare_manifests
-from shelfsight.sources.csv import file_paths, read_csv
+from shelfsight.operators.relate import compare_manifests, union_by_name
+from shelfsight.sources.csv import layouts
 
 
 def checksums(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
@@ -19,18 +19,17 @@ def checksums(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataF
 
 
 def file_rows(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """(file, rows, cols) per CSV file."""
-    parts = []
-    for path in file_paths(spark, folder, pattern):
-        df = read_csv(spark, path)
-        parts.append(df.agg(
-            F.lit(path.rsplit("/", 1)[-1]).alias("file"), F.count(F.lit(1)).alias("rows"),
-            F.lit(len(df.columns)).alias("cols"),
-        ))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    """(file, rows, cols) per CSV file; files with the same header are counted together."""
+    counts, listed = [], []
+    for header, paths in layouts(spark, folder, pattern).items():
+        rows = spark.read.options(header=True, quote='"', escape='"', multiLine=True).csv(paths)
+        counts.append(rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("rows")))
+        listed += [(path.rsplit("/", 1)[-1], len(header)) for path in paths]
+    files = spark.createDataFrame(listed, "file string, cols int")
+    # A file with nothing but a header has no rows to group.
+    return files.join(union_by_name(counts), "file", "left").select(
+        "file", F.coalesce("rows", F.lit(0)).alias("rows"), "cols"
+    )
 
 
 def manifest(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:

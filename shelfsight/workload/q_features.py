@@ -83,10 +83,10 @@ def _(spark, d):
     return rounded(features.Cap(method="quantile", exclude=["listing"]).fit(rows).transform(rows))
 
 
-@query("T05_drop_sparse", sql(f"SELECT {KEY}, rating FROM raw_reviews WHERE (SELECT count(helpfulness) < 0.95 * count(*) FROM raw_reviews)", "raw_reviews"))
+@query("T05_drop_sparse", sql(f"SELECT {KEY}, rating FROM raw_reviews WHERE (SELECT count(helpfulness) < 0.92 * count(*) FROM raw_reviews)", "raw_reviews"))
 def _(spark, d):
     rows = roles.raw_reviews(spark, d).select(*KEYS, "rating", "helpfulness")
-    return features.DropSparse(threshold=0.05).fit(rows).transform(rows)
+    return features.DropSparse(threshold=0.08).fit(rows).transform(rows)
 
 
 @query("T06_drop_constant", "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice FROM lineitem")
