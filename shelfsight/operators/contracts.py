@@ -66,7 +66,7 @@ class Contract:
     def missing(self, df: DataFrame) -> list[str]:
         return [f.name for f in self.fields if f.name not in df.columns]
 
-    def _failures(self, df: DataFrame) -> list[tuple[Field, str, Column]]:
+    def failing(self, df: DataFrame) -> list[tuple[Field, str, Column]]:
         """(field, check name, condition true on a failing row) of every check that applies."""
         found = []
         for f in self.fields:
@@ -92,7 +92,7 @@ class Contract:
                     F.lit(check).alias("check"), F.col(f"`{f.name}`").cast("string").alias("failure_case"),
                 ),
             )
-            for f, check, failing in self._failures(df)
+            for f, check, failing in self.failing(df)
         ]
         spark = df.sparkSession
         schema = "schema_context string, column string, check string, failure_case string"
@@ -107,7 +107,7 @@ class Contract:
 
     def summary(self, df: DataFrame) -> DataFrame:
         """One row per check with its failure count, zero included; one pass, nothing shuffled but counts."""
-        failures = self._failures(df)
+        failures = self.failing(df)
         counted = df.agg(*[F.count_if(failing).alias(f"c{i}") for i, (_, _, failing) in enumerate(failures)])
         return counted.select(
             F.inline(F.array(*[

@@ -51,7 +51,7 @@ def _stage(run: Run, name: str, work: Callable[[], dict], stops: bool) -> bool:
 def _write_checked(warehouse: Warehouse, df: DataFrame, name: str, contract: Contract | None) -> dict:
     """Writes a table; its rows and contract failures are counted by the same pass."""
     seen = Observation(f"{name}-{time.monotonic_ns()}")
-    checks = [] if contract is None else contract._failures(df)
+    checks = [] if contract is None else contract.failing(df)
     watched = df.observe(
         seen, F.count(F.lit(1)).alias("rows"),
         *[F.coalesce(F.sum(failing.cast("bigint")), F.lit(0)).alias(f"c{i}") for i, (_, _, failing) in enumerate(checks)],
