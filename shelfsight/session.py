@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,16 +33,16 @@ def session(app_name: str = "shelfsight", master: str | None = None, **conf: str
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder name under ``spark.checkpoint.dir``, which every executor can reach.
+    """A new folder name below ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session without that setting gets a temporary folder; on a cluster the
+    A local session without that setting works below its warehouse folder. On a cluster the
     setting is required, since a machine-local path would be lost with its executor.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="shelfsight-")
+        root = spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/shelfsight/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -55,6 +54,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, root: str | None = None) -> None:
+    """Delete the working files below ``root`` (all of this session's folder by default).
+
+    Call it once no frame that reads them is needed any more, as at the end of a job.
+    """
+    root = root or shared_folder(spark, "any").rpartition("/")[0]
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """``df`` as a broadcast side when it holds at most ``max_rows`` rows, else ``df`` itself.
 
