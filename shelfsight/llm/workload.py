@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfsight.llm import exact_dedup, mixing  # noqa: F401
+from shelfsight.llm import embedding_dedup, exact_dedup, line_dedup, mixing, piece_codec, simhash, token_files  # noqa: F401
 from shelfsight.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
