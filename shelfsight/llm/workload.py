@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from shelfsight.llm import embedding_dedup, exact_dedup, line_dedup, mixing, piece_codec, simhash, token_files  # noqa: F401
+from shelfsight.llm import (  # noqa: F401
+    embedding_dedup,
+    exact_dedup,
+    html_extract,
+    line_dedup,
+    lm_scoring,
+    mixing,
+    piece_codec,
+    simhash,
+    token_files,
+    toxicity,
+)
 from shelfsight.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
