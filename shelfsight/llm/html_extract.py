@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsight.llm.registry import query, table
+from shelfsight.llm.registry import query, table, unused
 from shelfsight.session import written
 
 LEAST_IMPORTANCE = 0.3
@@ -192,18 +192,24 @@ def style_tree(pages: DataFrame) -> DataFrame:
 def main_text(html: str | None, unimportant: set[int]) -> str:
     """The texts of a page outside unimportant branches, one per line.
 
-    If the page marks its content (``article``, ``main`` or a name or role like that), only texts in it count,
-    and there only branches with a name of their own can be unimportant.
+    If the page marks its content (``article``, ``main`` or a name or role like that), only texts in it count;
+    what leads there is never unimportant, and inside only branches with a name of their own can be.
     """
     page = Page(html)
-    marked = any(node.content for node in page.nodes())
+    marked = [node for node in page.nodes() if node.content and not (node.parent and node.parent.content)]
+    leading: set[Node] = set()
+    for node in marked:
+        while (node := node.parent) is not None and node not in leading:
+            leading.add(node)
     found: list[str] = []
     waiting: list[Node | str] = [page.root]
     while waiting:
         node = waiting.pop()
         if isinstance(node, str):
             found.append(node)
-        elif not node.noise and not (unimportant and (node.named or not node.content) and _hash(node.style) in unimportant):
+        elif not node.noise and (
+            node in leading or not unimportant or (node.content and not node.named) or _hash(node.style) not in unimportant
+        ):
             waiting.extend(c for c in reversed(node.children) if isinstance(c, Node) or node.content or not marked)
     return "\n".join(found)
 
@@ -226,7 +232,8 @@ def extract_main_text(pages: DataFrame, least_importance: float = LEAST_IMPORTAN
     """
     marked = pages.select(host_of(F.col("url")).alias("host"), "html")
     low = style_tree(marked).where((F.col("importance") < least_importance) & (F.col("pages") >= least_pages))
-    low = written(low.groupBy(F.col("host").alias("_host")).agg(F.collect_set("path").alias("_low")), "unimportant")
+    host, paths = unused(pages, "_host"), unused(pages, "_paths")
+    low = written(low.groupBy(F.col("host").alias(host)).agg(F.collect_set("path").alias(paths)), "unimportant")
 
     @F.pandas_udf("string")
     def text(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -234,7 +241,7 @@ def extract_main_text(pages: DataFrame, least_importance: float = LEAST_IMPORTAN
             yield pd.Series([main_text(h, set() if u is None else set(u)) for h, u in zip(html, unimportant, strict=True)], dtype=object)
 
     rest = pages.drop("text")
-    return rest.join(low, host_of(F.col("url")) == F.col("_host"), "left").withColumn("text", text("html", "_low")).select(
+    return rest.join(low, host_of(F.col("url")) == F.col(host), "left").withColumn("text", text("html", paths)).select(
         *[F.col(f"`{c}`") for c in rest.columns], "text"
     )
 

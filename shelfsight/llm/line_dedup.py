@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsight.llm.registry import query, table
+from shelfsight.llm.registry import query, table, unused
 from shelfsight.session import shared_folder, written
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -118,7 +118,7 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: i
 
     Hashes of all lines are written once and go through :class:`LineRuns` in ``batches`` batches, split by a
     hash of the id. Lines to drop are found by joining the hashes with the repeated keys, then gathered per
-    document, never per line. Texts move once, to meet the lines they lose, unless Spark can broadcast these.
+    document, never per line. Texts move once, to meet the lines they lose.
 
     Null and empty texts are one empty line and become empty text. Each row counts as a document of its own;
     rows with the same id keep or lose a line together, and null ids lose it against any other id. An empty
@@ -136,18 +136,17 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: i
     for batch in range(batches):
         runs.add(keys.where(F.col("batch") == batch).select("key", "doc_id"))
     repeated = written(runs.totals().where(F.col("docs") >= min_docs).select("key", "last"), "repeated-lines")
+    drop_id, drop_keys, done = unused(docs, "_drop_id"), unused(docs, "_drops"), unused(docs, "_done")
     drops = (
         keys.join(repeated, "key").where(~F.col("doc_id").eqNullSafe(F.col("last")))
-        .groupBy(F.col("doc_id").alias("_drop_id")).agg(F.collect_set("key").alias("_drops"))
+        .groupBy(F.col("doc_id").alias(drop_id)).agg(F.collect_set("key").alias(drop_keys))
     )
     drops = written(drops, "line-drops")
     rest = docs.drop("n_lines", "n_dropped")
-    cleaned = (
-        rest.join(drops, F.col("doc_id").eqNullSafe(F.col("_drop_id")), "left")
-        .withColumn("_cleaned", _without(min_chars)("text", "_drops"))
-    )
+    cleaned = rest.join(drops, F.col("doc_id").eqNullSafe(F.col(drop_id)), "left").withColumn(done, _without(min_chars)("text", drop_keys))
     return cleaned.select(
-        *[F.col("_cleaned.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in rest.columns], "_cleaned.n_lines", "_cleaned.n_dropped"
+        *[F.col(f"{done}.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in rest.columns],
+        F.col(f"{done}.n_lines").alias("n_lines"), F.col(f"{done}.n_dropped").alias("n_dropped"),
     )
 
 

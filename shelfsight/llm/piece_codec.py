@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsight.llm.registry import query, table
+from shelfsight.llm.registry import query, table, unused
 
 SPACE = "▁"
 CACHE = 500_000
@@ -226,9 +226,8 @@ def encode_pieces(
             yield pd.DataFrame(rows, columns=names)
 
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in names]
-    # A name that no column of docs has, as the result is unpacked next to them.
-    place = "_" + "_".join(docs.columns)
-    return docs.withColumn(place, coded(F.col(text_col))).select(*kept, *[F.col(f"`{place}`.`{n}`").alias(n) for n in names])
+    place = unused(docs, "_made")
+    return docs.withColumn(place, coded(F.col(text_col))).select(*kept, *[F.col(f"{place}.`{n}`").alias(n) for n in names])
 
 
 _TEXT = [str(i) for i in range(1 << 16)]

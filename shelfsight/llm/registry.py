@@ -26,3 +26,11 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def unused(frame: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``frame`` has it."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

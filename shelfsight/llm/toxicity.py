@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfsight.llm.lm_scoring import crc32_part
-from shelfsight.llm.registry import query, table
+from shelfsight.llm.registry import query, table, unused
 from shelfsight.session import written
 
 EXAMPLES = 6144  # labelled rows the classifier is fitted on: those with the smallest hashes
@@ -243,8 +243,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, training: Column) -> Data
             })
 
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("score", "evidence")]
-    place = "_" + "_".join(docs.columns)
-    return docs.withColumn(place, scored("text")).select(*kept, F.col(f"`{place}`.score").alias("score"), F.col(f"`{place}`.evidence").alias("evidence"))
+    place = unused(docs, "_made")
+    return docs.withColumn(place, scored("text")).select(*kept, F.col(f"{place}.score").alias("score"), F.col(f"{place}.evidence").alias("evidence"))
 
 
 def toxic_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
