@@ -40,8 +40,8 @@ def mark_per_class(
 ) -> DataFrame:
     """``df`` with a flag that is true for exactly the first ``target`` rows of each class in hash order.
 
-    ``targets`` gets one row per class (the class columns and ``n``) and adds ``target``.
-    ``ids`` must tell rows apart.
+    ``targets`` gets one row per class (the class columns and ``n``) and adds ``target``. Rows may repeat an
+    id: a cut among them goes by their other columns. That costs a second pass over ``df``, which unique ids do not.
     """
     keyed = df.select(*classes, *ids).withColumn("_h", sample_hash(ids, seed)).withColumn("_r", _hash_range("_h"))
     # At most 2 ** RANGE_BITS counts per class, looked at several times below.
@@ -62,21 +62,27 @@ def mark_per_class(
     )
     cuts = broadcast_if_small(cuts)
     ranges.unpersist()
-    by_hash = Window.partitionBy(*[f"_c{i}" for i in range(len(classes))]).orderBy("_h", *ids)
+    class_keys = [f"_c{i}" for i in range(len(classes))]
+    by_hash = Window.partitionBy(*class_keys).orderBy("_h", *ids)
+    # The id the cut falls on, how many rows have it, and how many of these are taken.
     last = broadcast_if_small(
         keyed.join(cuts, _same_class(keyed, cuts, classes) & (F.col("_r") == F.col("_cut")))
-        .withColumn("_rank", F.row_number().over(by_hash))
-        .where(F.col("_rank") == F.col("_need"))
-        .select(
-            *[f"_c{i}" for i in range(len(classes))],
-            F.struct("_h", *ids).alias("_last"),
-        )
+        .withColumn("_first", F.rank().over(by_hash)).withColumn("_place", F.row_number().over(by_hash))
+        .withColumn("_equal", F.count(F.lit(1)).over(Window.partitionBy(*class_keys, "_h", *ids)))
+        .where(F.col("_place") == F.col("_need"))
+        .select(*class_keys, F.struct("_h", *ids).alias("_last"), "_equal", (F.col("_need") - F.col("_first") + 1).alias("_of_last"))
     )
     hashed = df.withColumn("_h", sample_hash(ids, seed))
     position = F.struct("_h", *[hashed[c] for c in ids])
-    return hashed.join(last, _same_class(hashed, last, classes), "left").select(
-        *[hashed[c] for c in df.columns], F.coalesce(position <= F.col("_last"), F.lit(False)).alias(flag)
-    )
+    placed = hashed.join(last, _same_class(hashed, last, classes), "left")
+    columns = [hashed[c] for c in df.columns]
+    if last.where("_of_last < _equal").isEmpty():
+        return placed.select(*columns, F.coalesce(position <= F.col("_last"), F.lit(False)).alias(flag))
+    # Ids repeat where a class is cut: of the rows with that id, the first by all their columns are taken.
+    split = F.coalesce((position == F.col("_last")) & (F.col("_of_last") < F.col("_equal")), F.lit(False))
+    order = Window.partitionBy(*class_keys).orderBy(F.xxhash64(*columns), *columns)
+    whole = placed.where(~split).select(*columns, F.coalesce(position <= F.col("_last"), F.lit(False)).alias(flag))
+    return whole.unionByName(placed.where(split).select(*columns, (F.row_number().over(order) <= F.col("_of_last")).alias(flag)))
 
 
 def take_per_class(
@@ -97,9 +103,23 @@ def _same_class(left: DataFrame, right: DataFrame, classes: Sequence[str]) -> Co
     return condition
 
 
-def balanced_sample(df: DataFrame, label: str, ids: Sequence[str], size: int = 500, seed: int = 42) -> DataFrame:
-    """Up to ``size // 2`` rows of each class; a missing label counts as class 0."""
-    labelled = df.withColumn(label, F.coalesce(F.col(label).try_cast("double"), F.lit(0.0)).cast("int"))
+def balanced_sample(
+    df: DataFrame, label: str, ids: Sequence[str], size: int = 500, seed: int = 42, missing: int | None = 0
+) -> DataFrame:
+    """Up to ``size // 2`` rows of each class; a label that is missing or no number counts as class ``missing``.
+
+    With ``missing=None`` such rows are left out. If no row has a usable label there are no classes to
+    balance, and the sample is uniform: ``size`` rows with a null label.
+    """
+    number = F.col(label).try_cast("double").cast("int")
+    if missing is None:
+        labelled = df.withColumn(label, number)
+        known = labelled.where(F.col(label).isNotNull())
+        if known.isEmpty():
+            return uniform_sample(labelled, ids, size, seed)
+        labelled = known
+    else:
+        labelled = df.withColumn(label, F.coalesce(number, F.lit(missing)))
     return take_per_class(
         labelled, [label], ids, lambda c: c.withColumn("target", F.least(F.col("n"), F.lit(size // 2))), seed
     )
@@ -149,18 +169,16 @@ def uniform_sample(df: DataFrame, ids: Sequence[str], size: int, seed: int = 42)
 
 def stratified_folds(df: DataFrame, label: str, ids: Sequence[str], folds: int = 5, seed: int = 42) -> DataFrame:
     """``df`` with ``fold`` in 0..folds-1, dealt out in hash order within each class."""
-    hashed = df.withColumn("_h", sample_hash(ids, seed)).withColumn("_r", _hash_range("_h"))
-    ranges = hashed.groupBy(label, "_r").agg(F.count(F.lit(1)).alias("_rows"))
-    upto = Window.partitionBy(label).orderBy("_r").rowsBetween(Window.unboundedPreceding, 0)
-    before = ranges.select(
-        F.col(label).alias("_c0"), F.col("_r").alias("_r0"),
-        (F.sum("_rows").over(upto) - F.col("_rows")).alias("_before"),
-    )
-    # Each (class, hash range) is an even slice of a class, so no task gets a whole class. The join
-    # and the window share one shuffle.
-    within = Window.partitionBy(label, "_r").orderBy("_h", *ids)
+    # One text key per class, so that the join and the window agree on what to shuffle by; null is a class too.
+    key = F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit(""))
+    hashed = df.withColumn("_h", sample_hash(ids, seed)).withColumn("_r", _hash_range("_h")).withColumn("_c", key)
+    ranges = hashed.groupBy("_c", "_r").agg(F.count(F.lit(1)).alias("_rows"))
+    upto = Window.partitionBy("_c").orderBy("_r").rowsBetween(Window.unboundedPreceding, 0)
+    before = ranges.withColumn("_before", F.sum("_rows").over(upto) - F.col("_rows")).drop("_rows")
+    # Each (class, hash range) is an even slice of a class, so no task gets a whole class.
+    within = Window.partitionBy("_c", "_r").orderBy("_h", *ids)
     return (
-        hashed.join(before, hashed[label].eqNullSafe(before["_c0"]) & (F.col("_r") == F.col("_r0")))
+        hashed.join(before, ["_c", "_r"])
         .withColumn("fold", ((F.col("_before") + F.row_number().over(within) - 1) % folds).cast("int"))
         .select(*df.columns, "fold")
     )

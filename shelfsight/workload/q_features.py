@@ -253,6 +253,19 @@ def _(spark, d):
     return sampling.uniform_sample(roles.table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), ["o_orderkey"], 777)
 
 
+@query("K08_repeated_ids", f"""
+    SELECT l_suppkey, count(*) AS n FROM (SELECT l_suppkey FROM lineitem ORDER BY {_hash('l_suppkey')}, l_suppkey LIMIT 1001) GROUP BY 1""")
+def _(spark, d):
+    rows = roles.table(spark, d, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber")
+    return sampling.uniform_sample(rows, ["l_suppkey"], 1001).groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("K05_no_usable_label", f"SELECT o_orderkey FROM orders ORDER BY {_hash('o_orderkey')}, o_orderkey LIMIT 300")
+def _(spark, d):
+    rows = roles.table(spark, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("label"))
+    return sampling.balanced_sample(rows, "label", ["o_orderkey"], 300, missing=None).drop("label")
+
+
 @query("K09_stratified_folds", f"""
     SELECT o_orderkey, o_orderstatus, CAST((row_number() OVER (PARTITION BY o_orderstatus ORDER BY {_hash('o_orderkey')}, o_orderkey) - 1) % 5 AS INT) AS fold FROM orders""")
 def _(spark, d):
