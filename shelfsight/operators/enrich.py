@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfsight.functions.text import parse_score, scorer_text
+from shelfsight.functions.text import SENTIMENT_LABELS, scorer_text
 from shelfsight.operators.clean import known_sentiment, require_columns, with_valid_text
 from shelfsight.operators.relate import not_in_cache, union_by_name
 from shelfsight.operators.sampling import balanced_sample
@@ -18,83 +18,90 @@ from shelfsight.schemas import FALLBACK_RATE, SENTIMENT_COLUMNS, SENTIMENT_SCHEM
 POSITIVE_WORDS = ["amazing", "best", "excellent", "good", "great", "happy", "love", "nice", "perfect", "recommend"]
 NEGATIVE_WORDS = ["awful", "bad", "disappointed", "hate", "horrible", "poor", "return", "terrible", "waste", "worst"]
 
-Scorer = Callable[[str], tuple[str, float]]
+# A scorer turns a text column into a ``struct<label, score>`` column.
+Scorer = Callable[[Column], Column]
 
 
-def lexicon_scorer(
-    positive: list[str] | None = None, negative: list[str] | None = None
-) -> Scorer:
+def lexicon_scorer(positive: list[str] | None = None, negative: list[str] | None = None) -> Scorer:
     """Counts listed words: more good than bad is positive; the score is the larger side's share."""
-    good, bad = frozenset(positive or POSITIVE_WORDS), frozenset(negative or NEGATIVE_WORDS)
-
-    def score(text: str) -> tuple[str, float]:
-        import re
-
-        words = re.findall(r"[a-z]+", text.lower())
-        ups, downs = sum(w in good for w in words), sum(w in bad for w in words)
-        if ups == downs:
-            return "neutral", 0.5
-        return ("positive" if ups > downs else "negative"), max(ups, downs) / (ups + downs)
+    good, bad = list(positive or POSITIVE_WORDS), list(negative or NEGATIVE_WORDS)
+
+    def score(text: Column) -> Column:
+        words = F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0))
+        ups, downs = F.size(F.filter(words, lambda w: w.isin(good))), F.size(F.filter(words, lambda w: w.isin(bad)))
+        share = F.greatest(ups, downs) / F.nullif(ups + downs, F.lit(0))
+        return F.struct(
+            F.when(ups == downs, "neutral").when(ups > downs, "positive").otherwise("negative").alias("label"),
+            F.when(ups == downs, F.lit(0.5)).otherwise(share).alias("score"),
+        )
 
     return score
 
 
-def score_texts(df: DataFrame, scorer: Scorer, column: str = "review_text", max_chars: int | None = None) -> DataFrame:
-    """``df`` with ``sentiment`` and ``sentiment_score``; a text that is empty or fails is unknown / 0."""
-    labels = ["positive", "neutral", "negative"]
+def batch_scorer(score: Callable[["pd.Series"], "pd.DataFrame"]) -> Scorer:
+    """A scorer that gets a whole Arrow batch of texts and answers with columns ``label`` and ``score``.
 
-    def run(texts: "pd.Series") -> "pd.DataFrame":
+    A batch that fails is unknown / 0 as a whole; ``text_scorer`` keeps failures to single texts.
+    """
+
+    def run(parts: Iterator["pd.Series"]) -> Iterator["pd.DataFrame"]:
         import pandas as pd
 
-        def one(text):
-            if not text:
-                return "unknown", 0.0
+        for part in parts:
             try:
-                label, value = scorer(text)
-                label = str(label).lower()
-                return (label if label in labels else "unknown"), round(float(value), 4)
+                yield score(part)[["label", "score"]].reset_index(drop=True)
             except Exception:
-                return "unknown", 0.0
+                yield pd.DataFrame({"label": ["unknown"] * len(part), "score": [0.0] * len(part)})
+
+    import pandas as pd
+
+    run.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    return F.pandas_udf(run, "label string, score double")
+
+
+def text_scorer(score: Callable[[str], tuple[str, float]]) -> Scorer:
+    """A scorer that is asked text by text; a text that fails is unknown / 0."""
+
+    def one(text: str | None) -> tuple[str, float]:
+        try:
+            label, value = score(text) if text else ("unknown", 0.0)
+            return str(label), float(value)
+        except Exception:
+            return "unknown", 0.0
+
+    def run(texts: "pd.Series") -> "pd.DataFrame":
+        import pandas as pd
 
         return pd.DataFrame([one(t) for t in texts], columns=["label", "score"])
 
-    def batches(parts: Iterator["pd.Series"]) -> Iterator["pd.DataFrame"]:
-        for part in parts:
-            yield run(part)
+    return batch_scorer(run)
 
-    import pandas as pd
 
-    batches.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    scored = F.pandas_udf(batches, "label string, score double")(scorer_text(F.col(column), max_chars))
+def score_texts(df: DataFrame, scorer: Scorer, column: str = "review_text", max_chars: int | None = None) -> DataFrame:
+    """``df`` with ``sentiment`` and ``sentiment_score`` (4 decimals); a text that is empty or fails is unknown / 0."""
+    text = scorer_text(F.col(column), max_chars)
+    label, usable = F.lower("_scored.label"), F.coalesce(F.length(text) > 0, F.lit(False))
     return (
-        df.withColumn("_scored", scored)
-        .withColumn("sentiment", F.col("_scored.label"))
-        .withColumn("sentiment_score", F.col("_scored.score"))
+        df.withColumn("_scored", scorer(text))
+        .withColumn("sentiment", F.when(usable & label.isin(SENTIMENT_LABELS), label).otherwise("unknown"))
+        .withColumn("sentiment_score", F.when(usable, F.bround(F.coalesce("_scored.score", F.lit(0.0)), 4)).otherwise(0.0))
         .drop("_scored")
     )
 
 
-def parse_responses(df: DataFrame, column: str = "response") -> DataFrame:
-    """Scorer answers stored as JSON text, as sentiment columns."""
-    parsed = df.withColumn("_scored", parse_score(F.col(column)))
-    return parsed.withColumns(
-        {"sentiment": F.col("_scored.label"), "sentiment_score": F.col("_scored.score")}
-    ).drop("_scored", column)
-
-
 def fresh_sentiment(
     reviews: DataFrame,
     scorer: Scorer,
-    size: int | None = 500,
+    size: int | None = None,
     cache: DataFrame | None = None,
     ids: tuple[str, ...] = ("author_id", "review_text"),
     cache_key: str = "author_id",
     seed: int = 42,
     max_chars: int | None = None,
 ) -> DataFrame:
-    """Scores of a class-balanced sample, leaving out what the cache holds.
+    """Scores of every review with usable text, leaving out what the cache holds.
 
-    ``size=None`` scores every review with usable text. ``ids`` must tell reviews apart.
+    With a ``size``, of a class-balanced sample of that many reviews.
     """
     require_columns(reviews, SENTIMENT_COLUMNS, "reviews")
     usable = with_valid_text(reviews)
@@ -109,7 +116,7 @@ def fresh_sentiment(
 
 
 def add_sentiment(
-    reviews: DataFrame, scorer: Scorer, size: int | None = 500, cache: DataFrame | None = None, **options
+    reviews: DataFrame, scorer: Scorer, size: int | None = None, cache: DataFrame | None = None, **options
 ) -> DataFrame:
     """The cached scores and the fresh ones together."""
     fresh = fresh_sentiment(reviews, scorer, size, cache, **options)

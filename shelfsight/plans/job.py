@@ -69,7 +69,7 @@ def run_job(
     scorer: Scorer | None = None,
     review_limit: int | None = None,
     review_ids: Sequence[str] = ("author_id", "product_id"),
-    sentiment_size: int | None = 500,
+    sentiment_size: int | None = None,
     use_cache: bool = True,
     fallback_rate: float = FALLBACK_RATE,
     product_order: Sequence[str] = (),
@@ -79,7 +79,8 @@ def run_job(
 ) -> Run:
     """Runs all stages. Validation only reports; a failing extract, transform or load ends the run.
 
-    ``extract`` gives (raw products, raw reviews); ``review_limit`` keeps an exact sample of reviews.
+    ``extract`` gives (raw products, raw reviews); ``review_limit`` keeps an exact sample of reviews,
+    ``sentiment_size`` scores a balanced sample of that size instead of every usable text.
     Frames stay lazy between the stages: each output table is computed once, when it is written.
     """
     run, data = Run(), {}

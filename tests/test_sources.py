@@ -119,14 +119,29 @@ def test_scorer_failures_are_unknown(spark):
         return ("Positive", 0.123456) if "good" in text else ("weird", 0.5)
 
     df = spark.createDataFrame([("good one",), ("boom",), ("   ",), (None,), ("other",)], "review_text string")
-    found = [(r["sentiment"], r["sentiment_score"]) for r in enrich.score_texts(df, fussy).collect()]
+    found = [(r["sentiment"], r["sentiment_score"]) for r in enrich.score_texts(df, enrich.text_scorer(fussy)).collect()]
     assert found == [("positive", 0.1235), ("unknown", 0.0), ("unknown", 0.0), ("unknown", 0.0), ("unknown", 0.5)]
 
 
 def test_whole_text_reaches_the_scorer(spark):
     df = spark.createDataFrame([("x" * 5000,)], "review_text string")
-    assert enrich.score_texts(df, lambda t: ("positive", len(t) / 10_000)).first()["sentiment_score"] == 0.5
-    assert enrich.score_texts(df, lambda t: ("positive", len(t) / 10_000), max_chars=500).first()["sentiment_score"] == 0.05
+    share = enrich.text_scorer(lambda t: ("positive", len(t) / 10_000))
+    assert enrich.score_texts(df, share).first()["sentiment_score"] == 0.5
+    assert enrich.score_texts(df, share, max_chars=500).first()["sentiment_score"] == 0.05
+
+
+def test_batch_scorer_and_native_scorer(spark):
+    import pandas as pd
+
+    df = spark.createDataFrame([("GOOD good, bad!",), ("",), (None,), ("great",), ("goods",)], "review_text string")
+    whole = enrich.batch_scorer(lambda texts: pd.DataFrame({"label": "negative", "score": texts.str.len() / 7}))
+    assert [(r[1], r[2]) for r in enrich.score_texts(df, whole).collect()][3:] == [("negative", 0.7143), ("negative", 0.7143)]
+    failing = enrich.batch_scorer(lambda texts: 1 / 0)
+    assert {(r[1], r[2]) for r in enrich.score_texts(df, failing).collect()} == {("unknown", 0.0)}
+    native = enrich.score_texts(df, enrich.lexicon_scorer())
+    assert [(r[1], r[2]) for r in native.collect()] == [
+        ("positive", 0.6667), ("unknown", 0.0), ("unknown", 0.0), ("positive", 1.0), ("neutral", 0.5)]
+    assert "Python" not in native._jdf.queryExecution().executedPlan().toString()
 
 
 def test_cache_is_not_scored_again(spark, raw_reviews):
