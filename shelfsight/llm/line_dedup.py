@@ -141,7 +141,7 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: i
         keys.join(repeated, "key").where(~F.col("doc_id").eqNullSafe(F.col("last")))
         .groupBy(F.col("doc_id").alias(drop_id)).agg(F.collect_set("key").alias(drop_keys))
     )
-    drops = written(drops, "line-drops")
+    drops = written(drops, "line-drops").hint("merge")
     rest = docs.drop("n_lines", "n_dropped")
     cleaned = rest.join(drops, F.col("doc_id").eqNullSafe(F.col(drop_id)), "left").withColumn(done, _without(min_chars)("text", drop_keys))
     return cleaned.select(
