@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import vector_to_array
@@ -25,17 +27,16 @@ def fit_kmeans(df: DataFrame, k: int, tries: int = 15, max_iter: int = 500, seed
 
 
 def k_sweep(
-    df: DataFrame, ids: Sequence[str], k_values: Sequence[int] = range(2, 11), silhouette_rows: int = 10_000,
-    seed: int = 42, max_iter: int = 300,
+    df: DataFrame, k_values: Sequence[int] = range(2, 11), seed: int = 42, max_iter: int = 300
 ) -> DataFrame:
-    """Inertia and silhouette per k; the highest silhouette is the best."""
-    kept = df.select(*ids, "features").persist()
+    """Inertia and silhouette (of all rows, see :func:`silhouette`) per k; the highest silhouette is the best."""
+    kept = df.select("features").persist()
     found = []
     try:
         for k in k_values:
             model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features").fit(kept)
             assigned = model.transform(kept).withColumnRenamed("prediction", "cluster")
-            found.append((k, float(model.summary.trainingCost), silhouette(assigned, ids, sample=silhouette_rows, seed=seed)))
+            found.append((k, float(model.summary.trainingCost), silhouette(assigned)))
     finally:
         kept.unpersist()
     best = max(found, key=lambda row: row[2])[0]
@@ -44,13 +45,53 @@ def k_sweep(
     ).orderBy("k")
 
 
-def silhouette_rows(
-    df: DataFrame, ids: Sequence[str], features: str = "features", cluster: str = "cluster", sample: int = 8_000,
-    seed: int = 42,
+def silhouette_rows(df: DataFrame, features: str = "features", cluster: str = "cluster") -> DataFrame:
+    """``df`` with the silhouette of every row by squared Euclidean distance.
+
+    The mean squared distance of a row to a cluster follows from the cluster's size, sum and sum of squares,
+    so no two rows are compared: one aggregation of clusters times dimensions numbers, then one pass.
+    A cluster of one row, or a single cluster, has silhouette 0.
+    """
+    is_vector = isinstance(df.schema[features].dataType, VectorUDT)
+    vector = vector_to_array(features) if is_vector else F.col(features).cast("array<double>")
+    ready = df.withColumn("_x", vector)
+    sums = ready.select(F.col(cluster).alias("c"), F.posexplode("_x").alias("i", "x")).groupBy("c", "i").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("x").alias("total"), F.sum(F.col("x") * F.col("x")).alias("squares")
+    ).toPandas()
+    labels = sorted(sums["c"].unique().tolist())
+    centres = sums.pivot(index="c", columns="i", values="total").loc[labels].to_numpy(float) if labels else np.empty((0, 0))
+    by_label = sums.groupby("c")
+    sizes, squares = by_label["n"].max().loc[labels].to_numpy(float), by_label["squares"].sum().loc[labels].to_numpy(float)
+    centres = centres / sizes[:, None] if labels else centres
+
+    @F.pandas_udf("double")
+    def score(x: pd.Series, c: pd.Series) -> pd.Series:
+        points = np.stack(x.to_numpy()).astype(float)
+        own = np.searchsorted(labels, c.to_numpy())
+        row = np.arange(len(points))
+        means = np.maximum((points**2).sum(axis=1)[:, None] - 2 * points @ centres.T + squares / sizes, 0.0)
+        inner = means[row, own] * sizes[own] / np.maximum(sizes[own] - 1, 1)
+        means[row, own] = np.inf
+        outer = means.min(axis=1)
+        largest = np.maximum(inner, outer)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            value = np.where(largest > 0, (outer - inner) / largest, 0.0)
+        return pd.Series(np.where((sizes[own] == 1) | (len(labels) == 1), 0.0, value))
+
+    return ready.withColumn("silhouette", score("_x", F.col(cluster))).drop("_x")
+
+
+def silhouette(df: DataFrame, features: str = "features", cluster: str = "cluster") -> float:
+    """Mean silhouette of all rows by squared Euclidean distance; 0 for a single cluster."""
+    return float(silhouette_rows(df, features, cluster).agg(F.avg("silhouette")).first()[0] or 0.0)
+
+
+def sampled_silhouette_rows(
+    df: DataFrame, ids: Sequence[str], sample: int, features: str = "features", cluster: str = "cluster", seed: int = 42
 ) -> DataFrame:
-    """Silhouette of each row of a uniform sample of exactly ``sample`` rows, by Euclidean distance.
+    """Silhouette by Euclidean distance of each row of a uniform sample of exactly ``sample`` rows (or all, if fewer).
 
-    The measure compares every row with every other, so it is defined on a sample. The sample's size
+    This measure compares every row with every other, so the caller has to say on how many. The sample's size
     bounds what is fetched and broadcast; each task compares its rows with all of it, and no pair of
     rows is ever emitted.
     """
@@ -61,15 +102,11 @@ def silhouette_rows(
     rows = taken.orderBy(*ids).toPandas()
     if rows.empty:
         return taken.select(*ids, "cluster", F.lit(None).cast("double").alias("silhouette"))
-    import numpy as np
-
     points = np.array(rows["_x"].tolist(), dtype=float)
     labels, members = np.unique(rows["cluster"].to_numpy(), return_inverse=True)
     shared = spark.sparkContext.broadcast((points, members, len(labels)))
 
     def score(batches):
-        import numpy as np
-
         every, group, count = shared.value
         sizes = np.bincount(group, minlength=count)
         squares = (every**2).sum(axis=1)
@@ -104,10 +141,6 @@ def silhouette_rows(
     return small.mapInPandas(score, f"{schema}, silhouette double")
 
 
-def silhouette(df: DataFrame, ids: Sequence[str], sample: int = 10_000, **options) -> float:
-    return float(silhouette_rows(df, ids, sample=sample, **options).agg(F.avg("silhouette")).first()[0] or 0.0)
-
-
 def _centred(df: DataFrame) -> DataFrame:
     centre = StandardScaler(inputCol="features", outputCol="_centred", withMean=True, withStd=False)
     return centre.fit(df.select("features")).transform(df)

@@ -48,13 +48,20 @@ def logistic_regression(rows: int, label: str = "label", C: float = 1.0, max_ite
     return model.setWeightCol(WEIGHT) if balanced else model
 
 
+def _depth(max_depth: int | None) -> int:
+    """None is as deep as MLlib goes; a deeper limit cannot be kept and is refused."""
+    if max_depth is not None and max_depth > DEEPEST:
+        raise ValueError(f"trees are at most {DEEPEST} levels deep, not {max_depth}")
+    return DEEPEST if max_depth is None else max_depth
+
+
 def random_forest(
     label: str = "label", n_estimators: int = 300, max_depth: int | None = None, min_samples_leaf: int = 1,
     max_features: str | float | None = "sqrt", bootstrap: bool = True, balanced: bool = False, seed: int = 42,
 ):
     model = RandomForestClassifier(
         featuresCol="features", labelCol=label, numTrees=n_estimators,
-        maxDepth=DEEPEST if max_depth is None else min(max_depth, DEEPEST), minInstancesPerNode=min_samples_leaf,
+        maxDepth=_depth(max_depth), minInstancesPerNode=min_samples_leaf,
         featureSubsetStrategy="all" if max_features is None else str(max_features), bootstrap=bootstrap, seed=seed,
     )
     return model.setWeightCol(WEIGHT) if balanced else model
@@ -118,11 +125,6 @@ BOOSTING_GRIDS = {
 MAX_TUNE_ROWS = 120_000
 
 
-def boosting_grid(rows: int) -> dict[str, list]:
-    """The longer the data, the fewer combinations."""
-    return BOOSTING_GRIDS["large" if rows > 200_000 else "medium" if rows > 50_000 else "small"]
-
-
 def combinations_of(grid: Mapping[str, Sequence]) -> list[dict[str, Any]]:
     return [dict(zip(grid, values)) for values in product(*grid.values())]
 
@@ -140,7 +142,7 @@ def _param_map(estimator: Estimator, kind: str, settings: Mapping[str, Any]) ->
             mapped[estimator.getParam("weightCol")] = WEIGHT if value == "balanced" else "_unit_weight"
             continue
         if name == "max_depth":
-            value = DEEPEST if value is None else min(value, DEEPEST)
+            value = _depth(value)
         if name == "max_features":
             value = "all" if value is None else str(value)
         mapped[estimator.getParam(NAMES[kind][name])] = value
@@ -187,7 +189,12 @@ def cross_validate(
     df: DataFrame, estimator: Estimator, ids: Sequence[str], label: str = "label", folds: int = 5,
     scoring: str = "f1", seed: int = 42, parallelism: int = 4,
 ) -> tuple[float, float]:
-    """Mean and sample deviation of the score over stratified folds."""
+    """Mean and sample deviation of the score over stratified folds.
+
+    A logistic regression that was made for all of ``df`` keeps its C: its penalty follows the rows a fold trains on.
+    """
+    if isinstance(estimator, LogisticRegression):
+        estimator = estimator.copy({estimator.regParam: estimator.getRegParam() * folds / (folds - 1)})
     folded = stratified_folds(df, label, ids, folds, seed).persist()
     try:
         fitted = CrossValidator(
@@ -199,14 +206,19 @@ def cross_validate(
     return float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0]) * math.sqrt(folds / (folds - 1))
 
 
-def grid_search(df: DataFrame, kind: str, ids: Sequence[str], label: str = "label", grid=None, max_rows=None, **options):
-    """Every combination of a grid; boosting picks its grid by size and may tune on a uniform sample."""
-    rows = df.count()
-    if kind == "gradient_boosting":
-        candidates = combinations_of(grid or boosting_grid(rows))
-        estimator = gradient_boosting(label)
-    else:
-        candidates, estimator = combinations_of(grid or FOREST_GRID), random_forest(label)
+def grid_search(
+    df: DataFrame, kind: str, ids: Sequence[str], label: str = "label", grid: str | Mapping[str, Sequence] = "small", max_rows=None, **options
+):
+    """Every combination of a grid: given as such, or one of ``BOOSTING_GRIDS`` by its name (forests have one grid).
+
+    Whatever the size of the data, the grid is the one asked for. With ``max_rows``, candidates are compared on a
+    uniform sample of that many rows.
+    """
+    boosting = kind == "gradient_boosting"
+    if isinstance(grid, str):
+        grid = BOOSTING_GRIDS[grid] if boosting else FOREST_GRID
+    candidates, estimator = combinations_of(grid), gradient_boosting(label) if boosting else random_forest(label)
+    rows = df.count() if max_rows else 0
     return search(_tuning_rows(df, rows, ids, max_rows), estimator, kind, candidates, ids, label, **options)
 
 

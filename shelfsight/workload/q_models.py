@@ -65,7 +65,7 @@ def _(spark, d):
 @query("M05_cross_validate")
 def _(spark, d):
     train, _, _ = prepared(spark, d)
-    mean, spread = models.cross_validate(train, models.logistic_regression(train.count(), LABEL, max_iter=20), [ID], LABEL, folds=3)
+    mean, spread = models.cross_validate(train, models.logistic_regression(train.count(), LABEL), [ID], LABEL)
     return spark.createDataFrame([("logistic_regression", mean, spread)], "model string, mean_f1 double, std_f1 double")
 
 
@@ -108,14 +108,14 @@ def vectors(spark, d):
 @query("M09_kmeans")
 def _(spark, d):
     rows = vectors(spark, d)
-    model = clusters.fit_kmeans(rows, 3, tries=5)
+    model = clusters.fit_kmeans(rows, 3)
     sizes = model.transform(rows).groupBy(F.col("prediction").alias("cluster")).agg(F.count(F.lit(1)).alias("n"))
     return sizes.withColumn("inertia", F.lit(float(model.summary.trainingCost)))
 
 
 @query("M10_k_sweep")
 def _(spark, d):
-    return clusters.k_sweep(vectors(spark, d), ["vec_id"], range(2, 6))
+    return clusters.k_sweep(vectors(spark, d))
 
 
 @query("M11_silhouette_rows", """
@@ -126,7 +126,18 @@ def _(spark, d):
         FROM embeddings a CROSS JOIN embeddings b GROUP BY 1, 2, 3) GROUP BY i, c)""")
 def _(spark, d):
     rows = vectors(spark, d).withColumnRenamed("label", "cluster")
-    return clusters.silhouette_rows(rows, ["vec_id"], sample=8_000).withColumn("silhouette", F.round("silhouette", 6))
+    return clusters.sampled_silhouette_rows(rows, ["vec_id"], 8_000).withColumn("silhouette", F.round("silhouette", 6))
+
+
+@query("M11_silhouette_of_all", """
+    SELECT i AS vec_id, c AS cluster, round(CASE WHEN own IS NULL THEN 0 ELSE (other - own) / greatest(own, other) END, 6) AS silhouette FROM (
+      SELECT i, c, max(m) FILTER (WHERE c = k) AS own, min(m) FILTER (WHERE c <> k) AS other FROM (
+        SELECT a.vec_id AS i, a.label AS c, b.label AS k, CASE WHEN a.label = b.label THEN sum(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) ^ 2) / nullif(count(*) - 1, 0)
+          ELSE avg(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) ^ 2) END AS m
+        FROM embeddings a CROSS JOIN embeddings b GROUP BY 1, 2, 3) GROUP BY i, c)""")
+def _(spark, d):
+    rows = vectors(spark, d).withColumnRenamed("label", "cluster")
+    return clusters.silhouette_rows(rows).select("vec_id", "cluster", F.round("silhouette", 6).alias("silhouette"))
 
 
 @query("M12_project")
@@ -145,7 +156,7 @@ def _(spark, d):
 @query("M14_predict")
 def _(spark, d):
     train, test, _ = prepared(spark, d)
-    model = models.logistic_regression(train.count(), LABEL, max_iter=20).fit(train)
+    model = models.logistic_regression(train.count(), LABEL).fit(train)
     return models.predict(test, model).select(ID, LABEL, "probability_recommended", "probability_not_recommended", "model")
 
 
@@ -161,7 +172,7 @@ def _(spark, d):
     from pyspark.ml import Pipeline
 
     path = f"{shared_folder(spark, 'model')}/fitted"
-    fitted = Pipeline(stages=[models.logistic_regression(train.count(), LABEL, max_iter=20)]).fit(train)
+    fitted = Pipeline(stages=[models.logistic_regression(train.count(), LABEL)]).fit(train)
     models.save(fitted, path)
     both = [("kept", fitted), ("loaded", models.load(path))]
     return relate.union_by_name(evaluated(name, model, test) for name, model in both)

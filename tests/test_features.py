@@ -119,9 +119,9 @@ def test_majority(spark):
 
 
 def test_search_spaces():
-    assert len(models.combinations_of(models.boosting_grid(10))) == 54
-    assert len(models.combinations_of(models.boosting_grid(60_000))) == 8
-    assert len(models.combinations_of(models.boosting_grid(300_000))) == 16
+    assert {name: len(models.combinations_of(grid)) for name, grid in models.BOOSTING_GRIDS.items()} == {"large": 16, "medium": 8, "small": 54}
+    with pytest.raises(ValueError):
+        models.random_forest(max_depth=31)
     drawn = models.random_combinations(models.FOREST_SPACE, 20)
     assert len(drawn) == 20 and drawn == models.random_combinations(models.FOREST_SPACE, 20)
     assert len({json.dumps(c, sort_keys=True) for c in drawn}) == 20
@@ -149,7 +149,7 @@ def blobs(spark):
 
 
 def test_k_sweep_finds_the_blobs(spark):
-    found = clusters.k_sweep(blobs(spark), ["id"], range(2, 5))
+    found = clusters.k_sweep(blobs(spark), range(2, 5))
     assert found.where("is_best").first()["k"] == 3
     costs = [r["inertia"] for r in found.orderBy("k").collect()]
     assert costs == sorted(costs, reverse=True)
@@ -161,7 +161,7 @@ def test_silhouette_by_hand(spark):
 
     rows = [(i, int(i % 4 == 0) + int(i == 5), [float(i * i % 17), float(i % 5)]) for i in range(30)]
     df = spark.createDataFrame(rows, "id long, cluster int, features array<double>")
-    found = {r["id"]: r["silhouette"] for r in clusters.silhouette_rows(df, ["id"], sample=100).collect()}
+    found = {r["id"]: r["silhouette"] for r in clusters.sampled_silhouette_rows(df, ["id"], 100).collect()}
     for i, c, x in rows:
         gaps = {}
         for j, k, y in rows:
@@ -172,7 +172,17 @@ def test_silhouette_by_hand(spark):
             continue
         a, b = np.mean(gaps[c]), min(np.mean(v) for k, v in gaps.items() if k != c)
         assert found[i] == pytest.approx((b - a) / max(a, b), abs=1e-6)
-    assert clusters.silhouette_rows(df, ["id"], sample=12).count() == 12
+    assert clusters.sampled_silhouette_rows(df, ["id"], 12).count() == 12
+
+
+def test_silhouette_of_all_rows(spark):
+    from pyspark.ml.evaluation import ClusteringEvaluator
+
+    df = blobs(spark)
+    assigned = clusters.fit_kmeans(df, 3, tries=2).transform(df)
+    library = ClusteringEvaluator(featuresCol="features", predictionCol="prediction").evaluate(assigned)
+    assert clusters.silhouette(assigned, cluster="prediction") == pytest.approx(library)
+    assert clusters.silhouette(assigned.withColumn("cluster", F.lit(0))) == 0
 
 
 def test_components(spark):
