@@ -14,8 +14,9 @@ from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from shelfsight.functions.numbers import clip
 from shelfsight.operators import clean
@@ -140,10 +141,15 @@ def typical_values(df: DataFrame) -> dict[str, float | str | None]:
 class ImputeModel(_Learned):
     def _transform(self, df: DataFrame) -> DataFrame:
         fills = {c: v for c, v in self.learned["fills"].items() if c in df.columns and v is not None}
-        return df.withColumns({
-            c: F.coalesce(F.col(f"`{c}`"), F.lit(v).cast("double" if c in self.learned["numeric"] else "string"))
-            for c, v in fills.items()
-        })
+        return df.withColumns({c: self._filled(df, c, v) for c, v in fills.items()})
+
+    def _filled(self, df: DataFrame, c: str, value) -> Column:
+        """Whole numbers keep their type, so that long ids stay as they are, unless the fill is no whole number."""
+        if c not in self.learned["numeric"]:
+            return F.coalesce(F.col(f"`{c}`"), F.lit(value).cast("string"))
+        whole = isinstance(df.schema[c].dataType, IntegralType) and float(value).is_integer()
+        kind = df.schema[c].dataType if whole else "double"
+        return F.coalesce(F.col(f"`{c}`").cast(kind), F.lit(int(value) if whole else value).cast(kind))
 
     @property
     def simple_columns(self) -> list[str]:
@@ -251,22 +257,22 @@ class Scale(Estimator, _Saved):
 
 class KeepFrequentModel(_Learned):
     def _transform(self, df: DataFrame) -> DataFrame:
-        """Known rare values share one name; values never seen become null (encoded as all zeros)."""
+        """All values but the kept ones share one name, or become null if every value was kept."""
         changed = {}
-        for c, kept in self.learned.items():
-            if c in df.columns and kept is not None:
+        for c, learned in self.learned.items():
+            if c in df.columns:
                 col = F.col(f"`{c}`")
-                changed[c] = F.when(col.isin(kept["kept"]), col).when(
-                    col.isin(kept["rare"]) if kept["rare"] is not None else col.isNotNull(), F.lit(INFREQUENT)
-                )
+                other = F.when(col.isNotNull(), F.lit(INFREQUENT)) if learned["more"] else F.lit(None).cast("string")
+                changed[c] = F.when(col.isin(learned["kept"]), col).otherwise(other) if learned["kept"] else other
         return df.withColumns(changed)
 
 
 class KeepFrequent(Estimator, _Saved):
-    """At most ``maxCategories`` values per column: the most frequent ones, the rest as one value."""
+    """At most ``maxCategories`` values per column: the most frequent ones, the rest as one value.
 
-    # Up to this many rare values are remembered by name, to tell them from values never seen.
-    RARE_BY_NAME = 10_000
+    A value that was never seen is one of the rest, whatever the number of values; where there is no rest, as all
+    values were kept, it becomes null. Of each column only the values that are kept reach the driver.
+    """
 
     columns = Param(Params._dummy(), "columns", "text columns; empty means all", TypeConverters.toListString)
     maxCategories = Param(Params._dummy(), "maxCategories", "values per column", TypeConverters.toInt)
@@ -279,23 +285,32 @@ class KeepFrequent(Estimator, _Saved):
     def _fit(self, df: DataFrame) -> KeepFrequentModel:
         names = self.getOrDefault(self.columns) or clean.text_columns(df)
         most = self.getOrDefault(self.maxCategories)
-        counts = text_values(df, names)
-        learned = {}
-        for c in names:
-            ranked = counts.where(F.col("column") == c).orderBy(F.desc("n"), F.desc("value"))
-            values = [r["value"] for r in ranked.limit(most + self.RARE_BY_NAME).collect()]
-            if len(values) <= most:
-                learned[c] = None  # few enough as they are
-                continue
-            complete = len(values) < most + self.RARE_BY_NAME
-            learned[c] = {"kept": values[: most - 1], "rare": values[most - 1 :] if complete else None}
-        return KeepFrequentModel(learned)
+        if not names:
+            return KeepFrequentModel({})
+        # Spark cuts each column's values to the limit inside every task, before they are shuffled.
+        place = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), F.desc("value")))
+        ranked = text_values(df, names).withColumn("place", place).where(F.col("place") <= most + 1)
+        found = {c: [] for c in names}
+        for r in sorted(ranked.collect(), key=lambda r: r["place"]):
+            found[r["column"]].append(r["value"])
+        return KeepFrequentModel({
+            c: {"kept": values[: most - 1] if len(values) > most else values, "more": len(values) > most} for c, values in found.items()
+        })
+
+
+# Values of a text column that get an indicator of their own; all others share one.
+MOST_INDICATORS = 1_000
 
 
-def one_hot_stages(columns: Sequence[str]) -> list:
-    """Indicator vectors ``<column>_hot``, categories in alphabetical order, unseen and null as zeros."""
+def one_hot_stages(columns: Sequence[str], most: int = MOST_INDICATORS) -> list:
+    """Indicator vectors ``<column>_hot``, categories in alphabetical order, null as zeros.
+
+    At most ``most`` categories per column, see :class:`KeepFrequent`; a value never seen is all zeros if the column
+    had no more than that.
+    """
     index, hot = [f"{c}_index" for c in columns], [f"{c}_hot" for c in columns]
     return [
+        KeepFrequent(columns=list(columns), maxCategories=most),
         StringIndexer(inputCols=list(columns), outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc"),
         # The index kept for unseen values comes last, so dropping the last one leaves them all zeros.
         OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True),

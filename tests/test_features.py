@@ -73,10 +73,27 @@ def test_frequent_categories(spark):
     df = spark.createDataFrame([(c,) for c in "aaaabbbccdde"], "c string")
     fitted = features.KeepFrequent(maxCategories=3).fit(df)
     new = spark.createDataFrame([("a",), ("b",), ("c",), ("e",), ("never",), (None,)], "c string")
-    assert [r["c"] for r in fitted.transform(new).collect()] == ["a", "b", "infrequent", "infrequent", None, None]
+    assert [r["c"] for r in fitted.transform(new).collect()] == ["a", "b", "infrequent", "infrequent", "infrequent", None]
+    assert features.KeepFrequent(maxCategories=5).fit(df).transform(new).collect()[4]["c"] is None
     assert features.KeepFrequent(maxCategories=5).fit(df).transform(df).collect() == df.collect()
 
 
+@pytest.mark.parametrize("rare", [5, 12_000])
+def test_unseen_values_are_alike_at_every_size(spark, rare):
+    df = spark.range(rare).selectExpr("concat('r', id) as c").unionAll(spark.range(50).selectExpr("'often' as c"))
+    fitted = features.KeepFrequent(maxCategories=3).fit(df)
+    new = spark.createDataFrame([("often",), ("never",), ("r0",), (None,)], "c string")
+    assert [r["c"] for r in fitted.transform(new).collect()] == ["often", "infrequent", "infrequent", None]
+
+
+def test_long_ids_survive_imputation(spark):
+    big = 9007199254740993
+    df = spark.createDataFrame([(big, 1.5, 1), (None, None, 4), (big, 2.5, None), (big + 2, 3.5, 3)], "id long, x double, n int")
+    filled = features.Impute().fit(df).transform(df)
+    assert dict(filled.dtypes) == {"id": "bigint", "x": "double", "n": "int"}
+    assert [r["id"] for r in filled.collect()][0] == big and [r["n"] for r in filled.collect()] == [1, 4, 3, 3]
+
+
 def test_preprocessor_round_trip(spark, tmp_path):
     df = spark.range(200).selectExpr(
         "id", "double(id % 2) y", "case when id % 7 = 0 then null else double(id % 50) end x",
