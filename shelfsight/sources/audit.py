@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfsight.operators.relate import compare_manifests, union_by_name
 from shelfsight.sources.csv import layouts
+from shelfsight.sources.tables import Warehouse
+
+MANIFEST = "file string, sha256 string, bytes bigint, rows bigint, cols int"
+
+
+def _relative(path: Column, folder: str) -> Column:
+    """A file's path below the folder, which tells files of the same name in different folders apart."""
+    return F.substring_index(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), _root(folder), -1)
+
+
+def _root(folder: str) -> str:
+    return folder.rstrip("/").split("://")[-1].removeprefix("file:") + "/"
 
 
 def checksums(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """(file, sha256, bytes) per file; files are hashed side by side, each whole."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    """(file, sha256, bytes) per file below the folder; files are hashed side by side, each whole."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
     return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), F.sha2("content", 256).alias("sha256"),
-        F.col("length").alias("bytes"),
+        F.substring_index("path", _root(folder), -1).alias("file"),
+        F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"),
     )
 
 
@@ -23,9 +35,9 @@ def file_rows(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataF
     counts, listed = [], []
     for header, paths in layouts(spark, folder, pattern).items():
         rows = spark.read.options(header=True, quote='"', escape='"', multiLine=True).csv(paths)
-        counts.append(rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("rows")))
-        listed += [(path.rsplit("/", 1)[-1], len(header)) for path in paths]
-    files = spark.createDataFrame(listed, "file string, cols int")
+        counts.append(rows.groupBy(_relative(F.col("_metadata.file_path"), folder).alias("file")).agg(F.count(F.lit(1)).alias("rows")))
+        listed += [(path, len(header)) for path in paths]
+    files = spark.createDataFrame([(path.split(_root(folder), 1)[-1], cols) for path, cols in listed], "file string, cols int")
     # A file with nothing but a header has no rows to group.
     return files.join(union_by_name(counts), "file", "left").select(
         "file", F.coalesce("rows", F.lit(0)).alias("rows"), "cols"
@@ -33,10 +45,21 @@ def file_rows(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataF
 
 
 def manifest(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """The audit record of a folder of CSV files."""
+    """The audit record of a folder of CSV files, by path below it."""
     return checksums(spark, folder, pattern).join(file_rows(spark, folder, pattern), "file", "left")
 
 
+def audit_folder(warehouse: Warehouse, folder: str, pattern: str = "*.csv", name: str = "file_manifest") -> tuple[DataFrame, bool]:
+    """Compares a folder with its stored record; the first run stores the record and finds every file new."""
+    spark = warehouse.spark
+    saved = warehouse.read_or_empty(name, MANIFEST)
+    status, sound = audit(checksums(spark, folder, pattern), saved)
+    if not warehouse.exists(name):
+        warehouse.write(manifest(spark, folder, pattern).select(*[c.split()[0] for c in MANIFEST.split(", ")]), name)
+        status = compare_manifests(checksums(spark, folder, pattern), saved.where("false"))
+    return status, sound
+
+
 def audit(current: DataFrame, saved: DataFrame) -> tuple[DataFrame, bool]:
     """(status per file, whether no file is new or changed). Files that are gone are listed only."""
     status = compare_manifests(current, saved)

@@ -112,6 +112,43 @@ def test_audit(spark, tmp_path):
     assert not ok and {r["file"]: r["status"] for r in status.collect()} == {"a.csv": "ok", "b.csv": "changed", "c.csv": "new", "d.csv": "gone"}
 
 
+def test_same_names_in_different_folders(spark, tmp_path):
+    (tmp_path / "raw" / "sub").mkdir(parents=True)
+    put(tmp_path / "raw" / "a.csv", "x\n1\n")
+    put(tmp_path / "raw" / "sub" / "a.csv", "x\n1\n2\n3\n")
+    saved = {r["file"]: r for r in audit.manifest(spark, str(tmp_path / "raw")).collect()}
+    assert {f: r["rows"] for f, r in saved.items()} == {"a.csv": 1, "sub/a.csv": 3}
+    assert saved["a.csv"]["sha256"] != saved["sub/a.csv"]["sha256"]
+
+
+def test_audit_keeps_its_record(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    put(tmp_path / "raw" / "a.csv", "x\n1\n")
+    put(tmp_path / "raw" / "b.csv", "x\n1\n")
+    store = Warehouse(spark, str(tmp_path / "store"))
+    status, sound = audit.audit_folder(store, str(tmp_path / "raw"))
+    assert not sound and {r["status"] for r in status.collect()} == {"new"}
+    put(tmp_path / "raw" / "b.csv", "x\n2\n")
+    status, sound = audit.audit_folder(store, str(tmp_path / "raw"))
+    assert not sound and {r["file"]: r["status"] for r in status.collect()} == {"a.csv": "ok", "b.csv": "changed"}
+    assert {r["file"]: r["rows"] for r in store.read("file_manifest").collect()} == {"a.csv": 1, "b.csv": 1}
+
+
+def test_rows_longer_than_the_header(spark, tmp_path):
+    put(tmp_path / "a.csv", 'x,y\n1,2\n3,4,5\n6\n"7\n7",8\n')
+    put(tmp_path / "b.csv", "x,y\n" + "\n".join(f"{n},{n}" for n in range(20)) + "\n")
+    files = [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]
+    with pytest.raises(Exception, match="more than the 2 fields"):
+        csv.read_csv(spark, files).select("x").collect()
+    for multiline in (None, True):
+        found = csv.read_csv(spark, files, bad_rows="lost", multiline=multiline)
+        rows = {(r["x"], r["y"], r["lost"]) for r in found.collect()}
+        assert rows >= {("1", "2", None), ("3", "4", "3,4,5"), ("6", None, None), ("7\n7", "8", None), ("19", "19", None)} and len(rows) == 24
+        assert found.where("lost is not null").count() == 1
+    broken = {k: [f.rsplit("/", 1)[-1] for f in v] for k, v in csv._broken_lines(spark, files).items()}
+    assert broken == {False: ["b.csv"], True: ["a.csv"]}
+
+
 def test_scorer_failures_are_unknown(spark):
     def fussy(text):
         if "boom" in text:
