@@ -12,11 +12,10 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SCORE_RANGES = 4096
+from shelfsight.session import written
 
 
 def confusion(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -110,17 +109,15 @@ def class_report(df: DataFrame, digits: int = 4) -> DataFrame:
 
 
 def _by_score(df: DataFrame, positive: Column, by: Sequence[str]) -> DataFrame:
-    """Counts per distinct score, each score with the number of the score range it lies in."""
-    scores = df.where(F.col("score").isNotNull())
-    cuts = scores.agg(
-        F.percentile_approx("score", [i / SCORE_RANGES for i in range(1, SCORE_RANGES)], 10 * SCORE_RANGES)
-    ).first()[0]
-    splits = [-float("inf"), *sorted({float(c) for c in cuts or [0.0]}), float("inf")]
-    counts = scores.groupBy(*by, F.col("score").cast("double").alias("score")).agg(
+    """Counts per distinct score, each with the number of the score range it lies in.
+
+    The input is counted once. Ranges are cut over the counted scores of each group, so a group whose scores lie
+    close together is split like any other.
+    """
+    counts = df.where(F.col("score").isNotNull()).groupBy(*by, F.col("score").cast("double").alias("score")).agg(
         F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
     )
-    ranged = Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(counts)
-    return ranged.withColumn("range", F.col("range").cast("int"))
+    return written(counts.repartitionByRange(*by, "score").withColumn("range", F.spark_partition_id()), "score-ranges")
 
 
 def _running(counts: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -129,7 +126,7 @@ def _running(counts: DataFrame, by: Sequence[str]) -> DataFrame:
         F.sum("pos").alias("range_pos"), F.sum("neg").alias("range_neg"),
         F.max_by(F.struct("pos", "neg"), "score").alias("top"),
     )
-    # At most SCORE_RANGES + 1 rows per group from here to the join.
+    # One row per group and range from here to the join.
     above = Window.partitionBy(*by).orderBy(F.desc("range"))
     strictly_above = above.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)

@@ -1,148 +1,78 @@
 """Exact interpolated quantiles without holding a column's values in one place.
 
-``percentile`` keeps every distinct value of a column in one buffer. That is right for columns with
-few distinct values and wrong for long ones. A first pass asks for the size and the distinct estimate
-of every column. Columns with few distinct values are finished by ``percentile``, together. For each
-wanted rank of the others, an approximate bracket is counted and narrowed until few rows are left
-inside it, which are then put in order. All ranks of all columns share the same passes: two per
-narrowing, and each narrowing leaves about one row in 2500.
+All columns are melted into (column, value) pairs and counted per distinct value, so the input is computed
+once and a value that many rows share is one row. The counts are put into value ranges, one per task, and
+written. The driver gets one row count per range, which tells the range that holds each wanted rank; the values
+at these ranks are then read off running counts inside those ranges. No task sees more than a range.
 """
 
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Distinct values one ``percentile`` buffer may hold, and rows of a bracket that are put in order.
-BUFFER_VALUES = 200_000
-BRACKET_ROWS = 10_000
-SKETCH_ACCURACY = 10_000
+from shelfsight.session import written
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: Mapping[str, Column] | Sequence[str],
-    probs: Sequence[float],
-    buffer_values: int = BUFFER_VALUES,
+    df: DataFrame, columns: Mapping[str, Column] | Sequence[str], probs: Sequence[float]
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles of each column (nulls and NaN left out)."""
     if not isinstance(columns, Mapping):
         columns = {name: F.col(name) for name in columns}
     if not columns:
         return {}
-    values = df.select(*[_number(expr).alias(f"v{i}") for i, expr in enumerate(columns.values())])
-    numbered = {f"v{i}": name for i, name in enumerate(columns)}
-
-    first = values.agg(
-        *[F.count(v).alias(f"{v}_n") for v in numbered],
-        *[F.approx_count_distinct(v).alias(f"{v}_d") for v in numbered],
-    ).first()
-    direct = [v for v in numbered if 0 < first[f"{v}_d"] <= buffer_values]
-    long = [v for v in numbered if first[f"{v}_d"] > buffer_values]
-
-    found: dict[str, list[float | None]] = {name: [None] * len(probs) for name in columns}
-    if direct:
-        row = values.agg(*[F.percentile(v, [float(p) for p in probs]).alias(v) for v in direct]).first()
-        found.update({numbered[v]: list(row[v]) for v in direct})
-    if long:
-        wanted = {(v, p): _Rank(v, p * (first[f"{v}_n"] - 1), first[f"{v}_n"]) for v in long for p in probs}
-        _narrow(values, list(wanted.values()), min(buffer_values, BRACKET_ROWS))
-        _finish(values, list(wanted.values()))
-        found.update({numbered[v]: [wanted[v, p].value for p in probs] for v in long})
-    return found
-
-
-def _number(expr: Column) -> Column:
-    as_double = expr.cast("double")
-    return F.when(~F.isnan(as_double), as_double)
-
-
-@dataclass
-class _Rank:
-    """A wanted position in a column, and the bracket of values known to hold it."""
-
-    name: str
-    position: float
-    size: int  # rows inside the bracket
-    below: int = 0  # rows under the bracket
-    low: float = -math.inf
-    high: float = math.inf
-    stuck: bool = False  # the sketch no longer narrows: halve the value range instead
-    value: float | None = None
-
-    @property
-    def rank(self) -> int:
-        return math.floor(self.position)
-
-    def inside(self) -> Column:
-        return F.col(self.name).between(self.low, self.high)
-
-    def held(self) -> Column:
-        return F.when(self.inside(), F.col(self.name))
-
-
-def _all(values: DataFrame, ranks: Sequence[_Rank], makers: Mapping[str, object]) -> list[dict]:
-    """One pass that computes every maker for every rank."""
-    row = values.agg(*[make(r).alias(f"{key}_{i}") for i, r in enumerate(ranks) for key, make in makers.items()]).first()
-    return [{key: row[f"{key}_{i}"] for key in makers} for i in range(len(ranks))]
-
-
-def _sketch(rank: _Rank) -> Column:
-    share = (rank.rank - rank.below) / max(rank.size - 1, 1)
-    slack = 2.0 / SKETCH_ACCURACY
-    return F.percentile_approx(rank.held(), [max(share - slack, 0.0), min(share + slack, 1.0)], SKETCH_ACCURACY)
-
-
-def _between(low: float, high: float) -> float:
-    """A value from low up to, but not including, high; about the middle."""
-    most = 1.7e308
-    middle = max(low, -most) / 2 + min(high, most) / 2
-    return middle if low <= middle < high else low
-
-
-def _narrow(values: DataFrame, ranks: Sequence[_Rank], rows: int) -> None:
-    while open_ranks := [r for r in ranks if r.size > rows and r.low < r.high]:
-        guesses = _all(values, open_ranks, {
-            "cut": lambda r: F.array(F.min(r.held()), F.max(r.held())) if r.stuck else _sketch(r)})
-        cuts = {}
-        for i, (r, guess) in enumerate(zip(open_ranks, guesses)):
-            low, high = guess["cut"]
-            cuts[id(r)] = (low, _between(low, high)) if r.stuck else (low, high)
-        v = lambda r: F.col(r.name)
-        counted = _all(values, open_ranks, {
-            "under": lambda r: F.count_if(r.inside() & (v(r) < cuts[id(r)][0])),
-            "within": lambda r: F.count_if(r.inside() & v(r).between(*cuts[id(r)])),
-            "last_under": lambda r: F.max(F.when(r.inside() & (v(r) < cuts[id(r)][0]), v(r))),
-            "first_over": lambda r: F.min(F.when(r.inside() & (v(r) > cuts[id(r)][1]), v(r))),
-            "top": lambda r: F.max(F.when(r.inside() & v(r).between(*cuts[id(r)]), v(r))),
-        })
-        for r, found in zip(open_ranks, counted):
-            before, nth = r.size, r.rank - r.below
-            under, within = found["under"], found["within"]
-            if nth < under:
-                r.high, r.size = found["last_under"], under
-            elif nth < under + within:
-                r.low, r.high, r.below, r.size = cuts[id(r)][0], found["top"], r.below + under, within
-            else:
-                r.low, r.below, r.size = found["first_over"], r.below + under + within, before - under - within
-            r.stuck = r.size == before
-
-
-def _finish(values: DataFrame, ranks: Sequence[_Rank]) -> None:
-    """The value at each rank and the one after it, weighted as the built-in percentile weighs them."""
-
-    def nth(r: _Rank, step: int) -> Column:
-        place = r.rank - r.below + step
-        if place >= r.size:
-            return F.min(F.when(F.col(r.name) > r.high, F.col(r.name)))
-        if r.low == r.high:
-            return F.max(F.lit(r.low))
-        return F.sort_array(F.collect_list(r.held()))[place]
-
-    for r, found in zip(ranks, _all(values, ranks, {"at": lambda r: nth(r, 0), "after": lambda r: nth(r, 1)})):
-        weight = r.position - r.rank
-        r.value = found["at"] if weight == 0 else (1 - weight) * found["at"] + weight * found["after"]
+    ranged = _value_ranges(df, list(columns.values()))
+    totals: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    for row in ranged.groupBy("i", "part").agg(F.sum("n").alias("n")).orderBy("i", "part").collect():
+        totals[row["i"]].append((row["part"], row["n"]))
+    sizes = {i: sum(n for _, n in parts) for i, parts in totals.items()}
+    ranks = {(i, rank) for i, size in sizes.items() for p in probs for rank in _ranks(p, size)}
+    found = _values_at(ranged, totals, ranks)
+    return {
+        name: [_between(p, sizes[i], lambda rank, i=i: found[i, rank]) if i in sizes else None for p in probs]
+        for i, name in enumerate(columns)
+    }
+
+
+def _value_ranges(df: DataFrame, columns: Sequence[Column]) -> DataFrame:
+    """(i, v, n, part): how often column ``i`` has the value; parts are in order of (i, v)."""
+    values = df.select(F.posexplode(F.array(*[c.cast("double") for c in columns])).alias("i", "v"))
+    # Adding zero makes one value of both zeros.
+    counts = values.where("v is not null and not isnan(v)").groupBy("i", (F.col("v") + 0.0).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    return written(counts.repartitionByRange("i", "v").withColumn("part", F.spark_partition_id()), "value-ranges")
+
+
+def _ranks(prob: float, size: int) -> tuple[int, int]:
+    position = prob * (size - 1)
+    return math.floor(position), math.ceil(position)
+
+
+def _between(prob: float, size: int, value) -> float:
+    """The values at the ranks on both sides, weighted as the built-in percentile weighs them."""
+    low, high = _ranks(prob, size)
+    weight = prob * (size - 1) - low
+    return value(low) if low == high else (1 - weight) * value(low) + weight * value(high)
+
+
+def _values_at(ranged: DataFrame, totals: Mapping[int, list[tuple[int, int]]], ranks: set[tuple[int, int]]) -> dict[tuple[int, int], float]:
+    wanted = []
+    for i, rank in sorted(ranks):
+        below = 0
+        for part, n in totals[i]:
+            if rank < below + n:
+                wanted.append((i, part, rank, rank - below))
+                break
+            below += n
+    if not wanted:
+        return {}
+    asked = F.broadcast(ranged.sparkSession.createDataFrame(wanted, "i int, part int, rank bigint, place bigint"))
+    touched = sorted({part for _, part, _, _ in wanted})
+    inside = Window.partitionBy("i", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = ranged.where(F.col("part").isin(touched)).withColumn("upto", F.sum("n").over(inside))
+    hits = placed.join(asked, ["i", "part"]).where((F.col("place") < F.col("upto")) & (F.col("place") >= F.col("upto") - F.col("n")))
+    return {(r["i"], r["rank"]): r["v"] for r in hits.select("i", "rank", "v").collect()}

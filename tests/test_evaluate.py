@@ -26,11 +26,9 @@ def pair_area(rows):
 
 
 @pytest.mark.parametrize("step", [0.05, 0.5, None])
-def test_area_counts_pairs(spark, step, monkeypatch):
+def test_area_counts_pairs(spark, step):
     rows, df = make(spark, step=step)
     assert evaluate.roc_auc(df).first()["roc_auc"] == pytest.approx(pair_area(rows))
-    monkeypatch.setattr(evaluate, "SCORE_RANGES", 3)  # ranges with many scores each
-    assert evaluate.roc_auc(df).first()["roc_auc"] == pytest.approx(pair_area(rows))
 
 
 def brute_curve(rows):
@@ -46,10 +44,18 @@ def brute_curve(rows):
     return sorted([(0.0, 0.0, float("inf")), *points], key=lambda p: -p[2])
 
 
-@pytest.mark.parametrize("ranges", [4096, 4])
-def test_curve_points(spark, ranges, monkeypatch):
-    monkeypatch.setattr(evaluate, "SCORE_RANGES", ranges)
-    rows, df = make(spark, n=300, step=0.02)
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_curve_points(spark, coalesce):
+    """With all scores in one range, and with as many ranges as there are shuffle partitions."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        rows, df = make(spark, n=300, step=0.02)
+        check_curve(rows, df)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def check_curve(rows, df):
     found = sorted((tuple(r) for r in evaluate.roc_curve(df).collect()), key=lambda p: -p[2])
     assert np.allclose(np.array(found[1:]), np.array(brute_curve(rows)[1:])) and found[0] == (0.0, 0.0, float("inf"))
 
