@@ -93,10 +93,6 @@ def clean_demographics(df: DataFrame, columns: Iterable[str] = tuple(DEMOGRAPHIC
     return each(lowered, columns, lambda c: text.null_if_in(c, DEMOGRAPHIC_NULL_TOKENS))
 
 
-def plain_word_columns(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    return each(df, text_columns(df) if columns is None else columns, text.plain_words)
-
-
 def as_number(df: DataFrame, name: str) -> Column:
     """The column as double, null where it holds no number."""
     return numbers.to_number(F.col(f"`{name}`"), df.schema[name].dataType)
@@ -139,8 +135,13 @@ def as_served(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
-def served_products(df: DataFrame) -> DataFrame:
-    return as_served(df, PRODUCT_SCHEMA)
+def served_products(df: DataFrame, sources: Mapping[str, str] | None = None) -> DataFrame:
+    """The served product table; ``sources`` names, for served columns, the input columns they come from.
+
+    Files call the flag of goods sold in one store only by the store's name, as in
+    ``{"store_exclusive": "some_store_exclusive"}``.
+    """
+    return as_served(df.withColumns({to: F.col(f"`{source}`") for to, source in (sources or {}).items()}), PRODUCT_SCHEMA)
 
 
 def served_reviews(df: DataFrame) -> DataFrame:

@@ -222,9 +222,9 @@ class Cap(Estimator, _Saved):
         return CapModel(bounds)
 
 
-def cap_without_flags(**settings) -> Cap:
-    """Fences that leave ids, labels and 0/1 flags alone."""
-    return Cap(exclude=UNCAPPED_COLUMNS, **settings)
+def cap_without_flags(flags: Sequence[str] = (), **settings) -> Cap:
+    """Fences that leave ids, labels and 0/1 flags alone; ``flags`` names further ones by their name in the input."""
+    return Cap(exclude=[*UNCAPPED_COLUMNS, *flags], **settings)
 
 
 class ScaleModel(_Learned):

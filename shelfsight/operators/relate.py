@@ -79,11 +79,13 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return df.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
 
 
-def distinct_rows(df: DataFrame, subset: Sequence[str] | None = None, order: Sequence[str] = ()) -> DataFrame:
-    """Whole-row duplicates once, or one row per ``subset`` chosen by ``order``."""
-    if not subset:
-        return df.distinct()
-    return keep_first(df, subset, order or df.columns)
+def attach(df: DataFrame, found: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """``df`` with ``columns`` of ``found``, which has one row per ``key``; null where there is none.
+
+    Serves cross-tables of cluster and label. Spark decides how to join from the sizes of both sides.
+    """
+    side = found.select(F.col(key).alias("_key"), *columns)
+    return df.join(side, df[key] == side["_key"], "left").drop("_key")
 
 
 def page(df: DataFrame, order: Sequence[str], limit: int = 50, offset: int = 0, max_limit: int = 500) -> DataFrame:

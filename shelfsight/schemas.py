@@ -28,7 +28,6 @@ CSV_DEFAULT_NULLS = [
 ]
 TEXT_NULL_TOKENS = ["nan", "None", ""]
 DEMOGRAPHIC_NULL_TOKENS = ["nan", "none", "unknown", ""]
-UNKNOWN_TOKENS = ["unknown", "UNKNOWN", "Unknown", ""]
 UNKNOWN_PATTERN = r"^\s*unknown\s*$"
 SENTIMENT_LABELS = ["positive", "neutral", "negative"]
 FALLBACK_RATE = 950.0
@@ -91,4 +90,3 @@ METRICS_SCHEMA = _struct(
     "accuracy:double f1:double precision:double recall:double roc_auc:double "
     "silhouette_score:double best_k:int final_inertia:double pca_variance_2d:double loaded_at:text"
 )
-CLUSTER_SCHEMA = _struct("k:int inertia:double silhouette:double is_best:bool")

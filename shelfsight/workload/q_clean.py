@@ -302,7 +302,9 @@ def _(spark, d):
 
 @query("J04_label_beside_cluster", "SELECT vec_id, label % 3 AS cluster, label FROM embeddings")
 def _(spark, d):
-    return roles.table(spark, d, "embeddings").select("vec_id", (F.col("label") % 3).alias("cluster"), "label")
+    rows = roles.table(spark, d, "embeddings")
+    assigned = rows.select("vec_id", (F.col("label") % 3).alias("cluster"))
+    return relate.attach(rows.select("vec_id", "label"), assigned, "vec_id", ["cluster"])
 
 
 @query("J05_compare_manifests", """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from shelfsight.operators import clusters, evaluate, models, relate
@@ -16,6 +16,10 @@ LABEL = "is_recommended"
 ID = "review_id"
 
 
+# Boosting rounds of the export query: enough to show that a bundle scores like its model.
+EXPORT_ROUNDS = 5
+
+
 def labelled_reviews(spark, d):
     """Reviews with one id column and a label that follows from rating, price and skin type, with noise."""
     rows = roles.raw_reviews(spark, d).withColumn(ID, F.md5(F.concat_ws("|", *REVIEW_ORDER)))
@@ -25,9 +29,12 @@ def labelled_reviews(spark, d):
         ID, LABEL, "product_id", "author_id", "rating", "helpfulness", "total_neg_feedback_count", "review_text", "skin_tone", "skin_type", "hair_color")
 
 
+def catalog(spark, d):
+    return roles.products(spark, d).select("product_id", "brand_name", "primary_category", "price_usd")
+
+
 def prepared(spark, d, folder=None):
-    products = roles.products(spark, d).select("product_id", "brand_name", "primary_category", "price_usd")
-    return training.prepare(labelled_reviews(spark, d), products, [ID], LABEL, folder=folder)
+    return training.prepare(labelled_reviews(spark, d), catalog(spark, d), [ID], LABEL, folder=folder)
 
 
 def evaluated(name, model, test):
@@ -155,9 +162,13 @@ def _(spark, d):
 
 @query("M14_predict")
 def _(spark, d):
-    train, test, _ = prepared(spark, d)
-    model = models.logistic_regression(train.count(), LABEL).fit(train)
-    return models.predict(test, model).select(ID, LABEL, "probability_recommended", "probability_not_recommended", "model")
+    """From raw reviews, labelled or not, to both probabilities; the model goes through a file first."""
+    train, _, fitted = prepared(spark, d)
+    path = f"{shared_folder(spark, 'model')}/whole"
+    models.save(training.whole_model(fitted, models.logistic_regression(train.count(), LABEL).fit(train)), path)
+    raw = labelled_reviews(spark, d).drop(LABEL)
+    found = training.predict_reviews(raw, catalog(spark, d), models.load(path), [ID])
+    return found.select(ID, "is_recommended", "probability_recommended", "probability_not_recommended", "model")
 
 
 @query("M15_importances")
@@ -209,9 +220,14 @@ def _(spark, d):
 
 @query("M18_export_model")
 def _(spark, d):
-    from pyspark.ml import Pipeline
-
-    train, test, _ = prepared(spark, d)
-    fitted = Pipeline(stages=[models.gradient_boosting(LABEL, n_estimators=5)]).fit(train)
-    paths = training.export_model(shared_folder(spark, "export"), "best", fitted, fitted.transform(test), LABEL, {"n_estimators": 5})
-    return spark.read.parquet(paths["metrics"])
+    """The exported bundle scores raw reviews like the model that was exported."""
+    train, test, fitted = prepared(spark, d)
+    model = models.gradient_boosting(LABEL, n_estimators=EXPORT_ROUNDS).fit(train)
+    whole = training.whole_model(fitted, model)
+    paths = training.export_model(
+        shared_folder(spark, "export"), "best", whole, model.transform(test), LABEL, {"n_estimators": EXPORT_ROUNDS})
+    raw = labelled_reviews(spark, d)
+    again = training.predict_reviews(raw.drop(LABEL), catalog(spark, d), models.load(paths["model"]), [ID])
+    both = model.transform(test).select(ID, vector_to_array("probability")[1].alias("kept")).join(again, ID)
+    gap = both.agg(F.round(F.max(F.abs(F.col("kept") - F.col("probability_recommended"))), 9).alias("largest_gap"))
+    return spark.read.parquet(paths["metrics"]).withColumn("largest_gap", gap.scalar())

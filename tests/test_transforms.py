@@ -168,3 +168,20 @@ def test_narrow_types(spark):
     narrow, report = clean.narrow_types(df)
     assert [t for _, t in narrow.dtypes] == ["tinyint", "smallint", "bigint", "float", "string"]
     assert report.where("column = 'e'").first()["category"] is True
+
+
+def test_store_flag_keeps_its_name_in_the_input(spark):
+    from shelfsight.operators.features import cap_without_flags
+
+    df = spark.createDataFrame([("p", 1, 0)] + [("q", 0, n % 5) for n in range(9)], "product_id string, shop_exclusive int, loves_count int")
+    served = clean.served_products(df, {"store_exclusive": "shop_exclusive"})
+    assert [r["store_exclusive"] for r in served.collect()] == [1] + [0] * 9
+    assert cap_without_flags().fit(df).transform(df).first()["shop_exclusive"] == 0
+    assert cap_without_flags(["shop_exclusive"]).fit(df).transform(df).first()["shop_exclusive"] == 1
+
+
+def test_duplicate_rows_by_digest(spark):
+    from shelfsight.operators import profile
+
+    df = spark.createDataFrame([("a", "b"), ("a", "b"), ("ab", ""), ("", "ab"), (None, "ab"), ("-", None), (None, "-")], "x string, y string")
+    assert profile.duplicate_rows(df).first()["duplicates"] == 1
