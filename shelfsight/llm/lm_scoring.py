@@ -29,7 +29,7 @@ WIDTH = 24  # numbers in a unit's vector
 NOISE = 10  # noise words for each word
 STEPS = 200
 RATE = 0.05
-NEAR_WORDS = 200_000  # most frequent words whose counts every task gets
+NEAR_WORDS = 150_000  # most frequent words whose counts every task gets
 NEAR_BYTES = 64  # longer words are never among them, so what is sent is bounded
 FLUSH = 200_000
 
@@ -226,6 +226,23 @@ def _scored(shared: Shared, log10_shared: Shared):
     return scored
 
 
+def _frequent(counts: DataFrame) -> pd.DataFrame:
+    """At most ``NEAR_WORDS`` words, the most frequent ones, by falling count.
+
+    Counts are put into steps of an eighth of a doubling; whole steps are taken from the top while they fit, so
+    tasks send what is taken and no more. The topmost step that does not fit is left to the join.
+    """
+    step = F.floor(F.log2("c") * 8)
+    short = counts.where(F.octet_length("word") <= NEAR_BYTES).withColumn("step", step)
+    taken, lowest = 0, math.inf
+    for row in short.groupBy("step").count().orderBy(F.desc("step")).collect():
+        taken += row["count"]
+        if taken > NEAR_WORDS:
+            break
+        lowest = row["step"]
+    return short.where(F.col("step") >= lowest).select("word", "c").toPandas().sort_values(["c", "word"], ascending=[False, True])
+
+
 def score_texts(docs: DataFrame, training: Column) -> DataFrame:
     """One row per row of ``docs``: ``(doc_id, n_tokens, n_known, train_tokens, base_score, score)``.
 
@@ -250,7 +267,7 @@ def score_texts(docs: DataFrame, training: Column) -> DataFrame:
     )
     texts = learnt.select().count()
     tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    frequent = counts.where(F.octet_length("word") <= NEAR_BYTES).orderBy(F.desc("c"), "word").limit(NEAR_WORDS).toPandas()
+    frequent = _frequent(counts)
     by_class = F.pmod(F.crc32(F.substring("word", 1, 2)), F.lit(CLASSES)).alias("class")
     mass = np.full(CLASSES, 0.5)
     for row in counts.groupBy(by_class).agg(F.sum(F.col("c") + 0.5).alias("mass")).collect():
