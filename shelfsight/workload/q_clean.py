@@ -170,6 +170,21 @@ def _(spark, d):
     return clean.narrow_types(line)[1]
 
 
+@query("C18_narrow_folder", """
+    SELECT 'l_linenumber' AS "column", 'bigint' AS from_type, 'tinyint' AS to_type, CAST(NULL AS BIGINT) AS distinct_values, FALSE AS category
+    UNION ALL SELECT 'l_quantity', 'double', 'float', NULL, FALSE
+    UNION ALL SELECT 'l_returnflag', 'string', 'string', count(DISTINCT l_returnflag), count(DISTINCT l_returnflag) < 0.5 * count(*) FROM lineitem""")
+def _(spark, d):
+    from shelfsight.session import shared_folder
+    from shelfsight.sources import csv, tables
+
+    folder = shared_folder(spark, "narrow")
+    line = roles.table(spark, d, "lineitem").select("l_linenumber", "l_quantity", "l_returnflag")
+    tables.export_csv(line.where("l_linenumber <= 3"), f"{folder}/a.csv")
+    tables.export_csv(line.where("l_linenumber > 3").select("l_returnflag", "l_quantity", "l_linenumber"), f"{folder}/b.csv")
+    return csv.read_narrow(spark, folder)[1]
+
+
 @query("C19_display", sql("""
     SELECT sentiment, CASE sentiment WHEN 'positive' THEN 'Positivo' WHEN 'negative' THEN 'Negativo' WHEN 'neutral' THEN 'Neutral' END AS shown,
       CASE WHEN sentiment = 'positive' THEN '★' ELSE '' END AS best, '$' || format('{:,}', CAST(sum(n_chars) AS BIGINT)) AS amount

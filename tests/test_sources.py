@@ -149,6 +149,23 @@ def test_rows_longer_than_the_header(spark, tmp_path):
     assert broken == {False: ["b.csv"], True: ["a.csv"]}
 
 
+def test_half_written_tables_do_not_exist(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    (tmp_path / "t" / "_temporary" / "0").mkdir(parents=True)
+    assert not store.exists("t") and not store.exists("never")
+    store.write(spark.range(0), "empty")
+    (tmp_path / "empty" / "_SUCCESS").unlink()
+    assert store.exists("empty") and store.read("empty").count() == 0
+
+
+def test_folder_with_small_types(spark, tmp_path):
+    put(tmp_path / "a.csv", "n,x,t\n1,1.5,a\n300,2,b\n")
+    put(tmp_path / "b.csv", "t,n\na,\n7,4\n")
+    narrow, report = csv.read_narrow(spark, str(tmp_path))
+    assert dict(narrow.dtypes) == {"n": "smallint", "x": "float", "t": "string"} and narrow.count() == 4
+    assert {r["column"]: r["from_type"] for r in report.collect()} == {"n": "bigint", "x": "double", "t": "string"}
+
+
 def test_scorer_failures_are_unknown(spark):
     def fussy(text):
         if "boom" in text:
