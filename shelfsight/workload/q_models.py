@@ -206,7 +206,15 @@ def _(spark, d):
     return relate.union_by_name(_part_sizes(spark.read.parquet(f"{folder}/y_{part}"), part) for part in ("train", "test"))
 
 
-@query("S15_save_datasets")
+@query("S15_save_datasets", sql("""
+    SELECT 'preprocessor' AS artifact, 9::BIGINT AS size
+    UNION ALL SELECT what || '_test', CAST(sum(target) AS BIGINT) FROM targets, (VALUES ('X'), ('y')) AS w(what) GROUP BY what
+    UNION ALL SELECT what || '_train', CAST(sum(n - target) AS BIGINT) FROM targets, (VALUES ('X'), ('y')) AS w(what) GROUP BY what""",
+    "raw_reviews",
+    rows_="SELECT CASE WHEN l_orderkey % 13 <> 0 THEN (rating * 2 + length(skin_type) / 4.0::DOUBLE + l_suppkey % 5 > 9)::INT::DOUBLE END AS label FROM raw_reviews",
+    sizes="SELECT label, count(*) AS n FROM rows_ WHERE label IS NOT NULL GROUP BY label",
+    quotas="SELECT label, n, ceil(0.2::DOUBLE * sum(n) OVER ()) AS wanted, ceil(0.2::DOUBLE * sum(n) OVER ())::DOUBLE * n / sum(n) OVER () AS quota FROM sizes",
+    targets="SELECT *, floor(quota) + (row_number() OVER (ORDER BY quota - floor(quota) DESC, label) <= wanted - sum(floor(quota)) OVER ())::INT AS target FROM quotas"))
 def _(spark, d):
     from pyspark.ml import PipelineModel
 
@@ -231,3 +239,91 @@ def _(spark, d):
     both = model.transform(test).select(ID, vector_to_array("probability")[1].alias("kept")).join(again, ID)
     gap = both.agg(F.round(F.max(F.abs(F.col("kept") - F.col("probability_recommended"))), 9).alias("largest_gap"))
     return spark.read.parquet(paths["metrics"]).withColumn("largest_gap", gap.scalar())
+
+
+# Data whose answer SQL knows ------------------------------------------------------------------------
+
+
+def one_split(spark, d):
+    """Line items whose label follows from the line number alone, beside a column that says nothing."""
+    line = roles.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    return line.withColumns({
+        "label": (F.col("l_linenumber") >= 4).cast("double"),
+        "features": array_to_vector(F.array(F.col("l_linenumber").cast("double"), (F.col("l_suppkey") % 3).cast("double"))),
+    })
+
+
+LINES = "SELECT (l_linenumber >= 4)::INT::DOUBLE AS label, count(*) AS n FROM lineitem GROUP BY 1"
+
+
+@query("M02_one_split", f"SELECT label, label AS prediction, n FROM ({LINES})")
+def _(spark, d):
+    rows = one_split(spark, d)
+    model = models.random_forest(n_estimators=5, max_depth=3, max_features=None).fit(rows)
+    return evaluate.confusion(model.transform(rows).select("label", "prediction"))
+
+
+@query("M03_one_split", f"SELECT label, label AS prediction, n FROM ({LINES})")
+def _(spark, d):
+    rows = one_split(spark, d)
+    return evaluate.confusion(models.gradient_boosting(n_estimators=3).fit(rows).transform(rows).select("label", "prediction"))
+
+
+@query("M14_one_split", f"SELECT label::INT AS is_recommended, label AS probability_recommended, 1 - label AS probability_not_recommended, n FROM ({LINES})")
+def _(spark, d):
+    rows = one_split(spark, d)
+    model = models.random_forest(n_estimators=5, max_depth=3, max_features=None).fit(rows)
+    shown = ["is_recommended", "probability_recommended", "probability_not_recommended"]
+    return models.predict(rows, model).groupBy(*shown).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("M16_one_split", f"SELECT part, label, label AS prediction, n FROM ({LINES}), (VALUES ('kept'), ('loaded')) AS p(part)")
+def _(spark, d):
+    from pyspark.ml import Pipeline
+
+    rows = one_split(spark, d)
+    path = f"{shared_folder(spark, 'model')}/tree"
+    fitted = Pipeline(stages=[models.random_forest(n_estimators=3, max_depth=2, max_features=None)]).fit(rows)
+    models.save(fitted, path)
+    return relate.union_by_name(
+        evaluate.confusion(model.transform(rows).select("label", "prediction")).withColumn("part", F.lit(part))
+        for part, model in (("kept", fitted), ("loaded", models.load(path))))
+
+
+@query("M09_two_groups", """
+    SELECT count(*) AS n, round((SELECT sum(v) FROM (SELECT var_pop(l_linenumber) * count(*) AS v FROM lineitem GROUP BY l_returnflag = 'R')), 6) AS inertia
+    FROM lineitem GROUP BY l_returnflag = 'R'""")
+def _(spark, d):
+    far = F.when(F.col("l_returnflag") == "R", 1000.0).otherwise(0.0)
+    rows = roles.table(spark, d, "lineitem").select(array_to_vector(F.array(F.col("l_linenumber") + far)).alias("features"))
+    model = clusters.fit_kmeans(rows, 2, tries=3)
+    sizes = model.transform(rows).groupBy("prediction").agg(F.count(F.lit(1)).alias("n")).drop("prediction")
+    return sizes.withColumn("inertia", F.lit(round(float(model.summary.trainingCost), 6)))
+
+
+PLANE = """
+    SELECT *, (a + c + sqrt((a - c) ^ 2 + 4 * b ^ 2)) / 2 AS high, (a + c - sqrt((a - c) ^ 2 + 4 * b ^ 2)) / 2 AS low, 0.5 * atan2(2 * b, a - c) AS turn FROM (
+      SELECT var_pop(x) AS a, var_pop(y) AS c, covar_pop(x, y) AS b, avg(x) AS mx, avg(y) AS my
+      FROM (SELECT l_quantity::DOUBLE AS x, (l_quantity + l_linenumber * 5)::DOUBLE AS y FROM lineitem))"""
+
+
+def plane(spark, d):
+    quantity, number = F.col("l_quantity").cast("double"), F.col("l_linenumber")
+    return roles.table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", array_to_vector(F.array(quantity, quantity + number * 5.0)).alias("features"))
+
+
+@query("M12_two_columns", f"""
+    SELECT l_orderkey, l_linenumber, round(abs((l_quantity - mx) * cos(turn) + (l_quantity + l_linenumber * 5 - my) * sin(turn)), 6) AS abs_pc1, round(high / (high + low), 6) AS kept
+    FROM lineitem, ({PLANE})""")
+def _(spark, d):
+    shown, kept = clusters.project(plane(spark, d), k=1)
+    return shown.select("l_orderkey", "l_linenumber", F.round(F.abs("PC1"), 6).alias("abs_pc1"), F.lit(round(kept, 6)).alias("kept"))
+
+
+@query("M13_two_columns", f"""
+    SELECT 1 AS component, round(high / (high + low), 9) AS share, round(high / (high + low), 9) AS cumulative FROM ({PLANE})
+    UNION ALL SELECT 2, round(low / (high + low), 9), 1.0 FROM ({PLANE})""")
+def _(spark, d):
+    found = clusters.explained_variance(plane(spark, d))
+    return found.select("component", F.round("share", 9).alias("share"), F.round("cumulative", 9).alias("cumulative"))
