@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfsight.llm.registry import query, table
+from shelfsight.llm.registry import query, table, whole_texts
 from shelfsight.session import shared_folder, written
 
 END = 2
-CACHE = 500_000
+CACHE = 1_000_000
 TOGETHER = 4096
 NO_ID = np.iinfo(np.int64).min  # stands for a null document id in the files
 
@@ -53,18 +53,22 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.type).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
-        if len(self.words) + len(new) > CACHE:
-            self.words.clear()
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """The ids of each word with a space before it, which the cache gets as well."""
+        made: dict[str, bytes] = {}
         for at in range(0, len(new), TOGETHER):
             part = new[at : at + TOGETHER]
             ids = np.array(self.library.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, self.type)
             starts = np.flatnonzero(self.spaced[ids])
             if len(starts) == len(part):
                 flat, cuts = ids.tobytes(), (starts * self.type.itemsize).tolist() + [ids.nbytes]
-                self.words.update(zip(part, (flat[a:b] for a, b in zip(cuts, cuts[1:])), strict=True))
+                made.update(zip(part, map(flat.__getitem__, map(slice, cuts, cuts[1:])), strict=True))
             else:
-                self.words.update(zip(part, self._whole([" " + w for w in part]), strict=True))
+                made.update(zip(part, self._whole([" " + w for w in part]), strict=True))
+        if len(self.words) + len(made) > CACHE:
+            self.words.clear()
+        self.words.update(made)
+        return made
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned integers."""
@@ -76,15 +80,16 @@ class Encoder:
         for n, ids in zip(whole, self._whole([texts[n] for n in whole]), strict=True):
             out[n] = ids
         firsts = self._whole([words[0] for words in cut.values()])
+        get = self.words.get
+        found = {n: [get(w) for w in words[1:]] for n, words in cut.items()}
+        new = {w for n, ids in found.items() if None in ids for w, i in zip(cut[n][1:], ids, strict=True) if i is None}
+        if new:
+            fresh = self._learn(list(new))
+            for n, ids in found.items():
+                if None in ids:
+                    found[n] = [fresh[w] if i is None else i for w, i in zip(cut[n][1:], ids, strict=True)]
         for n, first in zip(cut, firsts, strict=True):
-            rest = cut[n][1:]
-            get = self.words.get
-            found = [get(w) for w in rest]
-            if None in found:
-                self._learn(list({w for w, ids in zip(rest, found, strict=True) if ids is None}))
-                known = self.words
-                found = [ids if ids is not None else known[w] for w, ids in zip(rest, found, strict=True)]
-            out[n] = first + b"".join(found)
+            out[n] = first + b"".join(found[n])
         return out
 
 
@@ -103,10 +108,14 @@ def _filesystem(folder: str):
 
 def _store(folder: str, name: str, attempt: int, write) -> None:
     """Write a file under another name and rename it, so that a lost or repeated task leaves no half of it."""
+    from pyarrow import fs
+
     files, root = _filesystem(folder)
     files.create_dir(root, recursive=True)
     with files.open_output_stream(f"{root}/.{name}.{attempt}") as out:
         write(out)
+    if files.get_file_info(f"{root}/{name}").type != fs.FileType.NotFound:  # of an earlier attempt, with the same content
+        files.delete_file(f"{root}/{name}")
     files.move(f"{root}/.{name}.{attempt}", f"{root}/{name}")
 
 
@@ -137,6 +146,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end: int = END) -
     parts; other columns are not looked at.
     """
     spark = docs.sparkSession
+    whole_texts(spark)
 
     def store(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task = TaskContext.get()
