@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsight.llm.registry import query, table, unused
+from shelfsight.llm.registry import query, table, unused, whole_texts
 from shelfsight.session import written
 
 LEAST_IMPORTANCE = 0.3
@@ -230,6 +230,7 @@ def extract_main_text(pages: DataFrame, least_importance: float = LEAST_IMPORTAN
     Null and empty pages give an empty text; a null or odd url counts as one host of its own. Repeated pages
     give repeated rows, an empty table an empty result. A column of ``pages`` named ``text`` is replaced.
     """
+    whole_texts(pages.sparkSession)
     marked = pages.select(host_of(F.col("url")).alias("host"), "html")
     low = style_tree(marked).where((F.col("importance") < least_importance) & (F.col("pages") >= least_pages))
     host, paths = unused(pages, "_host"), unused(pages, "_paths")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsight.llm.registry import query, table, unused
+from shelfsight.llm.registry import query, table, unused, whole_texts
 from shelfsight.session import shared_folder, written
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -126,6 +126,7 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: i
     """
     spark = docs.sparkSession
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    whole_texts(spark)
     path = shared_folder(spark, "line-keys")
     keys = docs.select(
         "doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int").alias("batch"), F.explode(_keys(min_chars)("text")).alias("key")

@@ -16,7 +16,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsight.llm.registry import query, table
+from shelfsight.llm.registry import query, table, whole_texts
 from shelfsight.session import written
 
 WORDS = 192  # most frequent words, units of their own
@@ -261,6 +261,7 @@ def score_texts(docs: DataFrame, training: Column) -> DataFrame:
     are scored like any other row. An empty table gives an empty result; other columns are not looked at.
     """
     spark = docs.sparkSession
+    whole_texts(spark)
     learnt = docs.where(training).select("text")
     counts = written(
         learnt.mapInPandas(_token_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")), "word-counts"

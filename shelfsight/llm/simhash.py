@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfsight.llm.components import connected_components
-from shelfsight.llm.registry import query, table
+from shelfsight.llm.registry import query, table, whole_texts
 from shelfsight.session import written
 
 SHINGLE = 3
@@ -104,6 +104,7 @@ def simhash_groups(docs: DataFrame, length: int = SHINGLE, max_bits: int = MAX_B
     fingerprint (null if all ids of a component are). Repeated rows give repeated rows. An empty table gives an
     empty result; other columns are not looked at.
     """
+    whole_texts(docs.sparkSession)
     prints = written(docs.select("doc_id", _simhashes(length)("text").alias("fingerprint")), "fingerprints")
     classes = written(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("smallest")), "fingerprint-classes")
     labels = connected_components(near_pairs(classes.select("fingerprint"), max_bits, spare))

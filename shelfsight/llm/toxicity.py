@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfsight.llm.lm_scoring import crc32_part
-from shelfsight.llm.registry import query, table, unused
+from shelfsight.llm.registry import query, table, unused, whole_texts
 from shelfsight.session import written
 
 EXAMPLES = 6144  # labelled rows the classifier is fitted on: those with the smallest hashes
@@ -229,6 +229,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, training: Column) -> Data
     labelled rows all scores are 0. Each row is scored by its text alone, so repeated rows agree. Columns of
     ``docs`` named ``score`` or ``evidence`` are replaced; an empty table gives an empty result.
     """
+    whole_texts(docs.sparkSession)
     index = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, training))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
