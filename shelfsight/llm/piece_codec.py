@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain, groupby
@@ -12,10 +13,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsight.llm.registry import query, table, unused
+from shelfsight.llm.registry import query, table, unused, whole_texts
 
 SPACE = "▁"
-CACHE = 500_000
+CACHE = 200_000
+LONGEST_PART = 64
+
+_RUNS = re.compile(f"[{SPACE}\\w]+|[^{SPACE}\\w]+").findall
 BATCH = 256
 
 
@@ -30,8 +34,8 @@ class PieceCodec:
     back, follows where none is. A bit field holds the positions from which no cover exists, so none is tried twice.
 
     Texts are cut before each space that does not follow a space; no piece has a space after another
-    character, so merges never cross these cuts. Characters outside the model cut words as well and
-    become bytes. Runs of spaces have pieces of equal rank, whose merges depend on their place; words that
+    character, so merges never cross these cuts. Words are cut further between letters and signs that no piece
+    has next to each other, and around characters outside the model, which become bytes. Runs of spaces have pieces of equal rank, whose merges depend on their place; words that
     follow such a run are merged step by step.
     """
 
@@ -68,8 +72,11 @@ class PieceCodec:
             self.shorter[piece] = next((piece[:n] for n in range(len(piece) - 1, 0, -1) if piece[:n] in self.halves), None)
         automaton.make_automaton()
         self.matches = automaton.iter
+        self.joints = {piece[n : n + 2] for piece in self.pieces for n in range(len(piece) - 1)}
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.signs: dict[str, list[int]] = {}
         self.words: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
 
     def _merge(self, word: str) -> tuple[list[str], tuple[str, str] | None]:
         """The pieces that merging the characters of ``word`` step by step gives, and the halves of the last merge."""
@@ -119,46 +126,81 @@ class PieceCodec:
                 due, right = rank[right] + 1, b[0]  # here, the one at the border
 
     def _cover(self, word: str) -> list[str]:
-        longest: list[str | None] = [None] * len(word)
-        for end, piece in self.matches(word):
-            start = end + 1 - len(piece)
-            if longest[start] is None or len(piece) > len(longest[start]):
-                longest[start] = piece
-        open_ends = (1 << (len(word) + 1)) - 1
+        size, shorter, pairs = len(word), self.shorter, self.pairs
+        longest: list[str | None] = [None] * size
+        for end, piece in self.matches(word):  # by rising end, so the last one for a start is the longest
+            longest[end + 1 - len(piece)] = piece
+        open_ends = (1 << (size + 1)) - 1
         taken: list[str] = []
-        at, piece, pairs = 0, longest[0], self.pairs
-        while at < len(word):
+        at, piece, before = 0, longest[0], ""
+        while at < size:
             while piece is not None:
                 if open_ends >> (at + len(piece)) & 1:
-                    if not taken:
+                    if not at:
                         break
-                    pair = (taken[-1], piece)
+                    pair = (before, piece)
                     fits = pairs.get(pair)
                     if fits is None:
-                        if len(pairs) >= 2 * CACHE:
+                        if len(pairs) >= CACHE:
                             pairs.clear()
-                        fits = pairs[pair] = self._compatible(*pair)
+                        fits = pairs[pair] = self._compatible(before, piece)
                     if fits:
                         break
-                piece = self.shorter[piece]
+                piece = shorter[piece]
             if piece is None:  # no cover goes on from here
                 open_ends &= ~(1 << at)
                 piece = taken.pop()
                 at -= len(piece)
+                before = taken[-1] if taken else ""
             else:
                 taken.append(piece)
+                before = piece
                 at += len(piece)
-                piece = longest[at] if at < len(word) else None
+                piece = longest[at] if at < size else None
         return taken
 
-    def word_ids(self, word: str) -> list[int]:
+    def _part_ids(self, part: str) -> list[int]:
+        if self.characters.issuperset(part):
+            taken = self._merge(part)[0] if part.startswith(SPACE * 2) else self._cover(part)
+            return [self.pieces[p] for p in taken]
         ids: list[int] = []
-        for known, characters in groupby(word, self.characters.__contains__):
-            part = "".join(characters)
-            if not known:
-                ids += [self.bytes[b] for b in part.encode()]
+        for known, characters in groupby(part, self.characters.__contains__):
+            run = "".join(characters)
+            ids += self._part_ids(run) if known else [self.bytes[b] for b in run.encode()]
+        return ids
+
+    def word_ids(self, word: str) -> list[int]:
+        """The ids of a word and the spaces inside it, cut where no piece has a letter and the sign next to it together."""
+        runs = _RUNS(SPACE + word.replace(" ", SPACE))
+        if len(runs) == 1:
+            return self._known(word, runs[0])
+        parts = runs[:1]
+        for run in runs[1:]:
+            if parts[-1][-1] + run[0] in self.joints:
+                parts[-1] += run
             else:
-                ids += [self.pieces[p] for p in (self._merge(part)[0] if part.startswith(SPACE * 2) else self._cover(part))]
+                parts.append(run)
+        ids = list(self._known(parts[0][1:].replace(SPACE, " "), parts[0]))
+        for part in parts[1:]:
+            signs = self.signs.get(part)
+            if signs is None:
+                signs = self._part_ids(part)
+                if len(self.signs) < CACHE // 4 and len(part) <= LONGEST_PART:
+                    self.signs[part] = signs
+            ids += signs
+        return ids
+
+    def _known(self, word: str, part: str) -> list[int]:
+        """The ids of a word without signs, from the newer or older half of the cache if it is there."""
+        ids = self.words.get(word)
+        if ids is None:
+            ids = self.older.get(word)
+            if ids is None:
+                ids = self._part_ids(part)
+            if len(word) <= LONGEST_PART:
+                if len(self.words) >= CACHE:
+                    self.words, self.older = {}, self.words
+                self.words[word] = ids
         return ids
 
     def encode(self, text: str) -> list[int]:
@@ -176,17 +218,9 @@ class PieceCodec:
                 else:
                     run += 1
             words = joined
-        known = self.words
-        found = [known.get(w) for w in words]
-        for n, ids in enumerate(found):
-            if ids is None:
-                word = words[n]
-                ids = known.get(word)
-                if ids is None:
-                    if len(known) >= CACHE:
-                        known.clear()
-                    ids = known[word] = self.word_ids(SPACE + word.replace(" ", SPACE))
-                found[n] = ids
+        found = list(map(self.words.get, words))
+        if None in found:
+            found = [self.word_ids(w) if ids is None else ids for w, ids in zip(words, found, strict=True)]
         return list(chain.from_iterable(found))
 
     def decode(self, ids: list[list[int]]) -> list[str]:
@@ -212,6 +246,7 @@ def encode_pieces(
     cache, so very long ones only need room for their ids. Repeated rows give repeated rows; an empty table
     gives an empty result.
     """
+    whole_texts(docs.sparkSession)
     summary = summary or (lambda ids, decoded: (ids, decoded))
     names = [c.split()[0] for c in columns.split(", ")]
 
