@@ -18,10 +18,11 @@ from shelfsight.session import written
 THRESHOLD = 0.9
 TARGET_RECALL = 0.99
 SAMPLE_VALUES = 2_000_000  # numbers in the sample that the codebooks are fitted on
-CHECKED = 256  # vectors of the sample that are compared with every row to find out how many cells to visit
+CANDIDATES = 2048  # vectors of the sample that are compared with every row to see which have partners
+CHECKED = 256  # groups of these, or copies where there are fewer, that tell how many cells to visit
 CELL_ROWS = 256
 MAX_CODES = 1024
-LEAST_CELLS, MOST_CELLS = 4, 64
+LEAST_CELLS = 4
 MEMBERS, PROBES = 256, 512  # rows of each side in one tile
 ROUNDS = 10
 
@@ -84,47 +85,116 @@ def unit(vectors: pd.Series) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def fit(classes: DataFrame, rows: int, dimension: int) -> tuple[MultiIndex, np.ndarray]:
-    """The index and the sample it was fitted on: the rows with the smallest hashes, ``SAMPLE_VALUES`` numbers at most."""
-    size = max(CHECKED, SAMPLE_VALUES // dimension)
-    sample = unit(classes.orderBy(F.xxhash64("rep"), "rep").limit(size).toPandas()["vector"])
+def fit(classes: DataFrame, rows: int, dimension: int) -> tuple[MultiIndex, np.ndarray, np.ndarray]:
+    """The index and the sample it was fitted on (ids and vectors): the rows with the smallest hashes, ``SAMPLE_VALUES`` numbers at most."""
+    size = max(CANDIDATES, SAMPLE_VALUES // dimension)
+    drawn = classes.select("rep", "vector").orderBy(F.xxhash64("rep"), "rep").limit(size).toPandas()
+    sample = unit(drawn["vector"])
     codes = max(1, min(math.isqrt(math.ceil(rows / CELL_ROWS)), MAX_CODES, len(sample)))
     half = (dimension + 1) // 2
-    return MultiIndex(_codebook(sample[:, :half], codes, 1), _codebook(sample[:, half:], codes, 2)), sample
+    return MultiIndex(_codebook(sample[:, :half], codes, 1), _codebook(sample[:, half:], codes, 2)), drawn["rep"].to_numpy(), sample
 
 
-def cells_to_visit(classes: DataFrame, index: MultiIndex, checked: np.ndarray, threshold: float, recall: float) -> int:
-    """How many cells to visit so that the share ``recall`` of links is found, measured by brute force.
+def _partners(classes: DataFrame, reps: np.ndarray, candidates: np.ndarray, threshold: float) -> np.ndarray:
+    """How many other rows each candidate is linked to, by brute force."""
 
-    Some vectors of the sample are compared with every row. A link is found if either end meets the other's
-    cell in time; the position it is met at is counted, so the driver gets one count per position.
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = np.zeros(len(candidates), np.int64)
+        for batch in batches:
+            for at in range(0, len(batch), MEMBERS):
+                part = batch.iloc[at : at + MEMBERS]
+                near = candidates @ unit(part["vector"]).T >= threshold
+                n += (near & (reps[:, None] != part["rep"].to_numpy())).sum(axis=1)
+        yield pd.DataFrame({"q": np.flatnonzero(n), "n": n[n > 0]})
+
+    found = np.zeros(len(candidates), np.int64)
+    for row in classes.select("rep", "vector").mapInPandas(counted, "q long, n long").groupBy("q").agg(F.sum("n").alias("n")).collect():
+        found[row.q] = row.n
+    return found
+
+
+def _one_of_each_group(candidates: np.ndarray, partners: np.ndarray, threshold: float) -> np.ndarray:
+    """The first of the candidates with partners in each group that their own links form."""
+    linked = np.flatnonzero(partners)
+    near = candidates[linked] @ candidates[linked].T >= threshold
+    np.fill_diagonal(near, True)
+    low = np.arange(len(linked))
+    while len(linked):
+        lower = np.where(near, low, len(linked)).min(axis=1)
+        if (lower == low).all():
+            break
+        low = lower
+    return linked[low == np.arange(len(linked))]
+
+
+def _copies_at(vectors: np.ndarray, cosine: float) -> np.ndarray:
+    """A seeded copy of each vector in a random direction, at just that cosine."""
+    aside = np.random.default_rng(3).normal(size=vectors.shape)
+    aside -= (aside * vectors).sum(axis=1, keepdims=True) * vectors
+    aside /= np.maximum(np.linalg.norm(aside, axis=1, keepdims=True), 1e-300)
+    return cosine * vectors + math.sqrt(max(0.0, 1 - cosine * cosine)) * aside
+
+
+def meeting_places(index: MultiIndex, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each pair of rows of ``a`` and ``b``: the least number of visits with which either meets the other's cell."""
+    sides = []
+    home = index.cells(a), index.cells(b)
+    places = np.ones(len(a), np.int64)
+    apart = np.flatnonzero(home[0] != home[1])
+    for x, target in ((a, home[1]), (b, home[0])):
+        near, far = index.distances(x[apart])
+        rows = np.arange(len(apart))
+        reach = near[rows, target[apart] // index.codes] + far[rows, target[apart] % index.codes]
+        far.sort(axis=1)
+        sides.append([1 + int(f.searchsorted(r - n).sum()) for n, f, r in zip(near, far, reach, strict=True)])
+    if len(apart):
+        places[apart] = np.minimum(np.min(sides, axis=0), index.codes**2)
+    return places
+
+
+def _visits(places: np.ndarray, weights: np.ndarray, recall: float) -> int:
+    """The least number of visits with which the share ``recall`` of the weights is met."""
+    if not len(places):
+        return LEAST_CELLS
+    order = np.argsort(places, kind="stable")
+    met = np.cumsum(weights[order])
+    return int(places[order][np.searchsorted(met, min(recall, 1) * met[-1] * (1 - 1e-12))])
+
+
+def cells_to_visit(classes: DataFrame, index: MultiIndex, reps: np.ndarray, sample: np.ndarray, threshold: float, recall: float) -> int:
+    """How many cells to visit so that the share ``recall`` is found, measured by brute force; as many as that takes.
+
+    ``CANDIDATES`` vectors of the sample are compared with every row to see which have partners; of each group among
+    them one is checked, ``CHECKED`` at most. A link is found if either end meets the other's cell in time.
+    The share has to be reached over all links of the checked vectors and as a mean of the shares of each, so that a
+    group with most of the links does not speak for the small ones. Fewer groups than ``CHECKED`` say too little
+    about rare links; other vectors then make up the number with copies at just the threshold, whose share counts
+    by itself. The driver gets one row per position.
     """
-    near, far = index.distances(checked)
-    cell = index.cells(checked)
-    walks = index.traverse(checked, MOST_CELLS)
+    reps, candidates = reps[:CANDIDATES], sample[:CANDIDATES]
+    partners = _partners(classes, reps, candidates, threshold)
+    chosen = _one_of_each_group(candidates, partners, threshold)[:CHECKED]
+    ids, checked, degree = reps[chosen], candidates[chosen], partners[chosen]
+    rest = np.setdiff1d(np.arange(len(candidates)), chosen)
+    rest = rest[np.argsort(partners[rest] > 0, kind="stable")][: CHECKED - len(chosen)]
+    copied = meeting_places(index, candidates[rest], _copies_at(candidates[rest], min(max(threshold, -1.0), 1.0)))
+    needed = [LEAST_CELLS, _visits(copied, np.ones(len(copied)), recall)]
 
     def positions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = unit(batch["vector"])
-            q, r = np.nonzero(checked @ x.T >= threshold)
-            other = (checked[q] != x[r]).any(axis=1)
-            q, r = q[other], r[other]
-            if len(q):
-                hit = walks[q] == index.cells(x[r])[:, None]
-                back = index.traverse(x[r], MOST_CELLS) == cell[q][:, None]
-                met = hit | back
-                place = np.where(met.any(axis=1), met.argmax(axis=1) + 1, MOST_CELLS + 1)
-                found = np.bincount(place)
-                yield pd.DataFrame({"place": np.flatnonzero(found), "n": found[found > 0]})
-
-    places = classes.select("vector").mapInPandas(positions, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
-    counted = sorted((r.place, r.n) for r in places.collect())
-    total, upto = sum(n for _, n in counted), 0
-    for place, n in counted:
-        upto += n
-        if upto >= recall * total:
-            return max(LEAST_CELLS, min(place, MOST_CELLS))
-    return LEAST_CELLS
+            for at in range(0, len(batch), MEMBERS):
+                part = batch.iloc[at : at + MEMBERS]
+                x = unit(part["vector"])
+                q, r = np.nonzero((checked @ x.T >= threshold) & (ids[:, None] != part["rep"].to_numpy()))
+                if len(q):
+                    found = pd.DataFrame({"place": meeting_places(index, checked[q], x[r]), "n": 1, "share": 1 / degree[q]})
+                    yield found.groupby("place", as_index=False).sum()
+
+    if len(chosen):
+        places = classes.select("rep", "vector").mapInPandas(positions, "place long, n long, share double")
+        met = places.groupBy("place").agg(F.sum("n").alias("n"), F.sum("share").alias("share")).toPandas()
+        needed += [_visits(met["place"].to_numpy(), met[weight].to_numpy(np.float64), recall) for weight in ("n", "share")]
+    return max(needed)
 
 
 def _placed(index: MultiIndex, visits: int):
@@ -176,8 +246,8 @@ def _links(threshold: float):
 
 def _compare(classes: DataFrame, dimension: int, threshold: float, recall: float) -> DataFrame:
     rows = classes.count()
-    index, sample = fit(classes, rows, dimension)
-    visits = cells_to_visit(classes, index, sample[:CHECKED], threshold, recall)
+    index, reps, sample = fit(classes, rows, dimension)
+    visits = cells_to_visit(classes, index, reps, sample, threshold, recall)
     schema = "rep long, copies long, vector array<float>, cell long, walk array<long>"
     if dict(classes.dtypes)["vector"] != "array<float>":
         schema = schema.replace("array<float>", "array<double>")
@@ -209,7 +279,8 @@ def embedding_groups(
     index brings them together. Equal vectors are one class, compared once. Independent codebooks on the two
     halves of the vectors, fitted on a bounded sample, give a grid of cells; every vector lies in one cell and
     visits the nearest ones in multi-sequence order, as many as a brute-force comparison of some vectors with
-    all rows needs for the target recall. What meets in a cell is verified in tiles of bounded size, which
+    all rows (and with copies at the threshold, where few have partners) needs for the target recall, per link
+    and per vector. What meets in a cell is verified in tiles of bounded size, which
     return counts and spanning edges rather than pairs, so a crowded cell is spread over many tasks.
 
     ``component_id`` is the smallest id that links reach, and a row is kept if that is its own. Vectors that

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from shelfsight.llm import embedding_dedup
 from shelfsight.llm.components import connected_components
 from shelfsight.llm.embedding_dedup import MultiIndex, embedding_groups
 from shelfsight.llm.simhash import near_pairs, simhash, simhash_groups
@@ -154,6 +155,36 @@ def test_a_crowded_cell_is_cut_into_tiles(spark):
     assert sum(got[i] == want[i] for i in want) >= 0.98 * len(want)
 
 
+def test_rare_links_beside_a_dense_group(spark, monkeypatch):
+    """The dense group has nearly all links and is met in the first cells; the rare pairs need more."""
+    monkeypatch.setattr(embedding_dedup, "CELL_ROWS", 16)
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=32)
+    dense = base + rng.normal(scale=0.02, size=(800, 32))
+    ends = rng.normal(size=(200, 32))
+    ends /= np.linalg.norm(ends, axis=1, keepdims=True)
+    others = embedding_dedup._copies_at(ends, 0.905)
+    x = np.concatenate([dense, rng.normal(size=(1300, 32)), ends, others])
+    made = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.component_id for r in embedding_groups(made).collect()}
+    assert sum(got[n] == 0 for n in range(800)) >= 0.99 * 800
+    assert sum(got[2100 + n] == got[2300 + n] for n in range(200)) >= 0.97 * 200
+
+
+def test_visits_are_measured_without_links(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(2000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    classes = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(x)], "rep long, vector array<double>")
+    codes = rng.normal(size=(2, 12, 16)) / 6
+    index = MultiIndex(*codes)
+    visits = embedding_dedup.cells_to_visit(classes, index, np.arange(2000), x, 0.9, 0.99)
+    ends = x[1000:]
+    others = embedding_dedup._copies_at(ends, 0.9)
+    met = (index.traverse(ends, visits) == index.cells(others)[:, None]).any(axis=1) | (index.traverse(others, visits) == index.cells(ends)[:, None]).any(axis=1)
+    assert visits > 4 and met.mean() >= 0.97
+
+
 def test_multi_sequence_order():
     rng = np.random.default_rng(2)
     index = MultiIndex(rng.normal(size=(7, 3)), rng.normal(size=(7, 3)))
