@@ -45,20 +45,29 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _DIGITS = re.compile(r"\d+")
 
 
+def _named_noise(names: str) -> bool:
+    """Whether a class, id or role is the name of noise or begins with one, as ``ad``, ``ad-slot`` and ``cookieNotice`` do."""
+    heads = (_PARTS.search(token) for token in names.split())
+    return any(head is not None and head.group().lower() in NOISE_NAMES for head in heads)
+
+
 class Node:
-    __slots__ = ("tag", "style", "parent", "children", "noise", "content", "named")
+    __slots__ = ("tag", "style", "parent", "children", "noise", "content", "suspect")
 
     def __init__(self, tag: str, attrs: dict[str, str | None], parent: Node | None):
         self.tag, self.parent, self.children = tag, parent, []
         names = " ".join(filter(None, (attrs.get("class"), attrs.get("id"), attrs.get("role"))))
-        parts = {p.lower() for p in _PARTS.findall(names)}
         inside = parent is not None and parent.content
         self.noise = (
-            (parent is not None and parent.noise) or tag in UNSEEN or tag in FURNITURE or bool(parts & NOISE_NAMES) or "hidden" in attrs
-            or (not inside and (tag == "header" or "header" in parts))
+            (parent is not None and parent.noise) or tag in UNSEEN or tag in FURNITURE or "hidden" in attrs or (not inside and tag == "header")
+        )
+        marks = tag in CONTENT or "main" in (attrs.get("role") or "").lower().split()
+        self.content = inside or marks
+        # Names are judged when the whole page is known.
+        self.suspect = (
+            tag not in ("html", "body") and (inside or not marks)
+            and (_named_noise(names) or (not inside and any(t.lower() == "header" for t in names.split())))
         )
-        self.content = inside or tag in CONTENT or "main" in parts or "article" in parts
-        self.named = bool(names)
         self.style = (parent.style + ">" if parent is not None else "") + tag + ("." + _DIGITS.sub("0", " ".join(sorted(names.split()))) if names else "")
 
 
@@ -72,6 +81,33 @@ class Page(HTMLParser):
         self.feed(html or "")
         self.close()
         self._flush()
+        self._judge()
+
+    def _judge(self) -> None:
+        """Make noise of the elements named like it, with what is in them, unless they hold most of what the page has to say.
+
+        That is most words of its marked content, or of the page if it marks none; and if no marked word would
+        be left, names count for nothing around marked content.
+        """
+        nodes = list(self.nodes())
+        if not any(node.suspect for node in nodes):
+            return
+        words: dict[Node, list[int]] = {}  # in the branch: in all, marked, and marked outside of suspects around it
+        under: dict[Node, bool] = {}
+        for node in nodes:
+            outside = node.parent is None or not node.content
+            under[node] = (node.parent is not None and under[node.parent]) or (node.suspect and outside)
+            n = sum(len(c.split()) for c in node.children if isinstance(c, str))
+            words[node] = [n, n * node.content, n * (node.content and not under[node])]
+        for node in reversed(nodes):
+            if node.parent is not None:
+                words[node.parent] = [x + y for x, y in zip(words[node.parent], words[node], strict=True)]
+        total, marked, plain = words[self.root]
+        for node in nodes:
+            n, n_marked, _ = words[node]
+            most = 2 * n_marked > marked if marked else 2 * n > total
+            around = n_marked > 0 and not node.content and not plain
+            node.noise = (node.parent is not None and node.parent.noise) or (node.suspect and not most and not around)
 
     def _flush(self) -> None:
         words = "".join(self.text).split()
@@ -99,7 +135,7 @@ class Page(HTMLParser):
         values = dict(attrs)
         if tag in INLINE:
             node = Node(tag, values, self.open)
-            if not node.noise or self.open.noise:
+            if not (node.noise or node.suspect) or self.open.noise:
                 return
         else:
             if tag in CLOSED_BY_SAME:
@@ -192,7 +228,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
 def main_text(html: str | None, unimportant: set[int]) -> str:
     """The texts of a page outside unimportant branches, one per line.
 
-    If the page marks its content (``article``, ``main`` or a name or role like that), only texts in it count;
+    If the page marks its content (``article``, ``main`` or the role ``main``), only texts in it count;
     what leads there is never unimportant, and inside only branches with a name of their own can be.
     """
     page = Page(html)
@@ -208,7 +244,7 @@ def main_text(html: str | None, unimportant: set[int]) -> str:
         if isinstance(node, str):
             found.append(node)
         elif not node.noise and (
-            node in leading or not unimportant or (node.content and not node.named) or _hash(node.style) not in unimportant
+            node in leading or not unimportant or (node.content and "." not in node.style.rpartition(">")[2]) or _hash(node.style) not in unimportant
         ):
             waiting.extend(c for c in reversed(node.children) if isinstance(c, Node) or node.content or not marked)
     return "\n".join(found)
@@ -224,7 +260,8 @@ def extract_main_text(pages: DataFrame, least_importance: float = LEAST_IMPORTAN
 
     Branches of the :func:`style_tree` of the page's host below ``least_importance`` are removed, on hosts with at
     least ``least_pages`` pages. Entropy alone cannot tell an advert or a menu whose words change from page to
-    page, so elements whose tag, class, id or role says what they are have no importance, on any host. What
+    page, so elements whose tag, or a class, id or role that is or begins with the name of noise, says what they are
+    have no importance, on any host; names do not count on ``html``, ``body`` and what holds most of the text. What
     stays is the text of each block with character references decoded and white space as one space.
 
     Null and empty pages give an empty text; a null or odd url counts as one host of its own. Repeated pages

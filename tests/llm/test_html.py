@@ -35,6 +35,22 @@ def test_one_page(html, want):
     assert main_text(html, set()) == want
 
 
+@pytest.mark.parametrize(("html", "want"), [
+    ("<h1 class=article-title>T</h1><div class=post-body><p>one two</p></div>", "T\none two"),
+    ("<h1 class=main-title>T</h1><div class=article-meta>m</div><img class=entry-main-image><p>text", "T\nm\ntext"),
+    ("<div role=main><p>a</div><p>outside", "a"),
+    *[(f"<html><body class='{c}'><p>all the text</p></body></html>", "all the text")
+      for c in ("single has-sidebar", "no-sidebar", "menu-open", "layout-with-sidebar", "article social-news")],
+    *[(f"<div class='{c}'><p>all the text</p></div><p>end", "all the text\nend") for c in ("has-sidebar", "menu-open", "article social-news")],
+    ("<div class=menu-open><article class=social-news><p>a</p></article><p>b b b b</div>", "a"),
+    ("<article><p>a b c</article><div class=comments><article>d</article></div>", "a b c"),
+    ("<div class=promo-a><article>a</article></div><div class=promo-b><article>b</article></div><div class=promo-c><article>c</article></div>", "a\nb\nc"),
+    ("<article><div class=social-body><p>a b c</div><div class=promo>d</div></article>", "a b c"),
+])
+def test_names_drop_no_main_text(html, want):
+    assert main_text(html, set()) == want
+
+
 def texts(frame):
     return {r.page_id: r.text for r in extract_main_text(frame).collect()}
 
