@@ -97,7 +97,7 @@ class Page(HTMLParser):
         for node in nodes:
             outside = node.parent is None or not node.content
             under[node] = (node.parent is not None and under[node.parent]) or (node.suspect and outside)
-            n = sum(len(c.split()) for c in node.children if isinstance(c, str))
+            n = sum(c.count(" ") + 1 for c in node.children if isinstance(c, str))
             words[node] = [n, n * node.content, n * (node.content and not under[node])]
         for node in reversed(nodes):
             if node.parent is not None:
@@ -174,13 +174,15 @@ def _hash(text: str) -> int:
 
 
 def _observed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """What pages show of each node: its texts (of the whole branch) and the styles of its children, each with
-    the sum of the counts per page and the sum of count * ln count."""
+    """What each page shows of each node: its texts (of the whole branch) and the styles of its children, each with
+    its count; and a digest of the page's body, which is its marked content, or all texts if it marks none."""
     for batch in batches:
-        sums: dict[tuple, list[float]] = {}
+        rows = []
         for host, html in zip(batch["host"], batch["html"], strict=True):
             seen: Counter[tuple[int, bool, int]] = Counter()
             paths: dict[Node, list[int]] = {}
+            body: list[str] = []
+            everything: list[str] = []
             for node in Page(html).nodes():
                 above = paths.get(node.parent, []) if node.parent is not None else []
                 own = paths[node] = [*above, _hash(node.style)]
@@ -189,15 +191,15 @@ def _observed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     if isinstance(child, str):
                         feature = _hash(child)
                         seen.update((path, True, feature) for path in own)
-            for (path, is_text, feature), n in seen.items():
-                total = sums.setdefault((host, path, is_text, feature), [0, 0.0])
-                total[0] += n
-                total[1] += n * math.log(n)
-        rows = [(*key, *total) for key, total in sums.items()]
-        yield pd.DataFrame(rows, columns=["host", "path", "is_text", "feature", "n", "n_ln_n"])
+                        everything.append(child)
+                        if node.content:
+                            body.append(child)
+            path, is_text, feature = zip(*seen, strict=True)
+            rows.append((host, _hash("\n".join(body or everything)), path, is_text, feature, list(seen.values())))
+        yield pd.DataFrame(rows, columns=["host", "body", "path", "is_text", "feature", "n"])
 
 
-def style_tree(pages: DataFrame) -> DataFrame:
+def style_tree(pages: DataFrame, bodies_once: bool = False) -> DataFrame:
     """The merged style trees of all hosts: ``(host, path, importance, pages)`` for each node (``path`` is a hash).
 
     The pages of a host are merged by the styles (tag, class, id and role) from the root down. The content of a
@@ -206,10 +208,24 @@ def style_tree(pages: DataFrame) -> DataFrame:
     importance is 1 minus the mean over all different texts of the branch. The presentation of a node is
     important as far as its sequences of child styles differ. Counts are combined in tasks and then by host,
     node and feature, so a host with a third of all pages is spread by its texts.
+
+    With ``bodies_once``, pages of a host with equal bodies count as one page (of those, the smallest in what it
+    shows), so that copies of an article do not look like a template.
     """
-    hosts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    seen = pages.select("host", "html").mapInPandas(_observed, "host string, path long, is_text boolean, feature long, n long, n_ln_n double")
-    features = seen.groupBy("host", "path", "is_text", "feature").agg(F.sum("n").alias("n"), F.sum("n_ln_n").alias("n_ln_n"))
+    seen = pages.select("host", "html").mapInPandas(
+        _observed, "host string, body long, path array<long>, is_text array<boolean>, feature array<long>, n array<long>"
+    )
+    shown = F.struct("path", "is_text", "feature", "n")
+    if bodies_once:
+        seen = seen.groupBy("host", "body").agg(F.min(shown).alias("shown"))
+    else:
+        seen = seen.select("host", "body", shown.alias("shown"))
+    seen = written(seen.select("host", "shown.*"), "page-features")
+    hosts = seen.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    each = seen.select("host", F.explode(F.arrays_zip("path", "is_text", "feature", "n")).alias("f")).select("host", "f.*")
+    features = each.groupBy("host", "path", "is_text", "feature").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.log(F.col("n"))).alias("n_ln_n")
+    )
     spread = F.log(F.col("n")) - F.col("n_ln_n") / F.col("n")
     nodes = features.groupBy("host", "path").agg(
         F.avg(F.when(F.col("is_text"), spread)).alias("repeated"),
@@ -228,24 +244,25 @@ def style_tree(pages: DataFrame) -> DataFrame:
 def main_text(html: str | None, unimportant: set[int]) -> str:
     """The texts of a page outside unimportant branches, one per line.
 
-    If the page marks its content (``article``, ``main`` or the role ``main``), only texts in it count;
-    what leads there is never unimportant, and inside only branches with a name of their own can be.
+    If the page marks its content (``article``, ``main`` or the role ``main``), only texts in it count. A branch is
+    removed, inside marked content and outside alike, if it and all branches in it are unimportant.
     """
     page = Page(html)
-    marked = [node for node in page.nodes() if node.content and not (node.parent and node.parent.content)]
-    leading: set[Node] = set()
-    for node in marked:
-        while (node := node.parent) is not None and node not in leading:
-            leading.add(node)
+    nodes = list(page.nodes())
+    marked = any(node.content for node in nodes)
+    kept = set() if unimportant else set(nodes)
+    for node in reversed(nodes if unimportant else []):
+        if node in kept or _hash(node.style) not in unimportant:
+            kept.add(node)
+            if node.parent is not None:
+                kept.add(node.parent)
     found: list[str] = []
     waiting: list[Node | str] = [page.root]
     while waiting:
         node = waiting.pop()
         if isinstance(node, str):
             found.append(node)
-        elif not node.noise and (
-            node in leading or not unimportant or (node.content and "." not in node.style.rpartition(">")[2]) or _hash(node.style) not in unimportant
-        ):
+        elif node in kept:
             waiting.extend(c for c in reversed(node.children) if isinstance(c, Node) or node.content or not marked)
     return "\n".join(found)
 
@@ -258,8 +275,8 @@ def host_of(url: Column) -> Column:
 def extract_main_text(pages: DataFrame, least_importance: float = LEAST_IMPORTANCE, least_pages: int = LEAST_PAGES) -> DataFrame:
     """``pages`` (with ``url`` and ``html``) with ``text`` added, all other columns kept.
 
-    Branches of the :func:`style_tree` of the page's host below ``least_importance`` are removed, on hosts with at
-    least ``least_pages`` pages. Entropy alone cannot tell an advert or a menu whose words change from page to
+    Branches of the :func:`style_tree` of the page's host that lie below ``least_importance`` with all that is in
+    them are removed, on hosts with at least ``least_pages`` pages of different bodies. Entropy alone cannot tell an advert or a menu whose words change from page to
     page, so elements whose tag, or a class, id or role that is or begins with the name of noise, says what they are
     have no importance, on any host; names do not count on ``html``, ``body`` and what holds most of the text. What
     stays is the text of each block with character references decoded and white space as one space.
@@ -269,7 +286,7 @@ def extract_main_text(pages: DataFrame, least_importance: float = LEAST_IMPORTAN
     """
     whole_texts(pages.sparkSession)
     marked = pages.select(host_of(F.col("url")).alias("host"), "html")
-    low = style_tree(marked).where((F.col("importance") < least_importance) & (F.col("pages") >= least_pages))
+    low = style_tree(marked, bodies_once=True).where((F.col("importance") < least_importance) & (F.col("pages") >= least_pages))
     host, paths = unused(pages, "_host"), unused(pages, "_paths")
     low = written(low.groupBy(F.col("host").alias(host)).agg(F.collect_set("path").alias(paths)), "unimportant")
 

@@ -71,6 +71,17 @@ def test_copies_of_an_article_stay(spark):
     assert set(texts(made).values()) == {"The same text"}
 
 
+def test_repeated_branches_in_marked_content_go(spark):
+    """Unnamed or not: a notice on every page is a template, and the article around it is none, though many show it."""
+    notice = "<section><p>All rights held</p><ul><li>Write to us<li>Report this</ul></section>"
+    rows = [(i, "http://a.example.com/", f"<div>frame {i}</div><article><h1>Title {i % 8}</h1><p>word{i % 8} here</p>{notice}</article>") for i in range(40)]
+    made = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert texts(made) == {i: f"Title {i % 8}\nword{i % 8} here" for i in range(40)}
+    same = [(i, u, html) if i % 8 else (i, u, rows[0][2].replace("frame 0", f"frame {i}")) for i, u, html in rows]
+    many = spark.createDataFrame(same + [(i + 100, u, rows[0][2].replace("frame 0", f"frame {i}")) for i, u, _ in rows], "page_id long, url string, html string")
+    assert texts(many)[100] == "Title 0\nword0 here"
+
+
 def test_importance_by_hand(spark):
     rows = [(i, "http://h.example.com/", f"<div class=x><p>same</p><h2>own {i // 2}</h2></div>") for i in range(8)]
     made = spark.createDataFrame(rows, "page_id long, url string, html string").select(host_of(F.col("url")).alias("host"), "html")
