@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from shelfsight.llm.line_dedup import drop_repeated_lines
 from shelfsight.llm.mixing import mixed
 from shelfsight.llm.piece_codec import coded_documents
-from shelfsight.llm.registry import unused
-from shelfsight.llm.simhash import simhash_groups
+from shelfsight.llm.simhash import one_of_each_group
 from shelfsight.llm.toxicity import toxic_documents
 from shelfsight.session import shared_folder
 
@@ -32,11 +31,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    groups = simhash_groups(docs)
-    kept_id = unused(docs, "_kept")
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(kept_id))
-    return docs.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col(kept_id)), "left_semi")
+    """One document of each group of near copies: the one with the smallest id, and one only where ids repeat."""
+    return one_of_each_group(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfsight.llm.components import connected_components
-from shelfsight.llm.registry import query, table, whole_texts
+from shelfsight.llm.registry import query, table, unused, whole_texts
 from shelfsight.session import written
 
 SHINGLE = 3
@@ -92,6 +92,15 @@ def near_pairs(prints: DataFrame, max_bits: int = MAX_BITS, spare: int = SPARE_B
     return a.join(b, on & near & first).select(F.col("x.fingerprint").alias("a"), F.col("y.fingerprint").alias("b"))
 
 
+def _placed(classes: DataFrame, max_bits: int, spare: int) -> DataFrame:
+    """``classes`` (one row per fingerprint) with the component of each: a fingerprint that stands for it."""
+    classes = written(classes, "fingerprint-classes")
+    labels = connected_components(near_pairs(classes.select("fingerprint"), max_bits, spare))
+    return classes.join(labels.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
+        *classes.columns, F.coalesce("component", "fingerprint").alias("component")
+    )
+
+
 def simhash_groups(docs: DataFrame, length: int = SHINGLE, max_bits: int = MAX_BITS, spare: int = SPARE_BLOCKS) -> DataFrame:
     """One row per row of ``docs``: ``(doc_id, fingerprint, component_id)``.
 
@@ -106,16 +115,41 @@ def simhash_groups(docs: DataFrame, length: int = SHINGLE, max_bits: int = MAX_B
     """
     whole_texts(docs.sparkSession)
     prints = written(docs.select("doc_id", _simhashes(length)("text").alias("fingerprint")), "fingerprints")
-    classes = written(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("smallest")), "fingerprint-classes")
-    labels = connected_components(near_pairs(classes.select("fingerprint"), max_bits, spare))
-    placed = classes.join(labels.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
-        "fingerprint", "smallest", F.coalesce("component", "fingerprint").alias("component")
-    )
+    placed = _placed(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("smallest")), max_bits, spare)
     smallest = placed.groupBy("component").agg(F.min("smallest").alias("component_id"))
     ids = written(placed.select("fingerprint", "component").join(smallest, "component").select("fingerprint", "component_id"), "fingerprint-ids")
     return prints.join(ids, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def one_of_each_group(docs: DataFrame, length: int = SHINGLE, max_bits: int = MAX_BITS, spare: int = SPARE_BLOCKS) -> DataFrame:
+    """One row of ``docs`` from each group of near copies, as :func:`simhash_groups` links them.
+
+    It is the row with the smallest id (null after all others); of rows that share it, the one with the smallest
+    digest of all columns; and of rows equal in all columns just one. So ids may repeat, within groups and
+    between them. Rows are counted by fingerprint, id and digest before they meet in a group.
+    """
+    whole_texts(docs.sparkSession)
+    digest = unused(docs, "_digest")
+    rows = docs.withColumn(digest, F.unhex(F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])), 256)))
+    prints = written(
+        rows.select("doc_id", F.col(digest).alias("digest"), _simhashes(length)("text").alias("fingerprint")), "fingerprints"
+    )
+    counted = prints.groupBy("fingerprint", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n"))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest", "n")
+    placed = _placed(counted.groupBy("fingerprint").agg(F.min(row).alias("first")), max_bits, spare)
+    first = written(placed.groupBy("component").agg(F.min("first").alias("first")).select("first.*"), "fingerprint-firsts")
+    kept_id, kept_digest = unused(rows, "_kept"), unused(rows, "_kept_digest")
+
+    def chosen(firsts: DataFrame) -> DataFrame:
+        keys = firsts.select(F.col("doc_id").alias(kept_id), F.col("digest").alias(kept_digest)).hint("merge")
+        return rows.join(keys, F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col(digest) == F.col(kept_digest)), "left_semi")
+
+    found, several = chosen(first.where("n = 1")), first.where("n > 1")
+    if not several.isEmpty():
+        found = found.unionByName(chosen(several).dropDuplicates(["doc_id", digest]))
+    return found.drop(digest)
+
+
 @query("op1_simhash_dedup")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_groups(table(spark, folder, "documents"))

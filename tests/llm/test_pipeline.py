@@ -69,6 +69,17 @@ def test_one_of_each_group_stays(steps):
     assert not keyed(steps[3]) - keyed(steps[2])
 
 
+def test_one_of_each_group_stays_where_ids_repeat(spark, docs):
+    """Repeated rows, one id over two texts of a group, and an id that is the smallest of one group and in another."""
+    a, b = "one two three four five six seven", "quite other words stand in this text here"
+    rows = [(1, a, "en", "s", 1), (1, a, "en", "s", 1), (1, a, "en", "t", 1), (2, a, "en", "s", 1), (0, b, "en", "s", 1), (1, b, "en", "s", 1),
+            (None, "no id but a text", "en", "s", 1), (None, "no id but a text", "en", "s", 1)]
+    found = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, docs.schema).repartition(3), "").collect()
+    assert sorted((str(r.doc_id), r.text) for r in found) == sorted([("1", a), ("0", b), ("None", "no id but a text")])
+    once = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    assert keyed(corpus_pipeline.drop_near_copies(spark, docs.unionAll(docs), "").collect()) == keyed(once)
+
+
 def test_mix(spark, steps):
     docs = spark.createDataFrame([tuple(r) for r in steps[3]], ",".join(f"{c} {t}" for c, t in zip(COLUMNS, ("long", "string", "string", "string", "int"))))
     copies = Counter()
