@@ -211,11 +211,26 @@ def _grams(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([grams.of(text).view(np.int64) for text in batch], dtype=object)
 
 
+def _fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The model of all examples, which come to one task, as rows: a first one for the curve, then one per n-gram."""
+    lists, good = [], []
+    for batch in batches:
+        lists += [np.asarray(g, np.int64).view(np.uint64) for g in batch["grams"]]
+        good += list(batch["good"] == 1)
+    if not lists:
+        return
+    model = Model.fit(lists, np.array(good))
+    yield pd.DataFrame({"gram": [0], "weight": [0.0], "square": [0.0], "curve": [[model.bias, model.slope, model.offset]]})
+    for at in range(0, len(model.grams), 1 << 18):
+        part = slice(at, at + (1 << 18))
+        yield pd.DataFrame({"gram": model.grams[part].view(np.int64), "weight": model.weights[part], "square": model.squares[part], "curve": None})
+
+
 def fit(docs: DataFrame, labels: DataFrame, training: Column, examples: int = EXAMPLES, entries: int = ENTRIES) -> Model:
     """Learns from at most ``examples`` labelled rows where ``training`` holds, those whose ids have the smallest hashes.
 
     Their n-grams are taken in tasks; rows are used in the order of their hashes as long as they have at most
-    ``entries`` n-grams together, which bounds what the driver gets. An id that is labelled both ways counts as bad.
+    ``entries`` n-grams together, which bounds the one task that fits the model and the model itself. An id that is labelled both ways counts as bad.
     Rows without an id, label or document teach nothing.
     """
     chosen = (
@@ -231,8 +246,15 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, examples: int = EX
     )
     sizes = found.select(*order, F.size("grams").alias("n")).orderBy(*order).limit(examples).toPandas()
     used = int((sizes["n"].cumsum() <= entries).sum())
-    rows = found.orderBy(*order).limit(used).select("good", "grams").toPandas()
-    return Model.fit([np.asarray(g, np.int64).view(np.uint64) for g in rows["grams"]], rows["good"].to_numpy() == 1)
+    rows = found.orderBy(*order).limit(used).select("good", "grams")
+    fitted = written(rows.mapInPandas(_fitted, "gram long, weight float, square float, curve array<double>"), "quality-model")
+    curve = fitted.where("curve IS NOT NULL").select("curve").collect()
+    if not curve:
+        return Model()
+    parts = fitted.where("curve IS NULL").select("gram", "weight", "square").toPandas()
+    grams = parts["gram"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(grams)
+    return Model(grams[order], parts["weight"].to_numpy()[order], parts["square"].to_numpy()[order], *curve[0]["curve"])
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, training: Column) -> DataFrame:
