@@ -26,6 +26,8 @@ ENOUGH = 0.01  # dual coordinate descent ends when no projected gradient is fart
 FOLDS = 3
 THRESHOLD = 0.7
 SEED = 11
+CHUNK = 1 << 16  # n-grams in a row of the stored model
+PACKED = {"grams": np.uint64, "weights": np.float32, "squares": np.float32}
 REMEMBERED = 200_000  # words whose hashes a worker keeps
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -212,7 +214,7 @@ def _grams(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def _fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The model of all examples, which come to one task, as rows: a first one for the curve, then one per n-gram."""
+    """The model of all examples, which come to one task: rows of ``CHUNK`` n-grams each, packed, beside the curve."""
     lists, good = [], []
     for batch in batches:
         lists += [np.asarray(g, np.int64).view(np.uint64) for g in batch["grams"]]
@@ -220,10 +222,10 @@ def _fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     if not lists:
         return
     model = Model.fit(lists, np.array(good))
-    yield pd.DataFrame({"gram": [0], "weight": [0.0], "square": [0.0], "curve": [[model.bias, model.slope, model.offset]]})
-    for at in range(0, len(model.grams), 1 << 18):
-        part = slice(at, at + (1 << 18))
-        yield pd.DataFrame({"gram": model.grams[part].view(np.int64), "weight": model.weights[part], "square": model.squares[part], "curve": None})
+    arrays = dict(zip(PACKED, (model.grams, model.weights, model.squares), strict=True))
+    for part, at in enumerate(range(0, max(1, len(model.grams)), CHUNK)):
+        packed = {name: [array[at : at + CHUNK].tobytes()] for name, array in arrays.items()}
+        yield pd.DataFrame({"part": [part], **packed, "curve": [[model.bias, model.slope, model.offset]]})
 
 
 def fit(docs: DataFrame, labels: DataFrame, training: Column, examples: int = EXAMPLES, entries: int = ENTRIES) -> Model:
@@ -247,14 +249,12 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, examples: int = EX
     sizes = found.select(*order, F.size("grams").alias("n")).orderBy(*order).limit(examples).toPandas()
     used = int((sizes["n"].cumsum() <= entries).sum())
     rows = found.orderBy(*order).limit(used).select("good", "grams")
-    fitted = written(rows.mapInPandas(_fitted, "gram long, weight float, square float, curve array<double>"), "quality-model")
-    curve = fitted.where("curve IS NOT NULL").select("curve").collect()
-    if not curve:
+    fitted = written(rows.mapInPandas(_fitted, "part long, grams binary, weights binary, squares binary, curve array<double>"), "quality-model")
+    parts = fitted.orderBy("part").collect()
+    if not parts:
         return Model()
-    parts = fitted.where("curve IS NULL").select("gram", "weight", "square").toPandas()
-    grams = parts["gram"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(grams)
-    return Model(grams[order], parts["weight"].to_numpy()[order], parts["square"].to_numpy()[order], *curve[0]["curve"])
+    arrays = [np.concatenate([np.frombuffer(part[name], kind) for part in parts]) for name, kind in PACKED.items()]
+    return Model(*arrays, *parts[0]["curve"])
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, training: Column) -> DataFrame:
