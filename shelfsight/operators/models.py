@@ -7,23 +7,24 @@ MLlib has no minimum number of rows to split a node, and its trees go at most 30
 from __future__ import annotations
 
 import json
-import math
 import random
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from itertools import product
+from statistics import fmean, stdev
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsight.operators.features import feature_names
 from shelfsight.operators.sampling import stratified_folds, uniform_sample
-from shelfsight.session import broadcast_if_small
+from shelfsight.session import broadcast_if_small, shared_folder
 
 DEEPEST = 30
 WEIGHT = "class_weight"
@@ -155,6 +156,102 @@ def _evaluator(label: str, scoring: str) -> MulticlassClassificationEvaluator:
     return MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
 
 
+def fit(estimator: Estimator, df: DataFrame) -> Model:
+    """The fitted model without its training summary.
+
+    A summary holds on to the session and to all that the session observes, which no task can be sent; a model with one
+    stops working once any write of the session has been observed. Saving and loading leaves the summary behind.
+    """
+    fitted = estimator.fit(df)
+    if isinstance(fitted, PipelineModel):
+        return PipelineModel([_without_summary(stage, df) for stage in fitted.stages])
+    return _without_summary(fitted, df)
+
+
+def _without_summary(fitted: Model, df: DataFrame) -> Model:
+    if not getattr(fitted, "hasSummary", False):
+        return fitted
+    path = shared_folder(df.sparkSession, "fitted")
+    fitted.write().save(path)
+    return type(fitted).load(path)
+
+
+def staged_confusion(fitted: GBTClassificationModel, df: DataFrame, stages: Sequence[int], label: str = "label") -> dict[int, dict[str, int]]:
+    """Confusion counts (``tp``, ``fp``, ``fn``, ``tn``) of a boosted model cut to its first n trees, for each n of ``stages``.
+
+    Boosting adds trees one by one, so the first n trees are the model of n rounds. The leaves a row falls into are
+    found once; running sums over what they add give the class at every stage, in one pass over ``df``.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark, "staged")
+    fitted.write().save(path)
+    nodes = spark.read.parquet(f"{path}/data").where("nodeData.leftChild < 0")
+    leaves: dict[int, list[float]] = {}
+    for row in nodes.select("treeID", "nodeData.id", "nodeData.prediction").orderBy("treeID", "id").collect():
+        leaves.setdefault(row["treeID"], []).append(row["prediction"] * fitted.treeWeights[row["treeID"]])
+    values = F.from_json(F.lit(json.dumps([leaves[t] for t in sorted(leaves)])), "array<array<double>>")
+    marked = fitted.copy({fitted.leafCol: "_leaf"})
+    added = F.zip_with(vector_to_array("_leaf"), values, lambda leaf, adds: F.element_at(adds, (leaf + 1).cast("int")))
+    rows = marked.transform(df.select("features", label)).select((F.col(label) == 1).alias("good"), added.alias("added"))
+    sums = []
+    for n in stages:
+        margin = F.aggregate(F.slice("added", 1, n), F.lit(0.0), lambda total, x: total + x)
+        sums.append((margin > 0).alias(f"p{n}"))
+    said = rows.select("good", *sums)
+    counts = said.agg(*[
+        F.count_if(F.col(f"p{n}").eqNullSafe(p) & F.col("good").eqNullSafe(g)).alias(f"{name}{n}")
+        for n in stages for name, p, g in (("tp", True, True), ("fp", True, False), ("fn", False, True), ("tn", False, False))
+    ]).first()
+    return {n: {name: counts[f"{name}{n}"] for name in ("tp", "fp", "fn", "tn")} for n in stages}
+
+
+def _f1_of(counts: Mapping[str, int], scoring: str) -> float:
+    def f1(hit: int, wrong: int, missed: int) -> float:
+        return 2 * hit / (2 * hit + wrong + missed) if hit else 0.0
+
+    good = f1(counts["tp"], counts["fp"], counts["fn"])
+    if scoring != "f1_weighted":
+        return good
+    bad = f1(counts["tn"], counts["fn"], counts["fp"])
+    n_good, n_bad = counts["tp"] + counts["fn"], counts["tn"] + counts["fp"]
+    return (n_good * good + n_bad * bad) / (n_good + n_bad) if n_good + n_bad else 0.0
+
+
+def _fold_scores(
+    folded: DataFrame, estimator: Estimator, kind: str | None, candidates: Sequence[Mapping[str, Any]], label: str, folds: int, scoring: str, parallelism: int
+) -> list[list[float]]:
+    """The score of each candidate in each fold.
+
+    Boosted candidates that differ in their number of rounds only are one fit, at the largest number.
+    """
+    staged = isinstance(estimator, GBTClassifier)
+    groups: dict[str, list[int]] = {}
+    for i, candidate in enumerate(candidates):
+        same = {k: v for k, v in candidate.items() if not (staged and k == "n_estimators")}
+        groups.setdefault(json.dumps(same, sort_keys=True) if staged else str(i), []).append(i)
+    scores = [[0.0] * folds for _ in candidates]
+
+    @inheritable_thread_target(folded.sparkSession)
+    def one(task: tuple[int, list[int]]) -> None:
+        fold, members = task
+        train, test = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
+        if staged:
+            rounds = {i: candidates[i].get("n_estimators", estimator.getMaxIter()) for i in members}
+            longest = max(members, key=rounds.get)
+            fitted = fit(estimator.copy(_param_map(estimator, kind, candidates[longest])), train)
+            found = staged_confusion(fitted, test, sorted(set(rounds.values())), label)
+            for i in members:
+                scores[i][fold] = _f1_of(found[rounds[i]], scoring)
+        else:
+            (i,) = members
+            fitted = fit(estimator.copy(_param_map(estimator, kind, candidates[i])), train)
+            scores[i][fold] = _evaluator(label, scoring).evaluate(fitted.transform(test))
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        list(pool.map(one, [(fold, members) for fold in range(folds) for members in groups.values()]))
+    return scores
+
+
 def search(
     df: DataFrame, estimator: Estimator, kind: str, candidates: Sequence[Mapping[str, Any]], ids: Sequence[str],
     label: str = "label", folds: int = 3, scoring: str = "f1_weighted", seed: int = 42, parallelism: int = 4,
@@ -169,20 +266,13 @@ def search(
         ready = with_class_weights(ready, label)
     folded = stratified_folds(ready, label, ids, folds, seed).persist()
     try:
-        validator = CrossValidator(
-            estimator=estimator, estimatorParamMaps=[_param_map(estimator, kind, c) for c in candidates],
-            evaluator=_evaluator(label, scoring), numFolds=folds, foldCol="fold", parallelism=parallelism,
-        )
-        fitted = validator.fit(folded)
+        scores = _fold_scores(folded, estimator, kind, candidates, label, folds, scoring, parallelism)
     finally:
         folded.unpersist()
-    rescale = math.sqrt(folds / (folds - 1))
-    rows = [
-        (kind, json.dumps(c, sort_keys=True), float(mean), float(std) * rescale)
-        for c, mean, std in zip(candidates, fitted.avgMetrics, fitted.stdMetrics)
-    ]
+    rows = [(kind, json.dumps(c, sort_keys=True), fmean(s), stdev(s)) for c, s in zip(candidates, scores, strict=True)]
+    best = max(range(len(rows)), key=lambda i: rows[i][2])
     results = spark.createDataFrame(rows, "model string, params string, mean_score double, std_score double")
-    return results.orderBy(F.desc("mean_score"), "params"), fitted.bestModel
+    return results.orderBy(F.desc("mean_score"), "params"), fit(estimator.copy(_param_map(estimator, kind, candidates[best])), ready)
 
 
 def cross_validate(
@@ -197,13 +287,10 @@ def cross_validate(
         estimator = estimator.copy({estimator.regParam: estimator.getRegParam() * folds / (folds - 1)})
     folded = stratified_folds(df, label, ids, folds, seed).persist()
     try:
-        fitted = CrossValidator(
-            estimator=estimator, estimatorParamMaps=[{}], evaluator=_evaluator(label, scoring), numFolds=folds,
-            foldCol="fold", parallelism=parallelism,
-        ).fit(folded)
+        (scores,) = _fold_scores(folded, estimator, None, [{}], label, folds, scoring, parallelism)
     finally:
         folded.unpersist()
-    return float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0]) * math.sqrt(folds / (folds - 1))
+    return fmean(scores), stdev(scores)
 
 
 def grid_search(

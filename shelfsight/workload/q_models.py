@@ -45,20 +45,20 @@ def evaluated(name, model, test):
 @query("M01_logistic_regression")
 def _(spark, d):
     train, test, _ = prepared(spark, d)
-    return evaluated("logistic_regression", models.logistic_regression(train.count(), LABEL).fit(train), test)
+    return evaluated("logistic_regression", models.fit(models.logistic_regression(train.count(), LABEL), train), test)
 
 
 @query("M02_random_forest")
 def _(spark, d):
     train, test, _ = prepared(spark, d)
     weighted = models.with_class_weights(train, LABEL)
-    return evaluated("random_forest", models.random_forest(LABEL, n_estimators=20, max_depth=6, balanced=True).fit(weighted), test)
+    return evaluated("random_forest", models.fit(models.random_forest(LABEL, n_estimators=20, max_depth=6, balanced=True), weighted), test)
 
 
 @query("M03_gradient_boosting")
 def _(spark, d):
     train, test, _ = prepared(spark, d)
-    return evaluated("gradient_boosting", models.gradient_boosting(LABEL, n_estimators=10, subsample=0.8).fit(train), test)
+    return evaluated("gradient_boosting", models.fit(models.gradient_boosting(LABEL, n_estimators=10, subsample=0.8), train), test)
 
 
 @query("M04_majority_baseline", sql("""
@@ -79,8 +79,8 @@ def _(spark, d):
 @query("M06_grid_search")
 def _(spark, d):
     train, _, _ = prepared(spark, d)
-    grid = {"n_estimators": [5], "learning_rate": [0.05, 0.1], "max_depth": [2, 3]}
-    return models.grid_search(train, "gradient_boosting", [ID], LABEL, grid=grid, max_rows=models.MAX_TUNE_ROWS)[0]
+    grid = {"n_estimators": [5, 10], "learning_rate": [0.05, 0.1], "max_depth": [2, 3]}
+    return models.grid_search(train, "gradient_boosting", [ID], LABEL, grid=grid)[0]
 
 
 @query("M07_random_search")
@@ -133,7 +133,7 @@ def _(spark, d):
         FROM embeddings a CROSS JOIN embeddings b GROUP BY 1, 2, 3) GROUP BY i, c)""")
 def _(spark, d):
     rows = vectors(spark, d).withColumnRenamed("label", "cluster")
-    return clusters.sampled_silhouette_rows(rows, ["vec_id"], 8_000).withColumn("silhouette", F.round("silhouette", 6))
+    return clusters.sampled_silhouette_rows(rows, ["vec_id"], rows.count()).withColumn("silhouette", F.round("silhouette", 6))
 
 
 @query("M11_silhouette_of_all", """
@@ -165,7 +165,7 @@ def _(spark, d):
     """From raw reviews, labelled or not, to both probabilities; the model goes through a file first."""
     train, _, fitted = prepared(spark, d)
     path = f"{shared_folder(spark, 'model')}/whole"
-    models.save(training.whole_model(fitted, models.logistic_regression(train.count(), LABEL).fit(train)), path)
+    models.save(training.whole_model(fitted, models.fit(models.logistic_regression(train.count(), LABEL), train)), path)
     raw = labelled_reviews(spark, d).drop(LABEL)
     found = training.predict_reviews(raw, catalog(spark, d), models.load(path), [ID])
     return found.select(ID, "is_recommended", "probability_recommended", "probability_not_recommended", "model")
@@ -174,7 +174,7 @@ def _(spark, d):
 @query("M15_importances")
 def _(spark, d):
     train, _, _ = prepared(spark, d)
-    return models.importances(models.random_forest(LABEL, n_estimators=10, max_depth=5).fit(train), train)
+    return models.importances(models.fit(models.random_forest(LABEL, n_estimators=10, max_depth=5), train), train)
 
 
 @query("M16_save_and_load")
@@ -183,7 +183,7 @@ def _(spark, d):
     from pyspark.ml import Pipeline
 
     path = f"{shared_folder(spark, 'model')}/fitted"
-    fitted = Pipeline(stages=[models.logistic_regression(train.count(), LABEL)]).fit(train)
+    fitted = models.fit(Pipeline(stages=[models.logistic_regression(train.count(), LABEL)]), train)
     models.save(fitted, path)
     both = [("kept", fitted), ("loaded", models.load(path))]
     return relate.union_by_name(evaluated(name, model, test) for name, model in both)
@@ -230,7 +230,7 @@ def _(spark, d):
 def _(spark, d):
     """The exported bundle scores raw reviews like the model that was exported."""
     train, test, fitted = prepared(spark, d)
-    model = models.gradient_boosting(LABEL, n_estimators=EXPORT_ROUNDS).fit(train)
+    model = models.fit(models.gradient_boosting(LABEL, n_estimators=EXPORT_ROUNDS), train)
     whole = training.whole_model(fitted, model)
     paths = training.export_model(
         shared_folder(spark, "export"), "best", whole, model.transform(test), LABEL, {"n_estimators": EXPORT_ROUNDS})
@@ -259,20 +259,52 @@ LINES = "SELECT (l_linenumber >= 4)::INT::DOUBLE AS label, count(*) AS n FROM li
 @query("M02_one_split", f"SELECT label, label AS prediction, n FROM ({LINES})")
 def _(spark, d):
     rows = one_split(spark, d)
-    model = models.random_forest(n_estimators=5, max_depth=3, max_features=None).fit(rows)
+    model = models.fit(models.random_forest(n_estimators=5, max_depth=3, max_features=None), rows)
     return evaluate.confusion(model.transform(rows).select("label", "prediction"))
 
 
 @query("M03_one_split", f"SELECT label, label AS prediction, n FROM ({LINES})")
 def _(spark, d):
     rows = one_split(spark, d)
-    return evaluate.confusion(models.gradient_boosting(n_estimators=3).fit(rows).transform(rows).select("label", "prediction"))
+    return evaluate.confusion(models.fit(models.gradient_boosting(n_estimators=3), rows).transform(rows).select("label", "prediction"))
+
+
+@query("M01_one_split", f"SELECT label, label AS prediction, n FROM ({LINES})")
+def _(spark, d):
+    rows = one_split(spark, d)
+    model = models.fit(models.logistic_regression(rows.count(), C=1e6), rows)
+    return evaluate.confusion(model.transform(rows).select("label", "prediction"))
+
+
+@query("M05_one_split", "SELECT 1.0 AS mean_f1, 0.0 AS std_f1")
+def _(spark, d):
+    rows = one_split(spark, d)
+    scores = models.cross_validate(rows, models.gradient_boosting(n_estimators=2), ["l_orderkey", "l_linenumber"])
+    return spark.createDataFrame([scores], "mean_f1 double, std_f1 double")
+
+
+@query("M06_one_split", """
+    SELECT 'gradient_boosting' AS model, '{"learning_rate": ' || rate || ', "n_estimators": ' || rounds || '}' AS params, 1.0 AS mean_score, 0.0 AS std_score
+    FROM (VALUES ('0.05'), ('0.1')) AS r(rate), (VALUES (1), (2), (4)) AS n(rounds)""")
+def _(spark, d):
+    rows = one_split(spark, d)
+    grid = {"n_estimators": [1, 2, 4], "learning_rate": [0.05, 0.1]}
+    return models.grid_search(rows, "gradient_boosting", ["l_orderkey", "l_linenumber"], grid=grid)[0]
+
+
+@query("M15_one_split", "SELECT 'line' AS feature, 1.0 AS importance UNION ALL SELECT 'noise', 0.0")
+def _(spark, d):
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = one_split(spark, d).select("label", F.col("l_linenumber").cast("double").alias("line"), (F.col("l_suppkey") % 3).cast("double").alias("noise"))
+    ready = VectorAssembler(inputCols=["line", "noise"], outputCol="features").transform(rows)
+    return models.importances(models.fit(models.random_forest(n_estimators=5, max_depth=3, max_features=None), ready), ready)
 
 
 @query("M14_one_split", f"SELECT label::INT AS is_recommended, label AS probability_recommended, 1 - label AS probability_not_recommended, n FROM ({LINES})")
 def _(spark, d):
     rows = one_split(spark, d)
-    model = models.random_forest(n_estimators=5, max_depth=3, max_features=None).fit(rows)
+    model = models.fit(models.random_forest(n_estimators=5, max_depth=3, max_features=None), rows)
     shown = ["is_recommended", "probability_recommended", "probability_not_recommended"]
     return models.predict(rows, model).groupBy(*shown).agg(F.count(F.lit(1)).alias("n"))
 
@@ -283,7 +315,7 @@ def _(spark, d):
 
     rows = one_split(spark, d)
     path = f"{shared_folder(spark, 'model')}/tree"
-    fitted = Pipeline(stages=[models.random_forest(n_estimators=3, max_depth=2, max_features=None)]).fit(rows)
+    fitted = models.fit(Pipeline(stages=[models.random_forest(n_estimators=3, max_depth=2, max_features=None)]), rows)
     models.save(fitted, path)
     return relate.union_by_name(
         evaluate.confusion(model.transform(rows).select("label", "prediction")).withColumn("part", F.lit(part))

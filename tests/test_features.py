@@ -249,3 +249,56 @@ def test_profiles(spark):
     pairs = spark.createDataFrame([(1.0, 2.0), (2.0, 4.1), (3.0, None), (None, 1.0), (4.0, 7.9)], "a double, b double")
     r = profile.correlations(pairs).where("a = 'a' and b = 'b'").first()["r"]
     assert r == pytest.approx(0.99994, abs=1e-3)
+
+
+def noisy(spark, n=400):
+    from pyspark.ml.functions import array_to_vector
+
+    x, y = F.pmod(F.xxhash64("id"), F.lit(97)) / 97, F.pmod(F.xxhash64("id", F.lit(1)), F.lit(89)) / 89
+    good = (x + y > 1) != (F.pmod(F.xxhash64("id", F.lit(2)), F.lit(10)) == 0)
+    return spark.range(n).select("id", good.cast("double").alias("label"), array_to_vector(F.array(x, y, x * y)).alias("features")).cache()
+
+
+def counted(model, df):
+    row = model.transform(df).agg(*[F.count_if((F.col("prediction") == p) & (F.col("label") == y)).alias(n) for n, p, y in (("tp", 1, 1), ("fp", 1, 0), ("fn", 0, 1), ("tn", 0, 0))]).first()
+    return row.asDict()
+
+
+def test_stages_are_separate_fits(spark):
+    """A boosted model cut to its first trees predicts like a model of that many rounds; so does a search over rounds."""
+    df = noisy(spark)
+    make = lambda n: models.gradient_boosting(n_estimators=n, learning_rate=0.3, max_depth=2, subsample=0.8)
+    found = models.staged_confusion(models.fit(make(7), df), df, [1, 3, 7])
+    assert found == {n: counted(models.fit(make(n), df), df) for n in (1, 3, 7)}
+    assert len({tuple(c.values()) for c in found.values()}) > 1
+    fits, real = [], models.fit
+    try:
+        models.fit = lambda estimator, rows: fits.append(estimator.getMaxIter()) or real(estimator, rows)
+        grid = {"n_estimators": [1, 2, 4], "learning_rate": [0.3, 0.6]}
+        results, best = models.grid_search(df, "gradient_boosting", ["id"], grid=grid, folds=2)
+    finally:
+        models.fit = real
+    assert sorted(fits[:-1]) == [4] * 4 and best.getNumTrees == fits[-1]
+    rows = {r["params"]: (r["mean_score"], r["std_score"]) for r in results.collect()}
+    assert len(rows) == 6
+    for rounds in grid["n_estimators"]:
+        single, _ = models.grid_search(df, "gradient_boosting", ["id"], grid={"n_estimators": [rounds], "learning_rate": [0.6]}, folds=2)
+        one = single.first()
+        assert rows[one["params"]] == pytest.approx((one["mean_score"], one["std_score"]))
+
+
+def test_models_after_an_observed_write(spark, tmp_path):
+    """Models hold on to nothing of the session, so that they work after the session has observed a write."""
+    from pyspark.ml import Pipeline
+    from pyspark.sql import Observation
+
+    seen = Observation("rows")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(str(tmp_path / "t"))
+    assert seen.get["n"] == 3
+    df = noisy(spark)
+    for estimator in (models.logistic_regression(400), models.random_forest(n_estimators=3, max_depth=3), Pipeline(stages=[models.logistic_regression(400)])):
+        assert sum(counted(models.fit(estimator, df), df).values()) == 400
+    mean, spread = models.cross_validate(df, models.logistic_regression(400), ["id"], folds=2)
+    assert 0.7 < mean <= 1 and spread >= 0
+    _, best = models.grid_search(df, "random_forest", ["id"], grid={"n_estimators": [2], "class_weight": [None, "balanced"]}, folds=2)
+    assert sum(counted(best, df).values()) == 400
