@@ -115,6 +115,13 @@ def run_job(
         return {}
 
     def load() -> dict:
+        # Readers see all new tables or none of them.
+        with warehouse.together():
+            details = write_tables()
+        warehouse.expire()
+        return details
+
+    def write_tables() -> dict:
         details = {}
         for name, contract in (("clean_products", CLEAN_PRODUCTS), ("clean_reviews", CLEAN_REVIEWS)):
             for key, value in _write_checked(warehouse, data[name], name, contract).items():

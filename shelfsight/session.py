@@ -59,8 +59,12 @@ def release(spark: SparkSession, root: str | None = None) -> None:
 
     Call it once no frame that reads them is needed any more, as at the end of a job.
     """
-    root = root or shared_folder(spark, "any").rpartition("/")[0]
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    delete(spark, root or shared_folder(spark, "any").rpartition("/")[0])
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder wherever Spark can reach it; there is no other way to do so from Python."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
