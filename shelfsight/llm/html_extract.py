@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -27,7 +27,8 @@ INLINE = frozenset(
     "time tt u var".split()
 )
 UNSEEN = frozenset("head title script style noscript template iframe object svg canvas audio video math".split())
-FURNITURE = frozenset("nav footer aside form menu dialog button select textarea fieldset".split())
+FURNITURE = frozenset("nav footer aside menu dialog button select textarea label legend option optgroup datalist".split())
+FORMS = frozenset("form fieldset".split())
 CONTENT = frozenset("article main".split())
 NOISE_NAMES = frozenset(
     "ad ads adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
@@ -35,6 +36,11 @@ NOISE_NAMES = frozenset(
     "promo promotion related recommended share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget "
     "widgets".split()
 )
+BOX_NAMES = frozenset(
+    "area article bar block body bottom box button buttons center col column container content entry form foot group head header holder "
+    "icons inline inner item items left link links list main mobile outer page panel post posts primary right row secondary section site "
+    "slot space strip top unit wrap wrapper".split()
+)
 CLOSED_BY_BLOCK = frozenset(["p"])
 CLOSED_BY_SAME = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
@@ -45,30 +51,42 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _DIGITS = re.compile(r"\d+")
 
 
+@lru_cache(maxsize=1 << 16)
 def _named_noise(names: str) -> bool:
-    """Whether a class, id or role is the name of noise or begins with one, as ``ad``, ``ad-slot`` and ``cookieNotice`` do."""
-    heads = (_PARTS.search(token) for token in names.split())
-    return any(head is not None and head.group().lower() in NOISE_NAMES for head in heads)
+    """Whether a class, id or role is a name of noise, or is made of such names and names of boxes, as ``ad``, ``ad-slot``
+    and ``cookieNotice`` are. Other compounds, as ``notice-period`` or ``has-sidebar``, say nothing."""
+    for token in names.split():
+        parts = {part.lower() for part in _PARTS.findall(token)}
+        if parts & NOISE_NAMES and parts <= NOISE_NAMES | BOX_NAMES:
+            return True
+    return False
+
+
+@lru_cache(maxsize=1 << 17)
+def _path(above: int, tag: str, names: str) -> int:
+    """The place of an element in the style tree: a hash of its tag and names, and of the place of what holds it."""
+    style = _DIGITS.sub("0", " ".join(sorted(names.split()))) if names else ""
+    return _hash(f"{above}>{tag}.{style}")
 
 
 class Node:
-    __slots__ = ("tag", "style", "parent", "children", "noise", "content", "suspect")
+    __slots__ = ("tag", "path", "parent", "children", "noise", "content", "suspect")
 
     def __init__(self, tag: str, attrs: dict[str, str | None], parent: Node | None):
         self.tag, self.parent, self.children = tag, parent, []
-        names = " ".join(filter(None, (attrs.get("class"), attrs.get("id"), attrs.get("role"))))
+        names = " ".join(filter(None, (attrs.get("class"), attrs.get("id"), attrs.get("role")))) if attrs else ""
         inside = parent is not None and parent.content
         self.noise = (
             (parent is not None and parent.noise) or tag in UNSEEN or tag in FURNITURE or "hidden" in attrs or (not inside and tag == "header")
         )
-        marks = tag in CONTENT or "main" in (attrs.get("role") or "").lower().split()
+        marks = tag in CONTENT or ("role" in attrs and "main" in (attrs["role"] or "").lower().split())
         self.content = inside or marks
-        # Names are judged when the whole page is known.
-        self.suspect = (
-            tag not in ("html", "body") and (inside or not marks)
+        # Names and forms are judged when the whole page is known; a form may be laid around all of it.
+        self.suspect = tag in FORMS or (
+            bool(names) and tag not in ("html", "body") and (inside or not marks)
             and (_named_noise(names) or (not inside and any(t.lower() == "header" for t in names.split())))
         )
-        self.style = (parent.style + ">" if parent is not None else "") + tag + ("." + _DIGITS.sub("0", " ".join(sorted(names.split()))) if names else "")
+        self.path = _path(parent.path if parent is not None else 0, tag, names)
 
 
 class Page(HTMLParser):
@@ -84,7 +102,7 @@ class Page(HTMLParser):
         self._judge()
 
     def _judge(self) -> None:
-        """Make noise of the elements named like it, with what is in them, unless they hold most of what the page has to say.
+        """Make noise of forms and of elements named like noise, with what is in them, unless they hold most of what the page has to say.
 
         That is most words of its marked content, or of the page if it marks none; and if no marked word would
         be left, names count for nothing around marked content.
@@ -185,8 +203,8 @@ def _observed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             everything: list[str] = []
             for node in Page(html).nodes():
                 above = paths.get(node.parent, []) if node.parent is not None else []
-                own = paths[node] = [*above, _hash(node.style)]
-                seen[own[-1], False, _hash(" ".join(c.style if isinstance(c, Node) else "#" for c in node.children))] += 1
+                own = paths[node] = [*above, node.path]
+                seen[node.path, False, _hash(" ".join(str(c.path) if isinstance(c, Node) else "#" for c in node.children))] += 1
                 for child in node.children:
                     if isinstance(child, str):
                         feature = _hash(child)
@@ -252,7 +270,7 @@ def main_text(html: str | None, unimportant: set[int]) -> str:
     marked = any(node.content for node in nodes)
     kept = set() if unimportant else set(nodes)
     for node in reversed(nodes if unimportant else []):
-        if node in kept or _hash(node.style) not in unimportant:
+        if node in kept or node.path not in unimportant:
             kept.add(node)
             if node.parent is not None:
                 kept.add(node.parent)
@@ -276,10 +294,11 @@ def extract_main_text(pages: DataFrame, least_importance: float = LEAST_IMPORTAN
     """``pages`` (with ``url`` and ``html``) with ``text`` added, all other columns kept.
 
     Branches of the :func:`style_tree` of the page's host that lie below ``least_importance`` with all that is in
-    them are removed, on hosts with at least ``least_pages`` pages of different bodies. Entropy alone cannot tell an advert or a menu whose words change from page to
-    page, so elements whose tag, or a class, id or role that is or begins with the name of noise, says what they are
-    have no importance, on any host; names do not count on ``html``, ``body`` and what holds most of the text. What
-    stays is the text of each block with character references decoded and white space as one space.
+    them are removed, on hosts with at least ``least_pages`` pages of different bodies. Entropy alone cannot tell an
+    advert or a menu whose words change from page to page, so elements whose tag says what they are, or a class, id or
+    role made of names of noise and of boxes, have no importance, on any host; names and forms do not count on ``html``,
+    ``body`` and what holds most of the text, so a form laid around a page keeps all but its fields. What stays is the text
+    of each block with character references decoded and white space as one space.
 
     Null and empty pages give an empty text; a null or odd url counts as one host of its own. Repeated pages
     give repeated rows, an empty table an empty result. A column of ``pages`` named ``text`` is replaced.

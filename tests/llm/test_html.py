@@ -46,6 +46,12 @@ def test_one_page(html, want):
     ("<article><p>a b c</article><div class=comments><article>d</article></div>", "a b c"),
     ("<div class=promo-a><article>a</article></div><div class=promo-b><article>b</article></div><div class=promo-c><article>c</article></div>", "a\nb\nc"),
     ("<article><div class=social-body><p>a b c</div><div class=promo>d</div></article>", "a b c"),
+    ("<form id=aspnetForm><input name=q><article><h1>T</h1><p>the text</p></article></form>", "T\nthe text"),
+    ("<form id=aspnetForm><h1>T</h1><p>the text</p><button>Send</button><label>Name</label><select><option>x</select></form>", "T\nthe text"),
+    ("<form><nav>menu</nav><fieldset><p>the whole text of it</p></fieldset></form>", "the whole text of it"),
+    ("<article><p>the text of it</p><form><p>Write to us</p><label>Name</label></form></article>", "the text of it"),
+    ("<article><p>one two three</p><p class=notice-period>of three months</p><p class=share-price>is 7</p></article>", "one two three\nof three months\nis 7"),
+    ("<article><p>one two three</p><p class=notice>n</p><div class='ad-box2'>a</div><div id=left_sidebar>s</div><ul class=commentList><li>c</ul></article>", "one two three"),
 ])
 def test_names_drop_no_main_text(html, want):
     assert main_text(html, set()) == want
@@ -107,3 +113,64 @@ def test_hosts(spark):
     urls = ["http://A.b/c", "https://u:p@x.y:80/z", "ftp://q?x", "//n/x", "no", None, "http://é.fr#t"]
     made = spark.createDataFrame([(u,) for u in urls], "url string").select(host_of(F.col("url")).alias("h"))
     assert [r.h for r in made.collect()] == ["a.b", "x.y", "q", "", "", "", "é.fr"]
+
+
+def plain_tree(pages):
+    """The style tree of one host by plain sums: importance by the tags and names from the root down."""
+    shown, texts = {}, {}
+
+    def walk(page, node, above):
+        path = (*above, (node.tag, *node.names))
+        shown.setdefault(path, Counter())[tuple("#" if isinstance(c, str) else (c.tag, *c.names) for c in node.children)] += 1
+        for child in node.children:
+            if isinstance(child, str):
+                for n in range(len(path)):
+                    texts.setdefault(path[: n + 1], {}).setdefault(child, Counter())[page] += 1
+            else:
+                walk(page, child, path)
+
+    for number, root in enumerate(pages):
+        walk(number, root, ())
+    entropy = lambda counts: -sum(n / sum(counts) * math.log(n / sum(counts)) for n in counts)
+    top = math.log(len(pages))
+    found = []
+    for path, kinds in shown.items():
+        spreads = [entropy(list(c.values())) / top for c in texts.get(path, {}).values()]
+        content = 1 - (sum(spreads) / len(spreads) if spreads else 0)
+        found.append(0.1 * min(1, entropy(list(kinds.values())) / top) + 0.9 * content)
+    return sorted(round(x, 9) for x in found)
+
+
+class Plain:
+    def __init__(self, tag, names, children):
+        self.tag, self.names, self.children = tag, names, children
+
+    def html(self):
+        inside = "".join(c if isinstance(c, str) else c.html() for c in self.children)
+        return inside if not self.tag else f"<{self.tag}{' class=' + self.names[0] if self.names else ''}>{inside}</{self.tag}>"
+
+
+def random_tree(rng, depth=0):
+    children = []
+    for _ in range(rng.randrange(1, 4)):
+        if depth < 3 and rng.random() < 0.6:
+            children.append(random_tree(rng, depth + 1))
+        elif not children or not isinstance(children[-1], str):
+            children.append(rng.choice(["same words", "other words", f"own {rng.randrange(30)}"]))
+    return Plain(rng.choice(["div", "section"]), rng.choice([(), ("x",), ("y",)]), children)
+
+
+def test_random_sites_by_plain_sums(spark):
+    import random
+
+    rng = random.Random(4)
+    made, want = [], {}
+    for host in ("a", "b", "c"):
+        pages = [Plain("", (), [random_tree(rng) for _ in range(rng.randrange(1, 3))]) for _ in range(9)]
+        made += [(f"http://{host}/", p.html()) for p in pages]
+        want[host] = plain_tree(pages)
+    frame = spark.createDataFrame(made, "url string, html string").repartition(5).select(host_of(F.col("url")).alias("host"), "html")
+    got = {}
+    for r in style_tree(frame).collect():
+        got.setdefault(r.host, []).append(round(r.importance, 9))
+    assert {h: sorted(v) for h, v in got.items()} == want and sum(map(len, want.values())) > 60
