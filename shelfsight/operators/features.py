@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window
@@ -298,31 +298,40 @@ class KeepFrequent(Estimator, _Saved):
         })
 
 
-# Values of a text column that get an indicator of their own; all others share one.
-MOST_INDICATORS = 1_000
+def one_hot_stages(columns: Sequence[str], most: int | None = None) -> list:
+    """Indicator vectors ``<column>_hot``, categories in alphabetical order, null and values never seen as zeros.
 
-
-def one_hot_stages(columns: Sequence[str], most: int = MOST_INDICATORS) -> list:
-    """Indicator vectors ``<column>_hot``, categories in alphabetical order, null as zeros.
-
-    At most ``most`` categories per column, see :class:`KeepFrequent`; a value never seen is all zeros if the column
-    had no more than that.
+    Every category has an indicator of its own, and the fitted model holds all their names. With ``most``, only
+    that many categories per column have one, see :class:`KeepFrequent`.
     """
     index, hot = [f"{c}_index" for c in columns], [f"{c}_hot" for c in columns]
     return [
-        KeepFrequent(columns=list(columns), maxCategories=most),
+        *([KeepFrequent(columns=list(columns), maxCategories=most)] if most is not None else []),
         StringIndexer(inputCols=list(columns), outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc"),
         # The index kept for unseen values comes last, so dropping the last one leaves them all zeros.
         OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True),
     ]
 
 
-def preprocessor(df: DataFrame, label: str, keep: Sequence[str] = (), threshold: float = 0.8) -> Pipeline:
+def hashing_stages(columns: Sequence[str], width: int = 1 << 18, output: str = "hashed_hot") -> list:
+    """One sparse vector ``output`` for all the columns, of ``width`` places that a hash of column and value picks.
+
+    Nothing is learned, so neither the number of categories nor new ones matter; two categories may share a place.
+    Null is no category.
+    """
+    return [FeatureHasher(inputCols=list(columns), outputCol=output, numFeatures=width, categoricalCols=list(columns))]
+
+
+def preprocessor(
+    df: DataFrame, label: str, keep: Sequence[str] = (), threshold: float = 0.8, most: int | None = None, hashed: int | None = None
+) -> Pipeline:
     """Unknowns to null, sparse columns out, outer 1% capped, gaps filled, scaled, encoded, assembled.
 
     Columns are routed by the types of ``df``. Which columns are too sparse must be known before the
     rest can be laid out, so that first step is learned here, from the same frame ``fit`` gets.
-    ``keep`` names id columns that pass through untouched.
+    ``keep`` names id columns that pass through untouched. Text columns are encoded with an indicator per category,
+    with ``most`` at most that many per column; with ``hashed`` they share a vector of that width instead, for
+    columns with more categories than a model should hold.
     """
     features = df.drop(label, *keep)
     texts = clean.text_columns(features)
@@ -334,10 +343,11 @@ def preprocessor(df: DataFrame, label: str, keep: Sequence[str] = (), threshold:
     stages = [unknowns, sparse, Cap(method="quantile", exclude=whole), _ImputeFeatures(columns=[*numeric, *texts])]
     if numeric:
         stages.append(Scale(columns=numeric))
+    encoded = []
     if texts:
-        stages += one_hot_stages(texts)
-    inputs = [*numeric, *[f"{c}_hot" for c in texts]]
-    return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="features")])
+        encoded = [f"{c}_hot" for c in texts] if hashed is None else ["hashed_hot"]
+        stages += one_hot_stages(texts, most) if hashed is None else hashing_stages(texts, hashed)
+    return Pipeline(stages=[*stages, VectorAssembler(inputCols=[*numeric, *encoded], outputCol="features")])
 
 
 class _ImputeFeatures(Estimator, _Saved):

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from itertools import combinations
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfsight.operators.clean import numeric_columns, text_columns
 from shelfsight.operators.quantiles import exact_quantiles
 
+GRAM_ROWS = 2048  # rows that are multiplied at a time
+GRAM_SHIFT = 1000  # rows that show where the values of a column lie
+
 
 def _as_rows(stats: DataFrame, names: Sequence[str], parts: Mapping[str, str]) -> DataFrame:
     """A one-row frame with columns ``<part>_<i>`` as one row per name."""
@@ -44,16 +48,16 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     )
 
 
+def _absent(df: DataFrame) -> list[Column]:
+    """Per column, whether a value is missing; NaN counts as missing."""
+    columns = [(F.col(f"`{f.name}`"), f.dataType.simpleString()) for f in df.schema]
+    return [col.isNull() | F.isnan(col) if kind in ("double", "float") else col.isNull() for col, kind in columns]
+
+
 def missing_summary(df: DataFrame, top_n: int | None = None) -> DataFrame:
     """Missing values and their percentage per column, most first, with the total over all columns."""
     names = df.columns
-    fractions = [f.name for f in df.schema if f.dataType.simpleString() in ("double", "float")]
-
-    def absent(c: str) -> Column:
-        col = F.col(f"`{c}`")
-        return col.isNull() | F.isnan(col) if c in fractions else col.isNull()
-
-    stats = df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(absent(c)).alias(f"missing_{i}") for i, c in enumerate(names)])
+    stats = df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(absent).alias(f"missing_{i}") for i, absent in enumerate(_absent(df))])
     total = sum((F.col(f"missing_{i}") for i in range(len(names))), F.lit(0).cast("bigint"))
     rows = stats.select(F.inline(F.array(*[
         F.struct(
@@ -109,15 +113,22 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def dataset_report(df: DataFrame, id_column: str) -> DataFrame:
-    """Shape, duplicate rows, distinct ids and missing values as (metric, value) rows."""
-    counts = duplicate_rows(df).select(F.inline(F.array(
-        F.struct(F.lit("rows").alias("metric"), F.col("total_rows").alias("value")),
-        F.struct(F.lit("columns").alias("metric"), F.lit(len(df.columns)).cast("bigint").alias("value")),
-        F.struct(F.lit("duplicates").alias("metric"), F.col("duplicates").alias("value")),
-    )))
-    ids = df.agg(F.count_distinct(id_column).alias("value")).select(F.lit("unique_ids").alias("metric"), "value")
-    missing = missing_summary(df).select(F.concat(F.lit("missing:"), "column").alias("metric"), F.col("missing").alias("value"))
-    return counts.unionByName(ids).unionByName(missing)
+    """Shape, duplicate rows, distinct ids and missing values as (metric, value) rows; the table is read once.
+
+    Equal rows are equal in their id and in what they miss, so everything is counted over the digests of rows.
+    """
+    mask = F.concat(*[F.when(absent, "1").otherwise("0") for absent in _absent(df)])
+    rows = df.groupBy(_row_digest(df).alias("_row"), F.col(f"`{id_column}`").alias("_id"), mask.alias("_mask")).agg(F.count(F.lit(1)).alias("_n"))
+    none = F.lit(0).cast("bigint")
+    counts = rows.agg(
+        F.coalesce(F.sum("_n"), none).alias("rows"), F.coalesce(F.sum(F.col("_n") - 1), none).alias("duplicates"), F.count_distinct("_id").alias("ids"),
+        *[F.coalesce(F.sum(F.when(F.substring("_mask", i + 1, 1) == "1", F.col("_n"))), none).alias(f"missing_{i}") for i in range(len(df.columns))],
+    )
+    metrics = [
+        ("rows", F.col("rows")), ("columns", F.lit(len(df.columns)).cast("bigint")), ("duplicates", F.col("duplicates")), ("unique_ids", F.col("ids")),
+        *[(f"missing:{c}", F.col(f"missing_{i}")) for i, c in enumerate(df.columns)],
+    ]
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), v.alias("value")) for m, v in metrics])))
 
 
 def dataset_metadata(df: DataFrame, file: str) -> DataFrame:
@@ -148,19 +159,60 @@ def mixed_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return rows.withColumn("mixed", present > 1)
 
 
+def _gram(names: int, shift: np.ndarray):
+    """Per task, for every pair of columns over the rows where both are given: count, sum and sum of squares of the
+    first, sum of products. Four matrix products per slice of rows; rows of the sums are what leaves the task."""
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((4, names, names))
+        for batch in batches:
+            for at in range(0, len(batch), GRAM_ROWS):
+                x = np.array(batch["x"].iloc[at : at + GRAM_ROWS].to_list(), dtype=float) - shift
+                given = ~np.isnan(x)
+                x[~given] = 0.0
+                mask = given.astype(float)
+                total += np.stack([mask.T @ mask, x.T @ mask, (x * x).T @ mask, x.T @ x])
+        if total[0].any():
+            yield pd.DataFrame({"a": np.arange(names), **{k: list(total[i]) for i, k in enumerate(("n", "s", "q", "p"))}})
+
+    return sums
+
+
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of every pair, each over the rows where both are given; one pass."""
+    """Pearson correlation of every pair, each over the rows where both are given; null where one of them is constant.
+
+    One pass, whatever the number of columns: tasks multiply blocks of rows with the mask of what is given, and the sums
+    of all tasks are added by pair. Values are taken from a typical value of their column first, so that large ones
+    lose no digits.
+    """
     names = list(columns or numeric_columns(df))
-    pairs = list(combinations(names, 2))
-    stats = df.agg(*[
-        F.corr(F.when(_number(b).isNotNull(), _number(a)), F.when(_number(a).isNotNull(), _number(b))).alias(f"r_{i}")
-        for i, (a, b) in enumerate(pairs)
-    ])
-    cells = [F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.lit(1.0).alias("r")) for c in names]
-    for i, (a, b) in enumerate(pairs):
-        for x, y in ((a, b), (b, a)):
-            cells.append(F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"r_{i}").alias("r")))
-    return stats.select(F.inline(F.array(*cells)))
+    spark = df.sparkSession
+    if not names:
+        return spark.createDataFrame([], "a string, b string, r double")
+    values = df.select(F.array(*[F.coalesce(_number(c), F.lit(float("nan"))) for c in names]).alias("x"))
+    near = np.array([row["x"] for row in values.limit(GRAM_SHIFT).collect()], dtype=float).reshape(-1, len(names))
+    # A value of the column itself, so that a constant one leaves exact zeros.
+    shift = np.array([float(np.quantile(c[np.isfinite(c)], 0.5, method="lower")) if np.isfinite(c).any() else 0.0 for c in near.T])
+    kind = "a int, n array<double>, s array<double>, q array<double>, p array<double>"
+    rows = values.mapInPandas(_gram(len(names), shift), kind)
+    cells = rows.select("a", F.posexplode(F.arrays_zip("n", "s", "q", "p")).alias("b", "v")).select("a", "b", "v.*")
+    pairs = cells.groupBy("a", "b").agg(*[F.sum(k).alias(k) for k in ("n", "s", "q", "p")])
+    # What the sums of the second column of a pair are stands at the pair turned round, so both go to one group.
+    low, high = F.least("a", "b"), F.greatest("a", "b")
+    first = F.col("a") <= F.col("b")
+    both = pairs.groupBy(low.alias("i"), high.alias("j")).agg(
+        F.max("n").alias("n"), F.max("p").alias("p"),
+        *[F.sum(F.when(side, F.col(k))).alias(f"{k}{x}") for k in ("s", "q") for x, side in (("a", first), ("b", ~first))],
+    )
+    spread = (F.col("n") * F.col("qa") - F.col("sa") ** 2) * (F.col("n") * F.col("qb") - F.col("sb") ** 2)
+    r = (F.col("n") * F.col("p") - F.col("sa") * F.col("sb")) / F.sqrt(F.when(spread > 0, spread))
+    found = both.where("i < j").select("i", "j", F.when(spread > 0, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("r"))
+    place = spark.createDataFrame(list(enumerate(names)), "i int, name string")
+    ends = found.join(F.broadcast(place), "i").withColumnRenamed("name", "a").join(F.broadcast(place.toDF("j", "b")), "j")
+    # Pairs without a common row leave no sums.
+    every = place.select(F.col("i"), F.col("name").alias("a"), F.explode(F.lit(names)).alias("b"))
+    turned = ends.select("a", "b", "r").unionAll(ends.select(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
+    return every.join(turned, ["a", "b"], "left").select("a", "b", F.when(F.col("a") == F.col("b"), 1.0).otherwise(F.col("r")).alias("r"))
 
 
 def correlations_with(df: DataFrame, reference: str, columns: Sequence[str] | None = None, n: int = 10) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfsight.operators.clean import check_page, require_columns
+from shelfsight.session import written
 
 
 def _suffixed(left: DataFrame, right: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -88,10 +89,53 @@ def attach(df: DataFrame, found: DataFrame, key: str, columns: Sequence[str]) ->
     return df.join(side, df[key] == side["_key"], "left").drop("_key")
 
 
+SHALLOW = 10_000  # rows that one task may skip
+
+
 def page(df: DataFrame, order: Sequence[str], limit: int = 50, offset: int = 0, max_limit: int = 500) -> DataFrame:
-    """One page of a table in a fixed order."""
+    """One page of a table in a fixed order, nulls first.
+
+    Few rows are skipped in one task. For a deeper page, the order columns are put into ranges, the rows per range tell
+    which of them holds the offset, and the key found there starts the page; no task gets more than a range.
+    """
     check_page(limit, offset, max_limit)
-    return df.orderBy(*order).offset(offset).limit(limit)
+    if offset <= SHALLOW:
+        return df.orderBy(*order).offset(offset).limit(limit)
+    keys = [F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(order)]
+    names = [f"_k{i}" for i in range(len(order))]
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = written(counts.repartitionByRange(*names).withColumn("_part", F.spark_partition_id()), "page-ranges")
+    below = 0
+    for row in ranged.groupBy("_part").agg(F.sum("_n").alias("n")).orderBy("_part").collect():
+        if offset < below + row["n"]:
+            upto = Window.partitionBy("_part").orderBy(*names).rowsBetween(Window.unboundedPreceding, 0)
+            inside = ranged.where(F.col("_part") == row["_part"]).withColumn("_upto", F.sum("_n").over(upto) + below)
+            first = inside.where(F.col("_upto") > offset).orderBy(*names).first()
+            skip = offset - (first["_upto"] - first["_n"])
+            return df.where(_from_key(order, [first[n] for n in names], df, True)).orderBy(*order).offset(skip).limit(limit)
+        below += row["n"]
+    return df.limit(0)
+
+
+def page_after(df: DataFrame, order: Sequence[str], last: Sequence | None = None, limit: int = 50, max_limit: int = 500) -> DataFrame:
+    """The page after the row whose ``order`` columns have the values ``last`` (the first page without).
+
+    ``order`` has to tell rows apart. A page costs the same at any depth: a filter that reaches the scan, and the first
+    rows of what it leaves.
+    """
+    check_page(limit, 0, max_limit)
+    rows = df if last is None else df.where(_from_key(order, list(last), df, False))
+    return rows.orderBy(*order).limit(limit)
+
+
+def _from_key(order: Sequence[str], key: Sequence, df: DataFrame, inclusive: bool) -> Column:
+    """Rows whose order columns come after the key (or, ``inclusive``, are the key); nulls come first."""
+    found = F.lit(inclusive)
+    for name, value in reversed(list(zip(order, key, strict=True))):
+        col, at = F.col(f"`{name}`"), F.lit(value).cast(df.schema[name].dataType)
+        greater = col.isNotNull() if value is None else F.coalesce(col > at, F.lit(False))
+        found = greater | (col.eqNullSafe(at) & found)
+    return found
 
 
 def most_loved(df: DataFrame, n: int = 100) -> DataFrame:

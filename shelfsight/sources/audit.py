@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+from urllib.parse import quote
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +15,9 @@ from shelfsight.operators.relate import compare_manifests, union_by_name
 from shelfsight.sources.csv import layouts
 from shelfsight.sources.tables import Warehouse
 
+WHOLE_BYTES = 256 << 20
+PIECE = 4 << 20
+
 MANIFEST = "file string, sha256 string, bytes bigint, rows bigint, cols int"
 
 
@@ -21,13 +30,34 @@ def _root(folder: str) -> str:
     return folder.rstrip("/").split("://")[-1].removeprefix("file:") + "/"
 
 
+def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """SHA-256 of files read piece by piece, so that a task never holds a whole one."""
+    from pyarrow import fs
+
+    for batch in batches:
+        found = []
+        for path in batch["path"]:
+            # Spark shows a path as it is, while a URI has its odd characters escaped.
+            scheme, rest = path.split(":", 1) if re.match("[a-z0-9]+:/", path) else ("file", path)
+            files, name = fs.FileSystem.from_uri(f"{scheme}:{'' if rest.startswith('//') else '//'}{quote(rest, safe='/:@')}")
+            digest = hashlib.sha256()
+            with files.open_input_stream(name) as source:
+                while piece := source.read(PIECE):
+                    digest.update(piece)
+            found.append(digest.hexdigest())
+        yield batch.assign(sha256=found)
+
+
 def checksums(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """(file, sha256, bytes) per file below the folder; files are hashed side by side, each whole."""
+    """(file, sha256, bytes) per file below the folder; files are hashed side by side.
+
+    Spark hands over files of up to ``WHOLE_BYTES`` as one value; longer ones are read as a stream.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
-    return files.select(
-        F.substring_index("path", _root(folder), -1).alias("file"),
-        F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"),
-    )
+    whole = files.where(F.col("length") <= WHOLE_BYTES).select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
+    longer = files.where(F.col("length") > WHOLE_BYTES).select("path", F.col("length").alias("bytes"))
+    streamed = longer.mapInPandas(_digests, "path string, bytes bigint, sha256 string").select("path", "sha256", "bytes")
+    return whole.unionAll(streamed).select(F.substring_index("path", _root(folder), -1).alias("file"), "sha256", "bytes")
 
 
 def file_rows(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:

@@ -366,6 +366,20 @@ def _(spark, d):
     return relate.page(roles.products(spark, d), ["product_id"], limit=50, offset=100)
 
 
+@query("K02_deep_page", "SELECT * FROM lineitem ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 50 OFFSET 30000")
+def _(spark, d):
+    return relate.page(roles.table(spark, d, "lineitem"), ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], limit=50, offset=30_000)
+
+
+@query("K02_page_after", """
+    SELECT * FROM orders WHERE (o_orderdate, o_orderkey) > (SELECT (o_orderdate, o_orderkey) FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 1 OFFSET 4999)
+    ORDER BY o_orderdate, o_orderkey LIMIT 50""")
+def _(spark, d):
+    orders, order = roles.table(spark, d, "orders"), ["o_orderdate", "o_orderkey"]
+    last = relate.page(orders, order, limit=1, offset=4_999).select(*order).first()
+    return relate.page_after(orders, order, last, limit=50)
+
+
 @query("K03_most_loved", sql("""
     SELECT product_name, brand_name, primary_category, price_usd, rating, loves_count FROM products ORDER BY loves_count DESC NULLS LAST, product_id LIMIT 100""", "products"))
 def _(spark, d):

@@ -127,6 +127,33 @@ def _(spark, d):
         F.aggregate("x", F.lit(0.0), lambda a, b: a + b).alias("total"))
 
 
+@query("T09_all_categories", """
+    SELECT c_custkey, CAST(dense_rank() OVER (ORDER BY c_name) - 1 AS DOUBLE) AS place, (SELECT count(DISTINCT c_name) FROM customer) AS width FROM customer""")
+def _(spark, d):
+    """One indicator per customer name, more than a thousand."""
+    from pyspark.ml import Pipeline
+
+    rows = roles.table(spark, d, "customer").select("c_custkey", "c_name")
+    hot = Pipeline(stages=features.one_hot_stages(["c_name"])).fit(rows).transform(rows)
+    width = hot.schema["c_name_hot"].metadata["ml_attr"]["num_attrs"]
+    return hot.select("c_custkey", F.col("c_name_index").alias("place"), F.lit(width).cast("bigint").alias("width"))
+
+
+@query("T09_hashed", """
+    SELECT c_mktsegment, count(*) AS n, 1 AS places, 2.0::DOUBLE AS total FROM customer GROUP BY 1""")
+def _(spark, d):
+    """Segments and names hashed into one vector: a value has the same place in all rows."""
+    from pyspark.ml import Pipeline
+
+    rows = roles.table(spark, d, "customer").select("c_mktsegment", (F.col("c_custkey") % 2).cast("string").alias("side"))
+    ready = Pipeline(stages=features.hashing_stages(["c_mktsegment", "side"], 1 << 10)).fit(rows).transform(rows)
+    values = vector_to_array("hashed_hot")
+    places = F.transform(F.filter(F.transform(values, lambda x, i: F.when(x != 0, i)), lambda i: i.isNotNull()), lambda i: i)
+    seen = ready.select("c_mktsegment", "side", places.alias("places"), F.aggregate(values, F.lit(0.0), lambda a, b: a + b).alias("total"))
+    sides = seen.groupBy("c_mktsegment", "side").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("places").alias("p"), F.max("total").alias("total"))
+    return sides.groupBy("c_mktsegment").agg(F.sum("n").alias("n"), F.max("p").cast("int").alias("places"), F.max("total").alias("total"))
+
+
 @query("T10_keep_frequent", """
     SELECT value, CAST(sum(n) AS BIGINT) AS n FROM (
       SELECT CASE WHEN row_number() OVER (ORDER BY count(*) DESC, p_brand DESC) <= 19 THEN p_brand ELSE 'infrequent' END AS value, count(*) AS n FROM part GROUP BY p_brand)
