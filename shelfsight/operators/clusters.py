@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from shelfsight.operators.sampling import uniform_sample
 
+SEED_ROWS = 4096  # rows among which centres start
+
 
 def fit_kmeans(df: DataFrame, k: int, tries: int = 15, max_iter: int = 500, seed: int = 42) -> KMeansModel:
     """The best of several starts by total squared distance."""
@@ -27,24 +29,119 @@ def fit_kmeans(df: DataFrame, k: int, tries: int = 15, max_iter: int = 500, seed
 
 
 def k_sweep(
-    df: DataFrame, k_values: Sequence[int] = range(2, 11), seed: int = 42, max_iter: int = 300
+    df: DataFrame, k_values: Sequence[int] = range(2, 11), seed: int = 42, max_iter: int = 300, tol: float = 1e-4, seed_rows: int = SEED_ROWS
 ) -> DataFrame:
-    """Inertia and silhouette (of all rows, see :func:`silhouette`) per k; the highest silhouette is the best."""
-    kept = df.select("features").persist()
-    found = []
+    """Inertia and silhouette (of all rows, see :func:`silhouette_rows`) per k; the highest silhouette is the best.
+
+    All k share their passes: in each one, a row goes to its nearest centre of every k whose centres still move, and
+    tasks send a sum per centre. So there are as many passes as the slowest k needs, and one more for the silhouettes.
+    Centres start far apart among ``seed_rows`` rows chosen by a hash; every pass covers all rows.
+    """
+    spark = df.sparkSession
+    rows = df.select(vector_to_array("features").alias("x")).persist()
     try:
-        for k in k_values:
-            model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features").fit(kept)
-            assigned = model.transform(kept).withColumnRenamed("prediction", "cluster")
-            found.append((k, float(model.summary.trainingCost), silhouette(assigned)))
+        start = np.array([r["x"] for r in rows.orderBy(F.xxhash64("x", F.lit(seed)), "x").limit(seed_rows).collect()], dtype=float)
+        if not len(start):
+            return spark.createDataFrame([], "k int, inertia double, silhouette double, is_best boolean")
+        centres = {k: _far_apart(start, k, np.random.default_rng([seed, k])) for k in k_values}
+        moving, sums = set(centres), {}
+        for _ in range(max_iter):
+            found = _assigned(rows, {k: centres[k] for k in sorted(moving)})
+            sums |= found
+            for k in sorted(moving):
+                n = found[k][:, -3:-2]
+                moved = np.where(n > 0, found[k][:, :-3] / np.maximum(n, 1), centres[k])
+                if ((moved - centres[k]) ** 2).sum(axis=1).max() <= tol**2:
+                    moving.discard(k)  # the sums are those of the centres that stay
+                else:
+                    centres[k] = moved
+            if not moving:
+                break
+        if moving:
+            sums |= _assigned(rows, {k: centres[k] for k in sorted(moving)})
+        shares = _silhouettes(rows, centres, sums)
     finally:
-        kept.unpersist()
+        rows.unpersist()
+    found = [(k, float(sums[k][:, -1].sum()), shares[k]) for k in k_values]
     best = max(found, key=lambda row: row[2])[0]
-    return df.sparkSession.createDataFrame(
+    return spark.createDataFrame(
         [(*row, row[0] == best) for row in found], "k int, inertia double, silhouette double, is_best boolean"
     ).orderBy("k")
 
 
+def _far_apart(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """``k`` of the points, each drawn with a chance that grows with its squared distance from those before."""
+    chosen = [points[rng.integers(len(points))]]
+    gaps = ((points - chosen[0]) ** 2).sum(axis=1)
+    for _ in range(k - 1):
+        total = gaps.sum()
+        chosen.append(points[rng.choice(len(points), p=gaps / total)] if total > 0 else chosen[0])
+        gaps = np.minimum(gaps, ((points - chosen[-1]) ** 2).sum(axis=1))
+    return np.array(chosen)
+
+
+def _gaps(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances, from the middle of the centres so that far-off points lose no digits."""
+    middle = centres.mean(axis=0)
+    x, centres = x - middle, centres - middle
+    return np.maximum((x * x).sum(axis=1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(axis=1), 0.0)
+
+
+def _assigned(rows: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """Per k a row for each centre: the sum of its points, their number, sum of squares, and sum of squared distances."""
+
+    def sums(batches):
+        total = {k: np.zeros((len(c), c.shape[1] + 3)) for k, c in centres.items()}
+        for batch in batches:
+            x = np.array(batch["x"].to_list(), dtype=float).reshape(len(batch), -1)
+            for k, c in centres.items():
+                gaps = _gaps(x, c)
+                own = gaps.argmin(axis=1)
+                member = np.zeros((len(x), len(c)))
+                member[np.arange(len(x)), own] = 1.0
+                more = np.column_stack([x, np.ones(len(x)), (x * x).sum(axis=1), gaps.min(axis=1)])
+                total[k] += member.T @ more
+        yield pd.DataFrame([(k, i, list(row)) for k, t in total.items() for i, row in enumerate(t)], columns=["k", "c", "v"])
+
+    cells = rows.mapInPandas(sums, "k int, c int, v array<double>").select("k", "c", F.posexplode("v").alias("i", "v"))
+    found = {k: np.zeros((len(c), c.shape[1] + 3)) for k, c in centres.items()}
+    for row in cells.groupBy("k", "c", "i").agg(F.sum("v").alias("v")).collect():
+        found[row["k"]][row["c"], row["i"]] = row["v"]
+    return found
+
+
+def _silhouettes(rows: DataFrame, centres: dict[int, np.ndarray], sums: dict[int, np.ndarray]) -> dict[int, float]:
+    """Mean silhouette of all rows for every k in one pass; centres without points do not count."""
+
+    def scores(batches):
+        total = {k: [0.0, 0] for k in centres}
+        for batch in batches:
+            x = np.array(batch["x"].to_list(), dtype=float).reshape(len(batch), -1)
+            for k, c in centres.items():
+                there = np.flatnonzero(sums[k][:, -3] > 0)
+                sizes, squares = sums[k][there, -3], sums[k][there, -2]
+                own = np.searchsorted(there, _gaps(x, c).argmin(axis=1))
+                total[k][0] += _silhouette_values(x, own, sums[k][there, :-3] / sizes[:, None], sizes, squares).sum()
+                total[k][1] += len(x)
+        yield pd.DataFrame([(k, s, n) for k, (s, n) in total.items()], columns=["k", "s", "n"])
+
+    found = rows.mapInPandas(scores, "k int, s double, n long").groupBy("k").agg((F.sum("s") / F.sum("n")).alias("mean"))
+    return {r["k"]: float(r["mean"]) for r in found.collect()}
+
+
+def _silhouette_values(points: np.ndarray, own: np.ndarray, centres: np.ndarray, sizes: np.ndarray, squares: np.ndarray) -> np.ndarray:
+    """Silhouettes of points in cluster ``own``, from each cluster's mean, size and sum of squared lengths."""
+    row = np.arange(len(points))
+    means = np.maximum((points**2).sum(axis=1)[:, None] - 2 * points @ centres.T + squares / sizes, 0.0)
+    inner = means[row, own] * sizes[own] / np.maximum(sizes[own] - 1, 1)
+    means[row, own] = np.inf
+    outer = means.min(axis=1)
+    largest = np.maximum(inner, outer)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        value = np.where(largest > 0, (outer - inner) / largest, 0.0)
+    return np.where((sizes[own] == 1) | (len(sizes) == 1), 0.0, value)
+
+
 def silhouette_rows(df: DataFrame, features: str = "features", cluster: str = "cluster") -> DataFrame:
     """``df`` with the silhouette of every row by squared Euclidean distance.
 
@@ -67,16 +164,7 @@ def silhouette_rows(df: DataFrame, features: str = "features", cluster: str = "c
     @F.pandas_udf("double")
     def score(x: pd.Series, c: pd.Series) -> pd.Series:
         points = np.stack(x.to_numpy()).astype(float)
-        own = np.searchsorted(labels, c.to_numpy())
-        row = np.arange(len(points))
-        means = np.maximum((points**2).sum(axis=1)[:, None] - 2 * points @ centres.T + squares / sizes, 0.0)
-        inner = means[row, own] * sizes[own] / np.maximum(sizes[own] - 1, 1)
-        means[row, own] = np.inf
-        outer = means.min(axis=1)
-        largest = np.maximum(inner, outer)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            value = np.where(largest > 0, (outer - inner) / largest, 0.0)
-        return pd.Series(np.where((sizes[own] == 1) | (len(labels) == 1), 0.0, value))
+        return pd.Series(_silhouette_values(points, np.searchsorted(labels, c.to_numpy()), centres, sizes, squares))
 
     return ready.withColumn("silhouette", score("_x", F.col(cluster))).drop("_x")
 

@@ -333,6 +333,16 @@ def _(spark, d):
     return sizes.withColumn("inertia", F.lit(round(float(model.summary.trainingCost), 6)))
 
 
+@query("M10_two_groups", """
+    SELECT 2 AS k, round((SELECT sum(v) FROM (SELECT var_pop(l_linenumber) * count(*) AS v FROM lineitem GROUP BY l_returnflag = 'R')), 4) AS inertia, true AS is_best""")
+def _(spark, d):
+    """Of all k, the two groups that lie far apart are the best."""
+    far = F.when(F.col("l_returnflag") == "R", 1000.0).otherwise(0.0)
+    rows = roles.table(spark, d, "lineitem").select(array_to_vector(F.array(F.col("l_linenumber") + far)).alias("features"))
+    found = clusters.k_sweep(rows, range(2, 4))
+    return found.where("is_best").select("k", F.round("inertia", 4).alias("inertia"), "is_best")
+
+
 PLANE = """
     SELECT *, (a + c + sqrt((a - c) ^ 2 + 4 * b ^ 2)) / 2 AS high, (a + c - sqrt((a - c) ^ 2 + 4 * b ^ 2)) / 2 AS low, 0.5 * atan2(2 * b, a - c) AS turn FROM (
       SELECT var_pop(x) AS a, var_pop(y) AS c, covar_pop(x, y) AS b, avg(x) AS mx, avg(y) AS my

@@ -302,3 +302,20 @@ def test_models_after_an_observed_write(spark, tmp_path):
     assert 0.7 < mean <= 1 and spread >= 0
     _, best = models.grid_search(df, "random_forest", ["id"], grid={"n_estimators": [2], "class_weight": [None, "balanced"]}, folds=2)
     assert sum(counted(best, df).values()) == 400
+
+
+def test_k_sweep_shares_its_passes(spark, monkeypatch):
+    """Passes are those of the slowest k, and what is found agrees with the library for the same clusters."""
+    from pyspark.ml.evaluation import ClusteringEvaluator
+
+    df, passes, real = blobs(spark), [], clusters._assigned
+    monkeypatch.setattr(clusters, "_assigned", lambda rows, centres: passes.append(sorted(centres)) or real(rows, centres))
+    found = {r["k"]: r for r in clusters.k_sweep(df, range(2, 6)).collect()}
+    assert passes[0] == [2, 3, 4, 5] and len(passes) < 40 and all(set(b) <= set(a) for a, b in zip(passes, passes[1:]))
+    best = next(r for r in found.values() if r["is_best"])
+    model = clusters.fit_kmeans(df, best["k"], tries=5)
+    assert best["inertia"] == pytest.approx(model.summary.trainingCost, rel=1e-6)
+    assert best["silhouette"] == pytest.approx(ClusteringEvaluator().evaluate(model.transform(df)), abs=1e-6)
+    assert clusters.k_sweep(df.limit(0)).count() == 0
+    one = clusters.k_sweep(df.limit(1), [2]).first()  # fewer points than centres
+    assert one["inertia"] == 0 and one["silhouette"] == 0
