@@ -14,13 +14,13 @@ from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from shelfsight.functions.numbers import clip
 from shelfsight.operators import clean
-from shelfsight.operators.profile import text_values
+from shelfsight.operators.frequent import top_values
 from shelfsight.operators.quantiles import exact_quantiles
 from shelfsight.schemas import UNCAPPED_COLUMNS
 
@@ -126,8 +126,7 @@ def most_frequent(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     """Most frequent value per text column, the smallest on ties; columns without values are absent."""
     if not columns:
         return {}
-    ranked = F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("value")
-    return {r["column"]: r["value"] for r in text_values(df, columns).groupBy("column").agg(ranked).collect()}
+    return {r["column"]: r["value"] for r in top_values(df, columns, 1).collect()}
 
 
 def typical_values(df: DataFrame) -> dict[str, float | str | None]:
@@ -287,9 +286,7 @@ class KeepFrequent(Estimator, _Saved):
         most = self.getOrDefault(self.maxCategories)
         if not names:
             return KeepFrequentModel({})
-        # Spark cuts each column's values to the limit inside every task, before they are shuffled.
-        place = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), F.desc("value")))
-        ranked = text_values(df, names).withColumn("place", place).where(F.col("place") <= most + 1)
+        ranked = top_values(df, names, most + 1, first="desc")
         found = {c: [] for c in names}
         for r in sorted(ranked.collect(), key=lambda r: r["place"]):
             found[r["column"]].append(r["value"])

@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from shelfsight.operators.clean import catalog_slice
+from shelfsight.operators.frequent import top_values
 from shelfsight.operators.quantiles import exact_quantiles
 
 
@@ -55,6 +57,8 @@ def loved_brands(products: DataFrame, n: int = 10) -> DataFrame:
 
 def value_counts(df: DataFrame, column: str, n: int | None = None) -> DataFrame:
     """How often each value occurs, most frequent first; missing values left out."""
+    if n is not None and df.schema[column].dataType == StringType():
+        return top_values(df, [column], n).select(F.col("value").alias(column), "n").orderBy(F.desc("n"), column)
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     ordered = counts.orderBy(F.desc("n"), column)
     return ordered if n is None else ordered.limit(n)
