@@ -14,6 +14,7 @@ from shelfsight.operators.enrich import Scorer, clean_sentiment, current_rate, f
 from shelfsight.operators.sampling import uniform_sample
 from shelfsight.plans.transforms import clean_products, clean_reviews
 from shelfsight.schemas import FALLBACK_RATE, RATE_SCHEMA, SENTIMENT_SCHEMA
+from shelfsight.session import scratch
 from shelfsight.sources.tables import Warehouse, append_metrics, append_rate, load_raw
 
 
@@ -148,9 +149,11 @@ def run_job(
         ("extract", take, True), ("validate_raw", check_raw, False), ("transform", transform, True),
         ("load", load, True), ("load_extras", extras, False),
     ]
-    for name, work, stops in stages:
-        if not _stage(run, name, work, stops):
-            return run
+    # All that a run leaves is in the warehouse, so its working files go with it.
+    with scratch(spark, "run"):
+        for name, work, stops in stages:
+            if not _stage(run, name, work, stops):
+                return run
     run.status = "success"
     return run
 

@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_JOB: ContextVar[str] = ContextVar("job", default="")
+
 # Largest frame that may travel through the driver to become a broadcast side.
 SMALL_ROWS = 20_000
 
@@ -43,7 +48,23 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/shelfsight/{purpose}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/shelfsight/{_JOB.get()}{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, purpose: str) -> Iterator[None]:
+    """Deletes the working files that are made inside when it ends, whether it succeeds or not.
+
+    For jobs whose results are stored elsewhere: frames that were made inside cannot be used any more.
+    """
+    outer = _JOB.get()
+    mine = shared_folder(spark, f"job-{purpose}")
+    token = _JOB.set(f"{outer}{mine.rpartition('/')[2]}/")
+    try:
+        yield
+    finally:
+        _JOB.reset(token)
+        delete(spark, mine)
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

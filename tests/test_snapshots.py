@@ -131,3 +131,18 @@ def test_partitioned_parts(spark, store):
     store.write(rows, "t", partition_by=["day"])
     store.write(rows, "t", "append", partition_by=["day"])
     assert store.read("t").where("day = 1").count() == 6
+
+
+def test_scratch_goes_with_its_job(spark):
+    from shelfsight.session import scratch, shared_folder, written
+
+    root = shared_folder(spark, "x").rpartition("/")[0].removeprefix("file:")
+    outside = written(spark.range(3), "outside")
+    before = set(os.listdir(root))
+    with pytest.raises(ZeroDivisionError), scratch(spark, "test"):
+        assert written(spark.range(5), "inside").count() == 5
+        with scratch(spark, "inner"):
+            assert written(spark.range(2), "deep").count() == 2
+        assert len(set(os.listdir(root)) - before) == 1
+        raise ZeroDivisionError
+    assert set(os.listdir(root)) == before and outside.count() == 3
