@@ -21,6 +21,7 @@ from pyspark.sql.types import IntegralType
 from shelfsight.functions.numbers import clip
 from shelfsight.operators import clean
 from shelfsight.operators.frequent import top_values
+from shelfsight.operators.profile import text_values
 from shelfsight.operators.quantiles import exact_quantiles
 from shelfsight.schemas import UNCAPPED_COLUMNS
 
@@ -123,10 +124,14 @@ class DropConstant(Estimator, _Saved):
 
 
 def most_frequent(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
-    """Most frequent value per text column, the smallest on ties; columns without values are absent."""
+    """Most frequent value per text column, the smallest on ties; columns without values are absent.
+
+    One pass, as the frame may be a long plan that should not be computed twice for two passes over it.
+    """
     if not columns:
         return {}
-    return {r["column"]: r["value"] for r in top_values(df, columns, 1).collect()}
+    ranked = F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("value")
+    return {r["column"]: r["value"] for r in text_values(df, columns).groupBy("column").agg(ranked).collect()}
 
 
 def typical_values(df: DataFrame) -> dict[str, float | str | None]:

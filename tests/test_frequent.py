@@ -21,7 +21,7 @@ def table(spark, kind, n=4000):
 @pytest.mark.parametrize("first", ["asc", "desc"])
 def test_same_as_counting_everything(spark, monkeypatch, kind, first):
     """Few counters, so that all ways are taken: nothing lost, candidates counted, and bounds that prove nothing."""
-    monkeypatch.setattr(frequent, "MOST_COUNTERS", 40)
+    monkeypatch.setattr(frequent, "MOST_COUNTERS", 200)
     rows, df = table(spark, kind)
     for k in (1, 5):
         got = [(r["column"], r["value"], r["n"]) for r in frequent.top_values(df, ["x", "y"], k, first, counters=20).orderBy("column", "place").collect()]
@@ -37,8 +37,8 @@ def test_no_shuffle_of_all_values(spark, monkeypatch):
     """On skewed values the second pass counts a few candidates, and summaries stay bounded."""
     rows, df = table(spark, "hot", 8000)
     monkeypatch.setattr(frequent, "COUNTERS", 50)
-    seen, real = [], frequent._proven
-    monkeypatch.setattr(frequent, "_proven", lambda cells, summary, k: seen.append((summary.count(), summary.where("lost > 0").count())) or real(cells, summary, k))
+    seen, real = [], frequent._bounds
+    monkeypatch.setattr(frequent, "_bounds", lambda summary, k: seen.append((summary.count(), summary.where("lost > 0").count())) or real(summary, k))
     top = frequent.top_values(df, ["x"], 1).collect()
     assert [(r["value"], r["n"]) for r in top] == [("hot", sum(r[1] == "hot" for r in rows))]
     assert len(seen) == 1 and seen[0][0] <= 5 * 100 + 1 and seen[0][1] == 1
