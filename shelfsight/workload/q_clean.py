@@ -372,11 +372,11 @@ def _(spark, d):
 
 
 @query("K02_page_after", """
-    SELECT * FROM orders WHERE (o_orderdate, o_orderkey) > (SELECT (o_orderdate, o_orderkey) FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 1 OFFSET 4999)
+    SELECT * FROM orders WHERE (o_orderdate, o_orderkey) > (SELECT (o_orderdate, o_orderkey) FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 1 OFFSET 999)
     ORDER BY o_orderdate, o_orderkey LIMIT 50""")
 def _(spark, d):
     orders, order = roles.table(spark, d, "orders"), ["o_orderdate", "o_orderkey"]
-    last = relate.page(orders, order, limit=1, offset=4_999).select(*order).first()
+    last = relate.page(orders, order, limit=1, offset=999).select(*order).first()
     return relate.page_after(orders, order, last, limit=50)
 
 
