@@ -21,6 +21,7 @@ from shelfsight.session import shared_folder, written
 END = 2
 CACHE = 1_000_000
 TOGETHER = 4096
+CUT = 64  # characters of a text that tell rows of one id apart when parts are cut
 NO_ID = np.iinfo(np.int64).min  # stands for a null document id in the files
 
 
@@ -106,17 +107,23 @@ def _filesystem(folder: str):
     return fs.FileSystem.from_uri(folder)
 
 
-def _store(folder: str, name: str, attempt: int, write) -> None:
-    """Write a file under another name and rename it, so that a lost or repeated task leaves no half of it."""
-    from pyarrow import fs
-
+def _store(folder: str, name: str, write) -> None:
     files, root = _filesystem(folder)
     files.create_dir(root, recursive=True)
-    with files.open_output_stream(f"{root}/.{name}.{attempt}") as out:
+    with files.open_output_stream(f"{root}/{name}") as out:
         write(out)
-    if files.get_file_info(f"{root}/{name}").type != fs.FileType.NotFound:  # of an earlier attempt, with the same content
-        files.delete_file(f"{root}/{name}")
-    files.move(f"{root}/.{name}.{attempt}", f"{root}/{name}")
+
+
+def _clean(folder: str, named: set[str]) -> None:
+    """Delete the files of attempts that the manifest does not name, as those of lost or repeated tasks."""
+    from pyarrow import fs
+
+    files, root = _filesystem(folder)
+    if files.get_file_info(root).type == fs.FileType.NotFound:
+        return
+    for info in files.get_file_info(fs.FileSelector(root)):
+        if info.type == fs.FileType.File and info.base_name.startswith("part-") and info.base_name.rpartition(".")[0] not in named:
+            files.delete_file(info.path)
 
 
 def _load(folder: str, name: str, kind: np.dtype) -> np.ndarray:
@@ -133,14 +140,16 @@ def _load(folder: str, name: str, kind: np.dtype) -> np.ndarray:
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end: int = END) -> DataFrame:
-    """Encode ``docs`` into token files in ``folder``; the manifest ``(part, n_docs, n_tokens, base, width)``.
+    """Encode ``docs`` into token files in ``folder``; the manifest ``(part, file, n_docs, n_tokens, width, base)``.
 
     Documents are range-partitioned and sorted by ``doc_id`` (null first; ties by text), so parts are in order.
     For each part there are three flat little-endian files: ``.ids`` with the ids of all its documents, each
     ended by ``end``, as unsigned integers of ``width`` bytes (the least that holds the vocabulary), ``.offsets``
     with the n + 1 unsigned 64-bit places in it where documents start and end, and ``.docs`` with the
     64-bit document ids (the smallest integer for null). ``base`` is the number of ids in all earlier parts, a
-    prefix sum over the manifest; it has a row for each part and is kept as a table beside the files.
+    prefix sum over the manifest; it has a row for each part and is kept as a table beside the files. Each attempt at
+    a part writes files of its own; ``file`` names those of the attempt that counts, and the others are deleted. Parts
+    are cut within an id too, where many rows have the same or none, by how their texts begin.
 
     Null and empty texts are the end id alone. Repeated rows are written as often. An empty table gives no
     parts; other columns are not looked at.
@@ -150,7 +159,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end: int = END) -
 
     def store(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task = TaskContext.get()
-        part, attempt = task.partitionId(), task.taskAttemptId()
+        part, file = task.partitionId(), f"part-{task.partitionId():06d}-{task.taskAttemptId()}"
         encode = encoder(tokenizer)
         ending = np.array([end], encode.type).tobytes()
         lengths, ids = [np.zeros(1, np.uint64)], []
@@ -164,19 +173,22 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end: int = END) -
                     lengths.append(np.array([len(row) // encode.type.itemsize + 1 for row in rows], np.uint64))
                 ids.append(batch["doc_id"].to_numpy(np.int64))
 
-        _store(folder, f"part-{part:06d}.ids", attempt, write)
+        _store(folder, f"{file}.ids", write)
         offsets = np.cumsum(np.concatenate(lengths), dtype=np.uint64).astype("<u8")
-        _store(folder, f"part-{part:06d}.offsets", attempt, lambda out: out.write(offsets.tobytes()))
-        _store(folder, f"part-{part:06d}.docs", attempt, lambda out: out.write(np.concatenate([np.empty(0, np.int64), *ids]).astype("<i8").tobytes()))
-        yield pd.DataFrame({"part": [part], "n_docs": [len(offsets) - 1], "n_tokens": [int(offsets[-1])], "width": [encode.type.itemsize]})
+        _store(folder, f"{file}.offsets", lambda out: out.write(offsets.tobytes()))
+        _store(folder, f"{file}.docs", lambda out: out.write(np.concatenate([np.empty(0, np.int64), *ids]).astype("<i8").tobytes()))
+        yield pd.DataFrame({"part": [part], "file": [file], "n_docs": [len(offsets) - 1], "n_tokens": [int(offsets[-1])], "width": [encode.type.itemsize]})
 
     known = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    ordered = docs.select(known.alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    parts = written(ordered.mapInPandas(store, "part long, n_docs long, n_tokens long, width int").where("n_docs > 0"), "token-parts")
+    rows = docs.select(known.alias("doc_id"), "text")
+    ordered = rows.repartitionByRange("doc_id", F.substring("text", 1, CUT)).sortWithinPartitions("doc_id", "text")
+    parts = written(ordered.mapInPandas(store, "part long, file string, n_docs long, n_tokens long, width int").where("n_docs > 0"), "token-parts")
     manifest = parts.withColumn("base", F.sum("n_tokens").over(W.orderBy("part")) - F.col("n_tokens"))
     path = f"{folder.rstrip('/')}/manifest"
     manifest.write.parquet(path)
-    return spark.read.schema(manifest.schema).parquet(path)
+    manifest = spark.read.schema(manifest.schema).parquet(path)
+    _clean(folder, {row["file"] for row in manifest.select("file").collect()})
+    return manifest
 
 
 def read_tokens(manifest: DataFrame, folder: str, summary=None, columns: str = "tokens array<long>") -> DataFrame:
@@ -191,7 +203,7 @@ def read_tokens(manifest: DataFrame, folder: str, summary=None, columns: str = "
     def load(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
-                file = f"part-{row.part:06d}"
+                file = row.file
                 ids = _load(folder, f"{file}.ids", np.dtype(f"<u{row.width}"))
                 offsets, docs = _load(folder, f"{file}.offsets", np.dtype("<u8")).astype(np.int64), _load(folder, f"{file}.docs", np.dtype("<i8"))
                 for at in range(0, len(docs), 4096):

@@ -167,9 +167,9 @@ def test_token_files(spark, docs, rows, clashing, repeated, empty_docs, tmp_path
     assert [tuple(r) for r in got.orderBy("start").collect()] == expected(rows)
     parts = manifest.orderBy("part").collect()
     assert sum(p.n_docs for p in parts) == len(rows) and all(p.width == 2 for p in parts)
-    flat = b"".join((tmp_path / f"a/part-{p.part:06d}.ids").read_bytes() for p in parts)
+    flat = b"".join((tmp_path / f"a/{p.file}.ids").read_bytes() for p in parts)
     assert np.frombuffer(flat, "<u2").tolist() == [i for *_, ids in expected(rows) for i in ids]
-    assert not [f for f in (tmp_path / "a").iterdir() if f.name.startswith(".part")]
+    assert {f.name for f in (tmp_path / "a").iterdir() if f.is_file()} == {f"{p.file}.{kind}" for p in parts for kind in ("ids", "offsets", "docs")}
 
     _, got = token_rows(clashing, str(tmp_path / "b"), summary=crc32, columns="ids_crc32 long")
     assert [tuple(r) for r in got.orderBy("start").collect()] == [(i, s, n, zlib.crc32(np.array(t, "<u4").tobytes())) for i, s, n, t in expected(rows)]
@@ -185,6 +185,25 @@ def test_large_ids_survive(spark, tmp_path):
     assert [r.doc_id for r in got.orderBy("start").collect()] == [None, -5, (1 << 53) + 1]
 
 
+def test_one_id_of_many_rows_is_cut(spark, tmp_path):
+    """Rows without an id go to many parts, in the order of their texts; files of lost attempts are deleted."""
+    texts = [f"{n % 977} text {n}" for n in range(4000)]
+    made = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string").repartition(6)
+    (tmp_path / "f").mkdir()
+    (tmp_path / "f" / "part-000000-77.ids").write_bytes(b"left by a lost attempt")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest, got = token_rows(made, str(tmp_path / "f"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = manifest.collect()
+    assert len(parts) > 2 and max(p.n_docs for p in parts) < 2500 and not (tmp_path / "f" / "part-000000-77.ids").exists()
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    assert [r.tokens[:-1] for r in got.orderBy("start").collect()] == [e.ids for e in library.encode_batch(sorted(texts), add_special_tokens=False)]
+
+
 def test_a_column_more_does_no_harm(docs, model):
     more = docs.select("*", F.lit(1).alias("n_tokens"))
     assert encode_pieces(more, model, digests, "n_tokens long, ids_sha256 string, decoded_sha256 string").columns.count("n_tokens") == 1
