@@ -13,6 +13,7 @@ from shelfsight.operators.clean import known_sentiment, require_columns, with_va
 from shelfsight.operators.relate import not_in_cache, union_by_name
 from shelfsight.operators.sampling import balanced_sample
 from shelfsight.schemas import FALLBACK_RATE, SENTIMENT_COLUMNS, SENTIMENT_SCHEMA
+from shelfsight.sources.keys import KeySet
 
 # Word lists of the offline scorer.
 POSITIVE_WORDS = ["amazing", "best", "excellent", "good", "great", "happy", "love", "nice", "perfect", "recommend"]
@@ -93,7 +94,7 @@ def fresh_sentiment(
     reviews: DataFrame,
     scorer: Scorer,
     size: int | None = None,
-    cache: DataFrame | None = None,
+    cache: DataFrame | KeySet | None = None,
     ids: tuple[str, ...] = ("author_id", "review_text"),
     cache_key: str = "author_id",
     seed: int = 42,
@@ -101,7 +102,8 @@ def fresh_sentiment(
 ) -> DataFrame:
     """Scores of every review with usable text, leaving out what the cache holds.
 
-    With a ``size``, of a class-balanced sample of that many reviews.
+    The cache is its rows, or the set of its keys, which are not moved then. With a ``size``, of a class-balanced
+    sample of that many reviews.
     """
     require_columns(reviews, SENTIMENT_COLUMNS, "reviews")
     usable = with_valid_text(reviews)
@@ -111,7 +113,10 @@ def fresh_sentiment(
         )
     else:
         chosen = balanced_sample(usable, "is_recommended", list(ids), size, seed)
-    fresh = chosen if cache is None else not_in_cache(chosen, cache, cache_key)
+    if isinstance(cache, KeySet):
+        fresh = cache.missing(chosen, cache_key)
+    else:
+        fresh = chosen if cache is None else not_in_cache(chosen, cache, cache_key)
     return score_texts(fresh, scorer, max_chars=max_chars).select(*SENTIMENT_SCHEMA.names)
 
 

@@ -15,6 +15,7 @@ from shelfsight.operators.sampling import uniform_sample
 from shelfsight.plans.transforms import clean_products, clean_reviews
 from shelfsight.schemas import FALLBACK_RATE, RATE_SCHEMA, SENTIMENT_SCHEMA
 from shelfsight.session import scratch
+from shelfsight.sources.keys import KeySet, keys_of
 from shelfsight.sources.tables import Warehouse, append_metrics, append_rate, load_raw
 
 
@@ -94,7 +95,9 @@ def run_job(
         reviews = warehouse.read("raw_reviews") if "raw_reviews" in loaded else reviews
         if review_limit is not None:
             reviews = uniform_sample(reviews, list(review_ids), review_limit)
-        cache = warehouse.read_or_empty("sentiment_cache", SENTIMENT_SCHEMA) if use_cache else None
+        cache = None
+        if use_cache:
+            cache = data["cache"] = keys_of(warehouse, "sentiment_cache", "author_id") or warehouse.read_or_empty("sentiment_cache", SENTIMENT_SCHEMA)
         data["fresh"] = fresh_sentiment(
             reviews, scorer or lexicon_scorer(), sentiment_size, cache, ids=tuple({"review_text": 0, **dict.fromkeys(review_ids)})
         )
@@ -129,7 +132,9 @@ def run_job(
                 details[f"{name} {key}"] = value
         # Scored once: the new scores are stored first, and the result table is read from the store.
         if use_cache:
-            warehouse.write(data["fresh"], "sentiment_cache", "append")
+            stored = warehouse.write(data["fresh"], "sentiment_cache", "append")
+            if isinstance(data["cache"], KeySet):
+                data["cache"].add(stored, "author_id")
             scored = warehouse.read("sentiment_cache")
         else:
             scored = data["fresh"]

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from shelfsight.functions import numbers, text
 from shelfsight.operators import clean, relate, reports
 from shelfsight.schemas import CSV_NULL_TOKENS, PRODUCT_SCHEMA, REVIEW_SCHEMA
+from shelfsight.session import shared_folder
+from shelfsight.sources.keys import KeySet
+from shelfsight.sources.tables import Warehouse
 from shelfsight.workload import roles
 from shelfsight.workload.registry import query
 from shelfsight.workload.roles import RATE, REVIEW_ORDER, sql
@@ -310,6 +313,16 @@ def _(spark, d):
     return relate.not_in_cache(roles.raw_reviews(spark, d).select(*KEYS, "author_id"), cache)
 
 
+@query("J02_not_in_key_set", sql(f"""
+    SELECT {KEY}, author_id FROM raw_reviews WHERE author_id IS NULL OR author_id NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal > 2000)""",
+    "raw_reviews"))
+def _(spark, d):
+    held = KeySet(Warehouse(spark, shared_folder(spark, "key-set")), "known")
+    for more in ("c_acctbal > 4000", "c_acctbal > 2000"):
+        held.add(roles.table(spark, d, "customer").where(more), "c_custkey")
+    return held.missing(roles.raw_reviews(spark, d).select(*KEYS, "author_id"), "author_id")
+
+
 @query("J03_with_rate", sql("SELECT product_id, price_usd, (SELECT arg_max(rate, loaded_at) FROM rates) AS rate FROM products", "products", "rates"))
 def _(spark, d):
     return relate.with_rate(roles.products(spark, d).select("product_id", "price_usd"), roles.rates(spark, d))
