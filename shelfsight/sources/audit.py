@@ -21,12 +21,12 @@ PIECE = 4 << 20
 MANIFEST = "file string, sha256 string, bytes bigint, rows bigint, cols int"
 
 
-def _relative(path: Column, folder: str) -> Column:
+def relative_path(path: Column | str, folder: str) -> Column:
     """A file's path below the folder, which tells files of the same name in different folders apart."""
-    return F.substring_index(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), _root(folder), -1)
+    return F.substring_index(F.url_decode(F.replace(F.col(path) if isinstance(path, str) else path, F.lit("+"), F.lit("%2B"))), root_of(folder), -1)
 
 
-def _root(folder: str) -> str:
+def root_of(folder: str) -> str:
     return folder.rstrip("/").split("://")[-1].removeprefix("file:") + "/"
 
 
@@ -57,7 +57,7 @@ def checksums(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataF
     whole = files.where(F.col("length") <= WHOLE_BYTES).select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
     longer = files.where(F.col("length") > WHOLE_BYTES).select("path", F.col("length").alias("bytes"))
     streamed = longer.mapInPandas(_digests, "path string, bytes bigint, sha256 string").select("path", "sha256", "bytes")
-    return whole.unionAll(streamed).select(F.substring_index("path", _root(folder), -1).alias("file"), "sha256", "bytes")
+    return whole.unionAll(streamed).select(F.substring_index("path", root_of(folder), -1).alias("file"), "sha256", "bytes")
 
 
 def file_rows(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
@@ -65,9 +65,9 @@ def file_rows(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataF
     counts, listed = [], []
     for header, paths in layouts(spark, folder, pattern).items():
         rows = spark.read.options(header=True, quote='"', escape='"', multiLine=True).csv(paths)
-        counts.append(rows.groupBy(_relative(F.col("_metadata.file_path"), folder).alias("file")).agg(F.count(F.lit(1)).alias("rows")))
+        counts.append(rows.groupBy(relative_path(F.col("_metadata.file_path"), folder).alias("file")).agg(F.count(F.lit(1)).alias("rows")))
         listed += [(path, len(header)) for path in paths]
-    files = spark.createDataFrame([(path.split(_root(folder), 1)[-1], cols) for path, cols in listed], "file string, cols int")
+    files = spark.createDataFrame([(path.split(root_of(folder), 1)[-1], cols) for path, cols in listed], "file string, cols int")
     # A file with nothing but a header has no rows to group.
     return files.join(union_by_name(counts), "file", "left").select(
         "file", F.coalesce("rows", F.lit(0)).alias("rows"), "cols"

@@ -7,6 +7,9 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from shelfsight.operators import contracts, profile, reports
+from shelfsight.session import shared_folder
+from shelfsight.sources.sketches import FolderSketches
+from shelfsight.sources.tables import Warehouse
 from shelfsight.workload import roles
 from shelfsight.workload.registry import query
 from shelfsight.workload.roles import RATE, sql
@@ -215,6 +218,25 @@ def _(spark, d):
     return profile.cardinality(roles.raw_reviews(spark, d), ["author_id", "product_id", *REVIEW_TEXTS])
 
 
+SKETCHED = "author_id string, product_id string, rating double, skin_tone string"
+
+
+@query("P07_stored_sketches", sql(each_column(
+    "SELECT '{c}' AS \"column\", count(*) AS rows, count(*) - count({c}) AS missing, true AS near FROM raw_reviews", ["author_id", "product_id", "rating", "skin_tone"]), "raw_reviews"))
+def _(spark, d):
+    """Two files arrive one after the other; estimates are held against exact counts, to three standard errors."""
+    folder, rows = shared_folder(spark, "arriving"), roles.raw_reviews(spark, d).selectExpr("author_id", "product_id", "cast(rating as double) rating", "skin_tone")
+    sketches = FolderSketches(Warehouse(spark, shared_folder(spark, "sketches")), "columns", folder, SKETCHED)
+    half = F.xxhash64("author_id") % 2 == 0
+    for part in (half, ~half | half.isNull()):
+        rows.where(part).write.mode("append").parquet(folder)
+        sketches.refresh()
+    exact = rows.agg(*[F.count_distinct(c).alias(c) for c in rows.columns])
+    exact = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("exact")) for c in rows.columns])))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= 3 * 1.04 / 2 ** 6 * F.col("exact")
+    return sketches.summary().join(F.broadcast(exact), "column").select("column", "rows", "missing", near.alias("near"))
+
+
 PAIRS_SQL = " UNION ALL ".join(
     [f"SELECT '{c}' AS a, '{c}' AS b, 1.0::DOUBLE AS r" for c in REVIEW_NUMBERS]
     + [f"SELECT '{x}', '{y}', round(corr({a}, {b}), 6) FROM raw_numbers" for a, b in combinations(REVIEW_NUMBERS, 2) for x, y in ((a, b), (b, a))]
