@@ -16,8 +16,9 @@ from shelfsight.llm.registry import query, table, unused, whole_texts
 from shelfsight.session import written
 
 EXAMPLES = 6144  # labelled rows the classifier is fitted on: those with the smallest hashes
-TERMS = 1024
-LEAST_GAIN = 24.0  # log-likelihood ratio that a term must have with the labels
+CHANCE = 3.84  # log-likelihood ratio with the labels that one term in twenty reaches by chance: weights rise from 0 there
+HALF_GAIN = 24.0  # ratio beyond that at which a term has half of its full weight
+KNOWN_WORDS = 1 << 17  # words whose terms a worker remembers
 PREFIXES = (3, 4, 5, 6, 7, 8)
 NEIGHBOURS = 15
 BLOCK = 64
@@ -69,80 +70,112 @@ class Terms:
 
     def __init__(self, terms: list[str]):
         self.places = {term: n for n, term in enumerate(terms)}
-        self.starts = {term.rstrip("*")[: PREFIXES[0]] for term in terms}
+        self.seen: dict[str, tuple[int, ...]] = {}
+
+    def __getstate__(self) -> dict:
+        return {"places": self.places, "seen": {}}
+
+    def _of_word(self, word: str) -> tuple[int, ...]:
+        found = self.seen.get(word)
+        if found is None:
+            terms = (word, *(word[:length] + "*" for length in PREFIXES if len(word) > length))
+            found = tuple(self.places[t] for t in terms if t in self.places)
+            if len(word) <= 32:
+                if len(self.seen) >= KNOWN_WORDS:
+                    self.seen.clear()
+                self.seen[word] = found
+        return found
 
     def count(self, text: str | None) -> dict[int, int]:
         """As :func:`terms_of`, by place and for these terms only."""
-        places, starts, found = self.places, self.starts, {}
+        found: dict[int, int] = {}
         for word, n in Counter(_WORD.findall((text or "").lower())).items():
-            if word[: PREFIXES[0]] in starts:
-                for term in (word, *(word[:length] + "*" for length in PREFIXES if len(word) > length)):
-                    place = places.get(term)
-                    if place is not None:
-                        found[place] = found.get(place, 0) + n
+            for place in self._of_word(word):
+                found[place] = found.get(place, 0) + n
         return found
 
 
-def weighted(counts: dict[int, int], idf: np.ndarray) -> dict[int, float]:
-    """TF-IDF weights of length 1 by term."""
-    weights = {t: (1 + np.log(n)) * idf[t] for t, n in sorted(counts.items())}
-    norm = np.sqrt(sum(w * w for w in weights.values()))
-    return {t: w / norm for t, w in weights.items()}
+def weighted(counts: dict[int, int], factors: np.ndarray) -> dict[int, float]:
+    """Term frequency (1 + log n) times the term's factor, as a vector of length 1."""
+    terms = np.array(sorted(counts), int)
+    weights = (1 + np.log([counts[t] for t in terms])) * factors[terms]
+    norm = np.sqrt(weights @ weights)
+    return dict(zip(terms.tolist(), (weights / norm).tolist(), strict=True)) if norm > 0 else {}
+
+
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of several ranges after one another, and how many each has."""
+    sizes = ends - starts
+    return np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes), sizes
 
 
 class Index:
     """Labelled examples in an inverted index whose lists are cut into blocks of ``BLOCK`` examples.
 
-    For each term and block the largest weight is kept. A query adds up these maxima per block, which bounds
-    the cosine of every example in it, and reads the lists of the blocks in falling order of the bound, until
-    no bound can beat the k-th best cosine found. So the nearest examples are exact.
+    For each term and block with such examples the largest weight is kept. A query adds up these maxima per block,
+    which bounds the cosine of every example in it, and reads the lists of the blocks in falling order of the bound,
+    until no bound can beat the k-th best cosine found. So the nearest examples are exact.
     """
 
-    def __init__(self, terms: list[str], idf: np.ndarray, ids: list, labels: np.ndarray, vectors: list[dict[int, float]]):
+    def __init__(
+        self, terms: list[str], idf: np.ndarray, gains: np.ndarray, ids: list, labels: np.ndarray, counts: list[dict[int, int]]
+    ):
         self.terms = Terms(terms)
         self.idf = idf
+        self.factors = idf * (gains - CHANCE) / (gains - CHANCE + HALF_GAIN)
+        vectors = [weighted(c, self.factors) for c in counts]
         # Examples with the same label and strongest term stand together, so that bounds are tight.
         order = sorted(range(len(ids)), key=lambda n: (labels[n], max(vectors[n], key=vectors[n].get, default=-1), n))
         self.ids, self.labels = [ids[n] for n in order], labels[order].astype(np.float64)
-        self.blocks = -(-len(order) // BLOCK)
-        self.most = np.zeros((len(terms), self.blocks))
-        lists: dict[tuple[int, int], list[tuple[int, float]]] = {}
         self.vectors = [vectors[n] for n in order]
-        for at, vector in enumerate(self.vectors):
-            for term, weight in vector.items():
-                lists.setdefault((term, at // BLOCK), []).append((at % BLOCK, weight))
-        self.lists = {}
-        for (term, block), pairs in lists.items():
-            weights = np.array([w for _, w in pairs])
-            self.lists[term, block] = (np.array([a for a, _ in pairs]), weights)
-            self.most[term, block] = weights.max()
+        self.blocks = -(-len(order) // BLOCK)
+        term = np.fromiter((t for v in self.vectors for t in v), np.int64)
+        place = np.repeat(np.arange(len(order)), [len(v) for v in self.vectors])
+        weight = np.fromiter((w for v in self.vectors for w in v.values()), float)
+        by_term = np.lexsort((place, term))
+        term, self.list_places, self.list_weights = term[by_term], place[by_term].astype(np.int32), weight[by_term]
+        # One entry per term and block: where its part of the list starts, and the largest weight there.
+        key = term * max(self.blocks, 1) + self.list_places // BLOCK
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        self.starts = np.append(first, len(key))
+        self.entry_blocks = self.list_places[first] // BLOCK
+        self.entry_most = np.maximum.reduceat(self.list_weights, first) if len(first) else np.empty(0)
+        self.entries = np.searchsorted(term[first], np.arange(len(terms) + 1))
         self.prior = float((self.labels.sum() + 0.5) / (len(order) + 1)) if len(order) else 0.0
         self.levels, self.rates = np.array([0.0, 1.0]), np.array([0.0, 1.0])
         self.calibrate()
 
+    def __getstate__(self) -> dict:
+        # The lists hold the vectors too.
+        return {name: value for name, value in self.__dict__.items() if name != "vectors"}
+
     def nearest(self, vector: dict[int, float], k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the ``k`` nearest examples with any cosine above 0; ties go to the earlier place."""
+        places, cosines = np.empty(0, int), np.empty(0)
         if not vector or not self.blocks:
-            return np.empty(0, int), np.empty(0)
-        terms, weights = list(vector), np.fromiter(vector.values(), float)
-        bounds = weights @ self.most[terms]
-        places, cosines, least = np.empty(0, int), np.empty(0), 0.0
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or (len(places) == k and bounds[block] < least - 1e-12):
+            return places, cosines
+        terms, weights = np.fromiter(vector, int), np.fromiter(vector.values(), float)
+        entries, sizes = _ranges(self.entries[terms], self.entries[terms + 1])
+        weights, blocks = np.repeat(weights, sizes), self.entry_blocks[entries]
+        bounds = np.bincount(blocks, weights * self.entry_most[entries], self.blocks)
+        falling = np.argsort(-bounds, kind="stable")
+        rank = np.empty(self.blocks, int)
+        rank[falling] = np.arange(self.blocks)
+        by_rank = np.argsort(rank[blocks], kind="stable")
+        entries, weights, ranks = entries[by_rank], weights[by_rank], rank[blocks][by_rank]
+        done, step = 0, 2
+        while done < self.blocks and bounds[falling[done]] > 0:
+            if len(places) == k and bounds[falling[done]] < cosines[-1] - 1e-12:
                 break
-            scores = np.zeros(BLOCK)
-            for term, weight in zip(terms, weights, strict=True):
-                found = self.lists.get((term, block))
-                if found is not None:
-                    scores[found[0]] += weight * found[1]
+            low, high = np.searchsorted(ranks, (done, done + step))
+            at, sizes = _ranges(self.starts[entries[low:high]], self.starts[entries[low:high] + 1])
+            scores = np.bincount(self.list_places[at], np.repeat(weights[low:high], sizes) * self.list_weights[at])
             some = np.flatnonzero(scores > 0)
-            if 0 <= without - block * BLOCK < BLOCK:
-                some = some[some != without - block * BLOCK]
-            places = np.concatenate([places, some + block * BLOCK])
-            cosines = np.concatenate([cosines, scores[some]])
+            some = some[some != without]
+            places, cosines = np.concatenate([places, some]), np.concatenate([cosines, scores[some]])
             best = np.lexsort((places, -np.round(cosines, 12)))[:k]
             places, cosines = places[best], cosines[best]
-            least = cosines[-1] if len(cosines) else 0.0
+            done, step = done + step, step * 2
         return places, cosines
 
     def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
@@ -166,18 +199,18 @@ class Index:
 
     def score(self, text: str | None) -> tuple[float, list[tuple]]:
         """Calibrated score and the nearest examples as ``(id, cosine, label)``."""
-        places, cosines = self.nearest(weighted(self.terms.count(text), self.idf))
+        places, cosines = self.nearest(weighted(self.terms.count(text), self.factors))
         score = float(np.interp(self.vote(places, cosines), self.levels, self.rates))
         return score, [(self.ids[p], float(c), int(self.labels[p])) for p, c in zip(places[:SHOWN], cosines[:SHOWN], strict=True)]
 
 
-def fit(docs: DataFrame, labels: DataFrame, training: Column, examples: int = EXAMPLES, terms: int = TERMS) -> Index:
+def fit(docs: DataFrame, labels: DataFrame, training: Column, examples: int = EXAMPLES) -> Index:
     """Learns from at most ``examples`` labelled rows where ``training`` holds; document frequencies cover all ``docs``.
 
-    Of the labelled ids those with the smallest hashes are taken. Their terms are counted in parallel, and the
-    ``terms`` with the highest log-likelihood ratio with the label are the index's terms, so what the driver
-    gets is bounded by ``examples * terms``. An id that is labelled both ways counts as toxic. Rows without an
-    id, label or document teach nothing.
+    Of the labelled ids those with the smallest hashes are taken. Their terms are counted in parallel. A term's weight is
+    its TF-IDF times a factor that rises from 0 to 1 with its log-likelihood ratio with the label; terms whose ratio
+    is within ``CHANCE`` have no weight and are left out, all others are indexed. An id that is labelled both ways
+    counts as toxic. Rows without an id, label or document teach nothing.
     """
     spark = docs.sparkSession
     chosen = (
@@ -188,12 +221,13 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, examples: int = EX
     sample = written(docs.select("doc_id", "text").join(written(chosen, "toxicity-labels"), "doc_id"), "toxicity-sample")
     toxic, total = sample.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1))).first()
     if not total:
-        return Index([], np.empty(0), [], np.empty(0), [])
+        return Index([], np.empty(0), np.empty(0), [], np.empty(0), [])
     counts = sample.select("text", "toxic").mapInPandas(_term_counts, "term string, toxic long, n long").groupBy("term").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b")
     )
     gain = _gain(F.col("a"), F.col("b"), toxic, total - toxic)
-    best = [r.term for r in counts.withColumn("gain", gain).where(F.col("gain") >= LEAST_GAIN).orderBy(F.desc("gain"), "term").limit(terms).collect()]
+    gained = counts.select("term", gain.alias("gain")).where(F.col("gain") > CHANCE).orderBy(F.desc("gain"), "term").toPandas()
+    best = gained["term"].tolist()
     known = Terms(best)
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -206,7 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, examples: int = EX
 
     df = {r.term: r.n for r in docs.select("text").mapInPandas(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
     rows = df.get(-1, 0)
-    idf = np.array([np.log((rows + 1) / (df.get(t, 0) + 1)) + 1 for t in range(len(best))])
+    idf = np.log((rows + 1) / (np.array([df.get(t, 0) for t in range(len(best))]) + 1)) + 1
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -215,14 +249,14 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, examples: int = EX
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     taught = sample.mapInPandas(vectors, f"doc_id {kind}, toxic long, terms array<int>, n array<int>").toPandas().sort_values("doc_id", kind="stable")
-    rows = [weighted(dict(zip(ts, ns, strict=True)), idf) for ts, ns in zip(taught["terms"], taught["n"], strict=True)]
-    return Index(best, idf, taught["doc_id"].tolist(), taught["toxic"].to_numpy(), rows)
+    found = [dict(zip(ts.tolist(), ns.tolist(), strict=True)) for ts, ns in zip(taught["terms"], taught["n"], strict=True)]
+    return Index(best, idf, gained["gain"].to_numpy(), taught["doc_id"].tolist(), taught["toxic"].to_numpy(), found)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, training: Column) -> DataFrame:
     """``docs`` with ``score`` (0 to 1, the share of toxic rows among texts like this one) and ``evidence`` added.
 
-    Texts become TF-IDF vectors over the index's terms (see :func:`fit`); the nearest labelled examples by
+    Texts become TF-IDF vectors over the index's terms, weighted as :func:`fit` says; the nearest labelled examples by
     exact cosine vote with their cosines as weights, and the votes are calibrated on the votes that examples
     get from each other. ``evidence`` lists the nearest examples with cosine and label. Null and empty texts, and
     texts without any of the terms, have no neighbours and get what examples without neighbours get. Without

@@ -158,7 +158,7 @@ def test_nearest_is_exact(toxic_tables):
         dense[n, list(v)] = list(v.values())
     rng = random.Random(8)
     queries = [dict(v) for v in index.vectors if v][:40]
-    queries += [tox.weighted({t: rng.randrange(1, 4) for t in rng.sample(range(dense.shape[1]), min(3, dense.shape[1]))}, index.idf) for _ in range(40)]
+    queries += [tox.weighted({t: rng.randrange(1, 4) for t in rng.sample(range(dense.shape[1]), min(n, dense.shape[1]))}, index.factors) for n in [3] * 40 + [60] * 20]
     for q in queries:
         x = np.zeros(dense.shape[1])
         x[list(q)] = list(q.values())
