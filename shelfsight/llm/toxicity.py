@@ -245,11 +245,15 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, examples: int = EX
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [known.count(text) for text in batch["text"]]
-            yield batch[["doc_id", "toxic"]].assign(terms=[list(f) for f in found], n=[list(f.values()) for f in found])
+            packed = [[np.fromiter(numbers, np.int32).tobytes() for numbers in (f, f.values())] for f in found]
+            yield batch[["doc_id", "toxic"]].assign(terms=[t for t, _ in packed], n=[n for _, n in packed])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    taught = sample.mapInPandas(vectors, f"doc_id {kind}, toxic long, terms array<int>, n array<int>").toPandas().sort_values("doc_id", kind="stable")
-    found = [dict(zip(ts.tolist(), ns.tolist(), strict=True)) for ts, ns in zip(taught["terms"], taught["n"], strict=True)]
+    taught = sample.mapInPandas(vectors, f"doc_id {kind}, toxic long, terms binary, n binary").toPandas().sort_values("doc_id", kind="stable")
+    found = [
+        dict(zip(np.frombuffer(ts, np.int32).tolist(), np.frombuffer(ns, np.int32).tolist(), strict=True))
+        for ts, ns in zip(taught["terms"], taught["n"], strict=True)
+    ]
     return Index(best, idf, gained["gain"].to_numpy(), taught["doc_id"].tolist(), taught["toxic"].to_numpy(), found)
 
 
