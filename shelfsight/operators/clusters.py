@@ -2,30 +2,122 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans, KMeansModel
+import pyarrow as pa
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfsight.operators.features import _Learned
 from shelfsight.operators.sampling import uniform_sample
 
 SEED_ROWS = 4096  # rows among which centres start
 
 
-def fit_kmeans(df: DataFrame, k: int, tries: int = 15, max_iter: int = 500, seed: int = 42) -> KMeansModel:
-    """The best of several starts by total squared distance."""
-    kept = df.select("features").persist()
+class _Summary(NamedTuple):
+    trainingCost: float
+
+
+class Clusters(_Learned):
+    """Fitted centres; ``transform`` adds the nearest one as ``prediction``."""
+
+    def clusterCenters(self) -> list[np.ndarray]:
+        return [np.array(c) for c in self.learned["centres"]]
+
+    @property
+    def summary(self) -> _Summary:
+        return _Summary(self.learned["cost"])
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        centres = np.array(self.learned["centres"])
+
+        @F.pandas_udf("int")
+        def nearest(x: pd.Series) -> pd.Series:
+            return pd.Series(_gaps(np.stack(x.to_numpy()).astype(float), centres).argmin(axis=1), dtype="int32")
+
+        return df.withColumn("prediction", nearest(vector_to_array("features")))
+
+
+def fit_kmeans(df: DataFrame, k: int, tries: int = 15, max_iter: int = 500, seed: int = 42, tol: float = 1e-4) -> Clusters:
+    """The best of several starts by total squared distance.
+
+    All starts share their passes: k to draw the centres they start from, far apart among all rows, and then as many as the
+    slowest start needs.
+    """
+    rows = df.select(vector_to_array("features").alias("x")).persist()
     try:
-        runs = [KMeans(k=k, maxIter=max_iter, seed=seed + i, featuresCol="features").fit(kept) for i in range(tries)]
+        centres = _drawn(rows, k, tries, seed)
+        sums = _converged(rows, centres, max_iter, tol)
     finally:
-        kept.unpersist()
-    return min(runs, key=lambda run: run.summary.trainingCost)
+        rows.unpersist()
+    costs = {i: float(found[:, -1].sum()) for i, found in sums.items()}
+    best = min(costs, key=costs.get)
+    return Clusters({"centres": centres[best].tolist(), "cost": costs[best]})
+
+
+def _drawn(rows: DataFrame, k: int, tries: int, seed: int) -> dict[int, np.ndarray]:
+    """Per try ``k`` rows, each drawn with a chance that grows with its squared distance from those before.
+
+    Of exponential waiting times at these rates, the shortest one is that of a row drawn so; every task sends its
+    shortest per try. The times follow from the seed and the rows of a batch, so the same layout gives the same draws.
+    """
+    chosen: dict[int, list[list[float]]] = {i: [] for i in range(tries)}
+    for turn in range(k):
+        before = {i: np.array(c) for i, c in chosen.items()}
+
+        def shortest(batches, before=before, turn=turn):
+            best = {}
+            for batch in batches:
+                x = _matrix(batch)
+                if not len(x):
+                    continue
+                for i, centres in before.items():
+                    rate = _gaps(x, centres).min(axis=1) if turn else np.ones(len(x))
+                    rng = np.random.default_rng([seed, i, turn, zlib.crc32(x.tobytes())])
+                    with np.errstate(divide="ignore"):
+                        waits = rng.standard_exponential(len(x)) / rate
+                    at = int(waits.argmin())
+                    if i not in best or waits[at] < best[i][0]:
+                        best[i] = (float(waits[at]), x[at].tolist())
+            yield from _batches([(i, *found) for i, found in best.items()], ["try", "wait", "x"], ["int32", "float64", "vector"])
+
+        found = rows.mapInArrow(shortest, "try int, wait double, x array<double>")
+        for row in found.groupBy("try").agg(F.min_by("x", F.struct("wait", "x")).alias("x"), F.min("wait").alias("wait")).collect():
+            # Nothing lies apart from the centres: one of them is taken again.
+            chosen[row["try"]].append(row["x"] if np.isfinite(row["wait"]) else chosen[row["try"]][0])
+    if not chosen[0]:
+        raise ValueError("no rows to find clusters in")
+    return {i: np.array(c) for i, c in chosen.items()}
+
+
+def _converged(rows: DataFrame, centres: dict[int, np.ndarray], max_iter: int, tol: float) -> dict[int, np.ndarray]:
+    """Moves all ``centres`` until they stay, and gives what :func:`_assigned` finds for them in the end.
+
+    All of them share their passes, in which only those that still move take part.
+    """
+    moving, sums = set(centres), {}
+    for _ in range(max_iter):
+        found = _assigned(rows, {k: centres[k] for k in sorted(moving)})
+        sums |= found
+        for k in sorted(moving):
+            n = found[k][:, -3:-2]
+            moved = np.where(n > 0, found[k][:, :-3] / np.maximum(n, 1), centres[k])
+            if ((moved - centres[k]) ** 2).sum(axis=1).max() <= tol**2:
+                moving.discard(k)  # the sums are those of the centres that stay
+            else:
+                centres[k] = moved
+        if not moving:
+            break
+    if moving:
+        sums |= _assigned(rows, {k: centres[k] for k in sorted(moving)})
+    return sums
 
 
 def k_sweep(
@@ -44,21 +136,7 @@ def k_sweep(
         if not len(start):
             return spark.createDataFrame([], "k int, inertia double, silhouette double, is_best boolean")
         centres = {k: _far_apart(start, k, np.random.default_rng([seed, k])) for k in k_values}
-        moving, sums = set(centres), {}
-        for _ in range(max_iter):
-            found = _assigned(rows, {k: centres[k] for k in sorted(moving)})
-            sums |= found
-            for k in sorted(moving):
-                n = found[k][:, -3:-2]
-                moved = np.where(n > 0, found[k][:, :-3] / np.maximum(n, 1), centres[k])
-                if ((moved - centres[k]) ** 2).sum(axis=1).max() <= tol**2:
-                    moving.discard(k)  # the sums are those of the centres that stay
-                else:
-                    centres[k] = moved
-            if not moving:
-                break
-        if moving:
-            sums |= _assigned(rows, {k: centres[k] for k in sorted(moving)})
+        sums = _converged(rows, centres, max_iter, tol)
         shares = _silhouettes(rows, centres, sums)
     finally:
         rows.unpersist()
@@ -87,13 +165,28 @@ def _gaps(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(axis=1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(axis=1), 0.0)
 
 
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    """The vectors of column ``x`` as rows of a matrix, without an object per row."""
+    x = batch.column(batch.schema.get_field_index("x"))
+    return np.asarray(x.flatten()).astype(float, copy=False).reshape(len(x), -1) if len(x) else np.empty((0, 0))
+
+
+def _batches(rows: list[tuple], names: Sequence[str], kinds: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """``rows`` as one Arrow batch, if there are any."""
+    types = [pa.list_(pa.float64()) if kind == "vector" else pa.type_for_alias(kind) for kind in kinds]
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names=list(names))
+
+
 def _assigned(rows: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
     """Per k a row for each centre: the sum of its points, their number, sum of squares, and sum of squared distances."""
 
     def sums(batches):
         total = {k: np.zeros((len(c), c.shape[1] + 3)) for k, c in centres.items()}
         for batch in batches:
-            x = np.array(batch["x"].to_list(), dtype=float).reshape(len(batch), -1)
+            x = _matrix(batch)
+            if not len(x):
+                continue
             for k, c in centres.items():
                 gaps = _gaps(x, c)
                 own = gaps.argmin(axis=1)
@@ -101,9 +194,9 @@ def _assigned(rows: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, np.n
                 member[np.arange(len(x)), own] = 1.0
                 more = np.column_stack([x, np.ones(len(x)), (x * x).sum(axis=1), gaps.min(axis=1)])
                 total[k] += member.T @ more
-        yield pd.DataFrame([(k, i, list(row)) for k, t in total.items() for i, row in enumerate(t)], columns=["k", "c", "v"])
+        yield from _batches([(k, i, row.tolist()) for k, t in total.items() for i, row in enumerate(t)], ["k", "c", "v"], ["int32", "int32", "vector"])
 
-    cells = rows.mapInPandas(sums, "k int, c int, v array<double>").select("k", "c", F.posexplode("v").alias("i", "v"))
+    cells = rows.mapInArrow(sums, "k int, c int, v array<double>").select("k", "c", F.posexplode("v").alias("i", "v"))
     found = {k: np.zeros((len(c), c.shape[1] + 3)) for k, c in centres.items()}
     for row in cells.groupBy("k", "c", "i").agg(F.sum("v").alias("v")).collect():
         found[row["k"]][row["c"], row["i"]] = row["v"]
@@ -116,16 +209,18 @@ def _silhouettes(rows: DataFrame, centres: dict[int, np.ndarray], sums: dict[int
     def scores(batches):
         total = {k: [0.0, 0] for k in centres}
         for batch in batches:
-            x = np.array(batch["x"].to_list(), dtype=float).reshape(len(batch), -1)
+            x = _matrix(batch)
+            if not len(x):
+                continue
             for k, c in centres.items():
                 there = np.flatnonzero(sums[k][:, -3] > 0)
                 sizes, squares = sums[k][there, -3], sums[k][there, -2]
                 own = np.searchsorted(there, _gaps(x, c).argmin(axis=1))
                 total[k][0] += _silhouette_values(x, own, sums[k][there, :-3] / sizes[:, None], sizes, squares).sum()
                 total[k][1] += len(x)
-        yield pd.DataFrame([(k, s, n) for k, (s, n) in total.items()], columns=["k", "s", "n"])
+        yield from _batches([(k, float(s), n) for k, (s, n) in total.items()], ["k", "s", "n"], ["int32", "float64", "int64"])
 
-    found = rows.mapInPandas(scores, "k int, s double, n long").groupBy("k").agg((F.sum("s") / F.sum("n")).alias("mean"))
+    found = rows.mapInArrow(scores, "k int, s double, n long").groupBy("k").agg((F.sum("s") / F.sum("n")).alias("mean"))
     return {r["k"]: float(r["mean"]) for r in found.collect()}
 
 

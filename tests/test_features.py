@@ -319,3 +319,17 @@ def test_k_sweep_shares_its_passes(spark, monkeypatch):
     assert clusters.k_sweep(df.limit(0)).count() == 0
     one = clusters.k_sweep(df.limit(1), [2]).first()  # fewer points than centres
     assert one["inertia"] == 0 and one["silhouette"] == 0
+
+
+def test_kmeans_starts_share_their_passes(spark, monkeypatch):
+    """All starts take part in one pass; a row of every blob is drawn, as those far apart are likelier."""
+    passes, real = [], clusters._assigned
+    monkeypatch.setattr(clusters, "_assigned", lambda rows, centres: passes.append(sorted(centres)) or real(rows, centres))
+    model = clusters.fit_kmeans(blobs(spark), 3, tries=4)
+    assert passes[0] == [0, 1, 2, 3] and len(passes) < 10
+    found = model.transform(blobs(spark)).groupBy("cluster").agg(F.count_distinct("prediction").alias("n"), F.count("*").alias("rows")).collect()
+    assert len(found) == 3 and all((r["n"], r["rows"]) == (1, 30) for r in found)
+    again = type(model)(model.learned)
+    assert [c.tolist() for c in again.clusterCenters()] == [c.tolist() for c in model.clusterCenters()]
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(5)], "id long, v array<double>").select(array_to_vector("v").alias("features"))
+    assert clusters.fit_kmeans(same, 3, tries=2).summary.trainingCost == 0  # fewer different rows than centres
