@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfsight.operators import clean, features, relate, reports, sampling
 from shelfsight.plans import transforms
+from shelfsight.session import written
 from shelfsight.workload import roles
 from shelfsight.workload.q_reports import PRODUCT_NUMBERS, rounded
 from shelfsight.workload.registry import query
@@ -194,7 +195,8 @@ def _scaled_extremes(c: str) -> str:
     **{f"known_{c}": f"SELECT CASE WHEN lower(trim({c})) <> 'unknown' THEN {c} END AS {c} FROM raw_reviews" for c in ("skin_tone", "skin_type")},
     **{f"filled_{c}": f"SELECT coalesce({c}, {_mode(c, f'known_{c}')}) AS {c} FROM known_{c}" for c in ("skin_tone", "skin_type")}))
 def _(spark, d):
-    rows = _model_rows(spark, d)
+    # Every step learns in passes of its own; the join behind the rows is made once.
+    rows = written(_model_rows(spark, d), "model-rows")
     ready = features.preprocessor(rows, "label", ["id"]).fit(rows).transform(rows)
     names = features.feature_names(ready)
     cells = ready.select(F.posexplode(vector_to_array("features")).alias("i", "v"))

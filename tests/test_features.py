@@ -333,3 +333,29 @@ def test_kmeans_starts_share_their_passes(spark, monkeypatch):
     assert [c.tolist() for c in again.clusterCenters()] == [c.tolist() for c in model.clusterCenters()]
     same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(5)], "id long, v array<double>").select(array_to_vector("v").alias("features"))
     assert clusters.fit_kmeans(same, 3, tries=2).summary.trainingCost == 0  # fewer different rows than centres
+
+
+def test_learning_reads_written_rows(spark, monkeypatch, tmp_path):
+    """Each learned step takes passes of its own, which must neither join the rows nor split them again."""
+    import os
+
+    from pyspark.sql import SparkSession
+
+    import __spark_entry__ as entry
+
+    folder, plans, real = "/root/testdata/sf0.001", [], features.preprocessor
+    if not os.path.isdir(folder):
+        pytest.skip("needs the given tables")
+
+    def noted(df, *args, **options):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, *args, **options)
+
+    monkeypatch.setattr(features, "preprocessor", noted)
+    monkeypatch.setattr(training, "preprocessor", noted)
+    entry.queries()["T12_preprocessor"](SparkSession.getActiveSession() or spark, folder)
+    assert len(plans) == 1 and "Join" not in plans[0]
+    reviews = spark.range(60).selectExpr("concat('r', id) review_id", "concat('P', id % 4) product_id", "double(id % 5 + 1) rating", "double(id % 5 > 1) is_recommended")
+    products = spark.range(4).selectExpr("concat('P', id) product_id", "double(id * 10) price_usd")
+    training.prepare(reviews, products, ["review_id"])
+    assert len(plans) == 2 and "Join" not in plans[1] and "md5" not in plans[1]
