@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
@@ -12,13 +14,16 @@ import pyarrow as pa
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfsight.operators.features import _Learned
 from shelfsight.operators.sampling import uniform_sample
+from shelfsight.session import written
 
 SEED_ROWS = 4096  # rows among which centres start
+TILE_ROWS, TILE_BYTES = 1024, 1 << 20  # most rows and bytes of vectors that are compared at a time
+TILES_AT_A_TIME = 8
 
 
 class _Summary(NamedTuple):
@@ -274,54 +279,108 @@ def sampled_silhouette_rows(
 ) -> DataFrame:
     """Silhouette by Euclidean distance of each row of a uniform sample of exactly ``sample`` rows (or all, if fewer).
 
-    This measure compares every row with every other, so the caller has to say on how many. The sample's size
-    bounds what is fetched and broadcast; each task compares its rows with all of it, and no pair of
-    rows is ever emitted.
+    This measure compares every row with every other, so the caller has to say on how many: the work grows with the square
+    of their number. Rows are put into tiles; a task compares its tiles with those of the other side one by one
+    and keeps sums per row and cluster, so it never holds more than a few tiles and no pair of rows is ever emitted.
     """
     spark = df.sparkSession
     is_vector = isinstance(df.schema[features].dataType, VectorUDT)
     vector = vector_to_array(features) if is_vector else F.col(features).cast("array<double>")
-    taken = uniform_sample(df.select(*ids, F.col(cluster).cast("int").alias("cluster"), vector.alias("_x")), ids, sample, seed)
-    rows = taken.orderBy(*ids).toPandas()
-    if rows.empty:
-        return taken.select(*ids, "cluster", F.lit(None).cast("double").alias("silhouette"))
-    points = np.array(rows["_x"].tolist(), dtype=float)
-    labels, members = np.unique(rows["cluster"].to_numpy(), return_inverse=True)
-    shared = spark.sparkContext.broadcast((points, members, len(labels)))
+    taken = uniform_sample(df.select(*ids, F.col(cluster).cast("int").alias("cluster"), vector.alias("x")), ids, sample, seed)
+    kinds = {c: df.schema[c].dataType.simpleString() for c in ids}
+    tiles = written(taken.mapInArrow(_tiles(list(ids)), f"tile string, c binary, x binary, ids struct<{', '.join(f'`{c}`: array<{kind}>' for c, kind in kinds.items())}>"), "tiles")
+    sizes = {r["cluster"]: r["n"] for r in taken.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
+    labels = np.array(sorted(sizes), dtype=np.int32)
+    counts = np.array([sizes[c] for c in labels.tolist()], dtype=float)
+
+    def summed(batches):
+        """Distances of a tile's rows to each cluster, added up over the tiles of the other side as long as these come together."""
+        now, total = None, None
+        for batch in batches:
+            for tile, x, other, y, c in zip(batch["tile"], batch["x"], batch["other"], batch["y"], batch["c"], strict=True):
+                if tile != now:
+                    if now is not None:
+                        yield pd.DataFrame([(now, total.tobytes())], columns=["tile", "sums"])
+                    now, total = tile, 0.0
+                total = total + _distance_sums(x, y, np.searchsorted(labels, np.frombuffer(c, np.int32)), len(labels), tile == other)
+        if now is not None:
+            yield pd.DataFrame([(now, total.tobytes())], columns=["tile", "sums"])
 
     def score(batches):
-        every, group, count = shared.value
-        sizes = np.bincount(group, minlength=count)
-        squares = (every**2).sum(axis=1)
         for batch in batches:
-            out = []
-            places = batch["_place"].to_numpy()
-            for start in range(0, len(places), 256):
-                own = places[start : start + 256]
-                gaps = squares[own, None] + squares[None, :] - 2 * every[own] @ every.T
-                gaps = np.sqrt(np.maximum(gaps, 0))
-                gaps[np.arange(len(own)), own] = 0.0
-                sums = np.stack([gaps[:, group == g].sum(axis=1) for g in range(count)], axis=1)
-                mine = group[own]
-                lone = sizes[mine] == 1
-                inner = sums[np.arange(len(own)), mine] / np.maximum(sizes[mine] - 1, 1)
-                means = sums / sizes
-                means[np.arange(len(own)), mine] = np.inf
-                outer = means.min(axis=1)
-                largest = np.maximum(inner, outer)
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    value = np.where(largest > 0, (outer - inner) / largest, 0.0)
-                out.append(np.where(lone | (count == 1), 0.0, value))
-            batch = batch.drop(columns="_place")
-            batch["silhouette"] = np.concatenate(out) if out else np.array([], dtype=float)
-            yield batch
-
-    places = rows.drop(columns="_x")
-    places["_place"] = np.arange(len(rows))
-    schema = ", ".join([*[f"`{c}` {df.schema[c].dataType.simpleString()}" for c in ids], "cluster int"])
-    small = spark.createDataFrame(places, f"{schema}, _place long").repartition(
-        spark.sparkContext.defaultParallelism, "_place")
-    return small.mapInPandas(score, f"{schema}, silhouette double")
+            for c, sums, *values in zip(batch["c"], batch["sums"], *[batch[f"_{i}"] for i in range(len(ids))], strict=True):
+                member = np.frombuffer(c, np.int32)
+                total = np.sum([np.frombuffer(s).reshape(len(member), -1) for s in sums], axis=0)
+                out = _distance_silhouettes(total, np.searchsorted(labels, member), counts)
+                yield pd.DataFrame({**dict(zip(ids, values)), "cluster": member, "silhouette": out})
+
+    with _records_per_batch(spark, TILES_AT_A_TIME):
+        left = tiles.select("tile", "x").repartition(max(spark.sparkContext.defaultParallelism, 1))
+        right = tiles.select(F.col("tile").alias("other"), F.col("x").alias("y"), "c")
+        sums = written(left.crossJoin(right).mapInPandas(summed, "tile string, sums binary"), "tile-sums")
+        whole = tiles.join(sums.groupBy("tile").agg(F.collect_list("sums").alias("sums")), "tile")
+        schema = ", ".join([*[f"`{c}` {kind}" for c, kind in kinds.items()], "cluster int", "silhouette double"])
+        given = whole.select("c", "sums", *[F.col(f"ids.`{c}`").alias(f"_{i}") for i, c in enumerate(ids)])
+        return written(given.mapInPandas(score, schema), "silhouettes")
+
+
+@contextmanager
+def _records_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What is run inside hands Python workers at most ``rows`` rows at a time, as each row is a whole tile."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _tiles(ids: list[str]):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = _matrix(batch)
+            step = max(1, min(TILE_ROWS, TILE_BYTES // max(x[0].nbytes, 1)))
+            for start in range(0, len(x), step):
+                part, rows = batch.slice(start, step), x[start : start + step]
+                members = np.asarray(part.column("cluster")).astype(np.int32)
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), part.column(c)) for c in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([uuid.uuid4().hex]), pa.array([members.tobytes()]), pa.array([rows.tobytes()]), pa.StructArray.from_arrays(lists, names=ids)],
+                    names=["tile", "c", "x", "ids"])
+
+    return cut
+
+
+def _distance_sums(x: bytes, y: bytes, group: np.ndarray, count: int, same: bool) -> np.ndarray:
+    """For each row of tile ``x`` the sum of its distances to the rows of ``y`` in each cluster."""
+    width = len(y) // 8 // len(group)
+    points, others = np.frombuffer(x).reshape(-1, width), np.frombuffer(y).reshape(-1, width)
+    member = np.zeros((len(others), count))
+    member[np.arange(len(others)), group] = 1.0
+    squares = (others**2).sum(axis=1)
+    found = np.empty((len(points), count))
+    for start in range(0, len(points), 256):
+        own = points[start : start + 256]
+        gaps = np.sqrt(np.maximum((own**2).sum(axis=1)[:, None] + squares[None, :] - 2 * own @ others.T, 0))
+        if same:
+            gaps[np.arange(len(own)), start + np.arange(len(own))] = 0.0
+        found[start : start + 256] = gaps @ member
+    return found
+
+
+def _distance_silhouettes(sums: np.ndarray, mine: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    row = np.arange(len(sums))
+    inner = sums[row, mine] / np.maximum(sizes[mine] - 1, 1)
+    means = sums / sizes
+    means[row, mine] = np.inf
+    outer = means.min(axis=1)
+    largest = np.maximum(inner, outer)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        value = np.where(largest > 0, (outer - inner) / largest, 0.0)
+    return np.where((sizes[mine] == 1) | (len(sizes) == 1), 0.0, value)
 
 
 def _centred(df: DataFrame) -> DataFrame:

@@ -359,3 +359,26 @@ def test_learning_reads_written_rows(spark, monkeypatch, tmp_path):
     products = spark.range(4).selectExpr("concat('P', id) product_id", "double(id * 10) price_usd")
     training.prepare(reviews, products, ["review_id"])
     assert len(plans) == 2 and "Join" not in plans[1] and "md5" not in plans[1]
+
+
+def test_silhouettes_are_compared_by_tiles(spark, monkeypatch):
+    """Rows meet tile by tile, over several tiles and partitions, and no task or driver gets them all."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    rows = [(i, f"k{i}", int(rng.integers(3)), rng.normal(size=3).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, name string, cluster int, features array<double>").repartition(3)
+    whole = {r["id"]: r["silhouette"] for r in clusters.sampled_silhouette_rows(df, ["id", "name"], 60).collect()}
+    monkeypatch.setattr(clusters, "TILE_ROWS", 7)
+    x, c = np.array([r[3] for r in rows]), np.array([r[2] for r in rows])
+    found = {(r["id"], r["name"]): (r["cluster"], r["silhouette"]) for r in clusters.sampled_silhouette_rows(df, ["id", "name"], 60).collect()}
+    assert len(found) == 60
+    gaps = np.linalg.norm(x[:, None] - x[None], axis=2)
+    for i, name, mine, _ in rows:
+        means = {k: gaps[i, c == k].sum() / ((c == k).sum() - (k == mine)) for k in range(3)}
+        own = means.pop(mine)
+        expected = (min(means.values()) - own) / max(own, min(means.values()))
+        assert found[i, name][0] == mine and found[i, name][1] == pytest.approx(expected, abs=1e-6) == pytest.approx(whole[i], abs=1e-6)
+    y = rng.normal(size=(9, 3))
+    sums = clusters._distance_sums(x[:5].tobytes(), y.tobytes(), np.arange(9) % 2, 2, False)
+    assert sums.shape == (5, 2) and sums.sum() == pytest.approx(np.linalg.norm(x[:5, None] - y[None], axis=2).sum())
