@@ -197,7 +197,8 @@ def _assigned(rows: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, np.n
                 own = gaps.argmin(axis=1)
                 member = np.zeros((len(x), len(c)))
                 member[np.arange(len(x)), own] = 1.0
-                more = np.column_stack([x, np.ones(len(x)), (x * x).sum(axis=1), gaps.min(axis=1)])
+                # The products that tell the nearest centre lose digits that a sum over all rows shows.
+                more = np.column_stack([x, np.ones(len(x)), (x * x).sum(axis=1), ((x - c[own]) ** 2).sum(axis=1)])
                 total[k] += member.T @ more
         yield from _batches([(k, i, row.tolist()) for k, t in total.items() for i, row in enumerate(t)], ["k", "c", "v"], ["int32", "int32", "vector"])
 

@@ -382,3 +382,11 @@ def test_silhouettes_are_compared_by_tiles(spark, monkeypatch):
     y = rng.normal(size=(9, 3))
     sums = clusters._distance_sums(x[:5].tobytes(), y.tobytes(), np.arange(9) % 2, 2, False)
     assert sums.shape == (5, 2) and sums.sum() == pytest.approx(np.linalg.norm(x[:5, None] - y[None], axis=2).sum())
+
+
+def test_inertia_keeps_its_digits(spark):
+    """Two far groups of whole numbers: the squared distances add up to what can be worked out by hand."""
+    df = spark.range(60_000).select(array_to_vector(F.array((F.col("id") % 7 + 1 + F.when(F.col("id") % 3 == 0, 1000.0).otherwise(0.0)))).alias("features"))
+    groups = [[i % 7 + 1 for i in range(60_000) if (i % 3 == 0) == far] for far in (True, False)]
+    exact = sum(sum(v * v for v in g) - sum(g) ** 2 / len(g) for g in groups)
+    assert clusters.fit_kmeans(df, 2, tries=2).summary.trainingCost == pytest.approx(exact, abs=1e-7)
