@@ -148,9 +148,7 @@ def _(spark, d):
 
     rows = roles.table(spark, d, "customer").select("c_mktsegment", (F.col("c_custkey") % 2).cast("string").alias("side"))
     ready = Pipeline(stages=features.hashing_stages(["c_mktsegment", "side"], 1 << 10)).fit(rows).transform(rows)
-    values = vector_to_array("hashed_hot")
-    places = F.transform(F.filter(F.transform(values, lambda x, i: F.when(x != 0, i)), lambda i: i.isNotNull()), lambda i: i)
-    seen = ready.select("c_mktsegment", "side", places.alias("places"), F.aggregate(values, F.lit(0.0), lambda a, b: a + b).alias("total"))
+    seen = ready.select("c_mktsegment", "side", features.places("hashed_hot").alias("places"), features.total("hashed_hot").alias("total"))
     sides = seen.groupBy("c_mktsegment", "side").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("places").alias("p"), F.max("total").alias("total"))
     return sides.groupBy("c_mktsegment").agg(F.sum("n").alias("n"), F.max("p").cast("int").alias("places"), F.max("total").alias("total"))
 

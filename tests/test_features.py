@@ -390,3 +390,21 @@ def test_inertia_keeps_its_digits(spark):
     groups = [[i % 7 + 1 for i in range(60_000) if (i % 3 == 0) == far] for far in (True, False)]
     exact = sum(sum(v * v for v in g) - sum(g) ** 2 / len(g) for g in groups)
     assert clusters.fit_kmeans(df, 2, tries=2).summary.trainingCost == pytest.approx(exact, abs=1e-7)
+
+
+def test_places_of_a_vector_far_wider_than_a_row_could_hold(spark):
+    rows = spark.sql("select * from values ('a', 'x'), ('b', 'x'), (null, 'x') as t(c, side)")
+    wide = Pipeline(stages=features.hashing_stages(["c", "side"], 1 << 30)).fit(rows).transform(rows)
+    seen = {r["c"]: (r["places"], r["total"]) for r in wide.select("c", features.places("hashed_hot").alias("places"), features.total("hashed_hot").alias("total")).collect()}
+    assert [seen[c][1] for c in ("a", "b", None)] == [2.0, 2.0, 1.0]
+    (side,) = seen[None][0]
+    assert all(side in seen[c][0] and len(seen[c][0]) == 2 and seen[c][0] == sorted(seen[c][0]) for c in "ab")
+
+
+def test_places_leave_out_stored_zeros(spark):
+    from pyspark.ml.linalg import Vectors
+
+    vectors = [Vectors.sparse(5, [1, 3], [0.0, 2.0]), Vectors.dense(1.0, 0.0, -1.0), Vectors.sparse(3, [], []), Vectors.dense([])]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], ["i", "v"])
+    rows = df.select("i", features.places("v").alias("places"), features.total("v").alias("total")).orderBy("i").collect()
+    assert [(r["places"], r["total"]) for r in rows] == [([3], 2.0), ([0, 2], 0.0), ([], 0.0), ([], 0.0)]
