@@ -114,3 +114,32 @@ def test_broadcast_only_what_is_small(spark):
     plan = lambda df: df._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in plan(broadcast_if_small(small, 50)).lower()
     assert broadcast_if_small(large, 50) is large
+
+
+@pytest.mark.parametrize("few", [32, 0])
+def test_split_by_a_stored_hash(spark, skewed, monkeypatch, few):
+    """A hash that is stored is not worked out again, and takes the same rows, with few classes and with many."""
+    monkeypatch.setattr(sampling, "FEW_CLASSES", few)
+    stored = skewed.withColumn("h", sampling.sample_hash(["id"])).localCheckpoint()
+    parts = sampling.stratified_split(stored, "c", ["id"], hashed_as="h")
+    assert "md5" not in parts._jdf.queryExecution().optimizedPlan().toString()
+    plain = sampling.stratified_split(skewed, "c", ["id"])
+    wanted = {r["id"] for c in ("hot", "warm", "rare", None) for r in skewed.where(F.col("c").eqNullSafe(F.lit(c))).orderBy(sampling.sample_hash(["id"])).limit(
+        plain.where(F.col("c").eqNullSafe(F.lit(c)) & F.col("is_test")).count()).collect()}
+    assert {r["id"] for r in parts.where("is_test").collect()} == {r["id"] for r in plain.where("is_test").collect()} == wanted
+
+
+def test_split_where_hashes_meet(spark):
+    """Different ids with one hash: the ids decide, and the size stays exact."""
+    df = spark.range(100).select("id", F.lit(1.0).alias("c"), (F.col("id") % 3).alias("h"))
+    taken = [r["id"] for r in sampling.stratified_split(df, "c", ["id"], hashed_as="h").where("is_test").collect()]
+    assert sorted(taken) == list(range(0, 60, 3))
+
+
+def test_small_broadcast_sides_need_no_python(spark):
+    from shelfsight.session import broadcast_if_small
+
+    side = spark.range(3).selectExpr("id", "named_struct('a', id, 't', timestamp_seconds(id)) s", "cast(null as string) n")
+    small = broadcast_if_small(side)
+    assert small.schema == side.schema and small.collect() == side.collect()
+    assert "LocalRelation" in small._jdf.queryExecution().optimizedPlan().toString()
