@@ -408,3 +408,28 @@ def test_places_leave_out_stored_zeros(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], ["i", "v"])
     rows = df.select("i", features.places("v").alias("places"), features.total("v").alias("total")).orderBy("i").collect()
     assert [(r["places"], r["total"]) for r in rows] == [([3], 2.0), ([0, 2], 0.0), ([], 0.0), ([], 0.0)]
+
+
+def test_rows_of_trees_are_dealt_by_their_numbers(spark, monkeypatch):
+    """A single file of sparse rows is gigabytes of numbers to a tree: no task gets more than its share."""
+    rows = spark.range(600).coalesce(1).select("id", array_to_vector(F.array((F.col("id") % 7).cast("double"), F.rand(1))).alias("features"), (F.col("id") % 7 > 3).cast("double").alias("label"))
+    monkeypatch.setattr(models, "TASK_NUMBERS", 300)
+    assert models.spread(rows).rdd.getNumPartitions() == 4
+    monkeypatch.setattr(models, "TASK_ROWS", 100)
+    assert models.spread(rows).rdd.getNumPartitions() == 6
+    seen, real = [], type(models.random_forest()).fit
+    monkeypatch.setattr(type(models.random_forest()), "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or real(self, df))
+    model = models.fit(Pipeline(stages=[models.random_forest(n_estimators=2, max_depth=2, max_features=None)]), rows)
+    assert seen == [6] and model.transform(rows).where("prediction <> label").count() == 0
+    few = rows.where("id < 90")
+    assert models.spread(few) is few
+
+
+def test_folds_of_trees_are_cached_narrow_and_dealt(spark, monkeypatch):
+    monkeypatch.setattr(models, "TASK_ROWS", 100)
+    rows = spark.range(600).coalesce(1).select("id", F.lit("long text").alias("other"), array_to_vector(F.array((F.col("id") % 7).cast("double"))).alias("features"), (F.col("id") % 7 > 3).cast("double").alias("label"))
+    folded = models._folded(rows, models.gradient_boosting(), "label", ["id"], 3, 42)
+    assert folded.columns == ["features", "label", "fold"] and folded.rdd.getNumPartitions() == 6
+    plain = models.stratified_folds(rows, "label", ["id"], 3, 42)
+    assert sorted(tuple(r) for r in folded.groupBy("label", "fold").count().collect()) == sorted(tuple(r) for r in plain.groupBy("label", "fold").count().collect())
+    assert models.cross_validate(rows, models.gradient_boosting(n_estimators=2), ["id"], folds=3) == (1.0, 0.0)
