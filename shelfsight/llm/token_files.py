@@ -49,6 +49,7 @@ class Encoder:
         kind = self.library.pre_tokenizer
         self.by_word = self.library.normalizer is None and type(kind).__name__ == "ByteLevel" and not kind.add_prefix_space
         self.words: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
         self.space_before_space = re.compile(r"\s ").search
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -66,11 +67,15 @@ class Encoder:
                 made.update(zip(part, map(flat.__getitem__, map(slice, cuts, cuts[1:])), strict=True))
             else:
                 made.update(zip(part, self._whole([" " + w for w in part]), strict=True))
-        if len(self.words) + len(made) > CACHE:
-            self.words.clear()
-        self.words.update(made)
+        self._keep(made)
         return made
 
+    def _keep(self, made: dict[str, bytes]) -> None:
+        """Two halves of the cache: when the later one is full it becomes the earlier one, so words in use stay known."""
+        if len(self.words) + len(made) > CACHE // 2:
+            self.earlier, self.words = self.words, {}
+        self.words.update(made)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned integers."""
         out: list[bytes | None] = [None] * len(texts)
@@ -82,15 +87,22 @@ class Encoder:
             out[n] = ids
         firsts = self._whole([words[0] for words in cut.values()])
         get = self.words.get
-        found = {n: [get(w) for w in words[1:]] for n, words in cut.items()}
-        new = {w for n, ids in found.items() if None in ids for w, i in zip(cut[n][1:], ids, strict=True) if i is None}
-        if new:
-            fresh = self._learn(list(new))
-            for n, ids in found.items():
-                if None in ids:
-                    found[n] = [fresh[w] if i is None else i for w, i in zip(cut[n][1:], ids, strict=True)]
-        for n, first in zip(cut, firsts, strict=True):
-            out[n] = first + b"".join(found[n])
+        missing: list[tuple[list[str], list[bytes | None], list[int]]] = []
+        for (n, words), first in zip(cut.items(), firsts, strict=True):
+            out[n] = ids = list(map(get, words))
+            ids[0] = first  # no space before it
+            if None in ids:
+                missing.append((words, ids, [k for k, i in enumerate(ids) if i is None]))
+        if missing:
+            new = {words[k] for words, _, holes in missing for k in holes}
+            fresh = {w: self.earlier[w] for w in new if w in self.earlier}
+            self._keep(fresh)
+            fresh |= self._learn([w for w in new if w not in fresh])
+            for words, ids, holes in missing:
+                for k in holes:
+                    ids[k] = fresh[words[k]]
+        for n in cut:
+            out[n] = b"".join(out[n])
         return out
 
 

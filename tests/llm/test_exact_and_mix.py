@@ -135,3 +135,19 @@ def test_fraction_that_ends_before_the_first_document_of_a_range(spark):
         for r in mix(made, seed="s", weights=weights).collect():
             taken[r.source] += r.taken
         assert all(abs(taken[s] - plan[s].target) <= 5 for s in "abc")
+
+
+def test_words_in_use_stay_known_when_the_cache_is_full(monkeypatch):
+    import public_tokenizers
+
+    from shelfsight.llm import token_files
+
+    monkeypatch.setattr(token_files, "CACHE", 200)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    made, learned = token_files.Encoder(path), []
+    real = made._learn
+    monkeypatch.setattr(made, "_learn", lambda new: learned.extend(new) or real(new))
+    texts = [f"the common words{i} stay{i} known" + "".join(f" only{i}x{k}" for k in range(20)) for i in range(60)]
+    found = [made.encode([text])[0] for text in texts]
+    assert learned.count("common") == learned.count("known") == 1 and len(made.words) + len(made.earlier) <= 200
+    assert found == made._whole(texts)
