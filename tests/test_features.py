@@ -433,3 +433,36 @@ def test_folds_of_trees_are_cached_narrow_and_dealt(spark, monkeypatch):
     plain = models.stratified_folds(rows, "label", ["id"], 3, 42)
     assert sorted(tuple(r) for r in folded.groupBy("label", "fold").count().collect()) == sorted(tuple(r) for r in plain.groupBy("label", "fold").count().collect())
     assert models.cross_validate(rows, models.gradient_boosting(n_estimators=2), ["id"], folds=3) == (1.0, 0.0)
+
+
+def test_fits_share_memory_only_while_cores_are_idle(spark, monkeypatch):
+    """Each fit keeps a copy of its rows: where one has tasks for all cores, a second one would only push it to disk."""
+    cores = spark.sparkContext.defaultParallelism
+    for partitions, wanted in ((1, min(4, cores)), (cores, 1), (cores * 5, 1)):
+        assert models.fits_at_a_time(spark.range(100).repartition(partitions), 4) == wanted
+    rows = noisy(spark, 200).select("id", "features", "label")
+    monkeypatch.setattr(models, "tree_tasks", lambda df: cores)
+    running, most, real = [], [], models.fit
+
+    def watched(estimator, df):
+        running.append(1)
+        most.append(len(running))
+        try:
+            return real(estimator, df)
+        finally:
+            running.pop()
+
+    monkeypatch.setattr(models, "fit", watched)
+    models.cross_validate(rows, models.gradient_boosting(n_estimators=1), ["id"], folds=3)
+    assert most == [1, 1, 1]
+
+
+def test_rows_of_trees_are_dealt_once(spark, monkeypatch):
+    """All passes of a fit read the dealt rows, without columns it does not need; nothing stays behind."""
+    rows = noisy(spark, 200).withColumn("text", F.lit("not learned from"))
+    monkeypatch.setattr(models, "TASK_ROWS", 100)
+    seen, real = [], type(models.random_forest()).fit
+    monkeypatch.setattr(type(models.random_forest()), "fit", lambda self, df: seen.append((df.columns, df.storageLevel.useDisk, df.rdd.getNumPartitions())) or real(self, df))
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    models.fit(models.random_forest(n_estimators=2, max_depth=2), rows)
+    assert seen == [(["features", "label"], True, 2)] and spark.sparkContext._jsc.getPersistentRDDs().size() == before
