@@ -466,3 +466,22 @@ def test_rows_of_trees_are_dealt_once(spark, monkeypatch):
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     models.fit(models.random_forest(n_estimators=2, max_depth=2), rows)
     assert seen == [(["features", "label"], True, 2)] and spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_lines_are_shuffled_once_for_orders_and_buyers(spark):
+    """The buyers join the orders first, and the digest of a line is made before the lines move."""
+    from shelfsight.workload import q_models, roles
+
+    d, before = "/root/testdata/sf0.001", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        steps = [s.strip(" :+-") for s in q_models.labelled_reviews(spark, d)._jdf.queryExecution().sparkPlan().toString().splitlines()]
+        assert [("l_orderkey" in s, "o_custkey" in s) for s in steps if "SortMergeJoin" in s] == [(True, False), (False, True)]
+        assert [i for i, s in enumerate(steps) if "md5(" in s][0] > [i for i, s in enumerate(steps) if "SortMergeJoin" in s][0]
+        given = q_models.labelled_reviews(spark, d)
+        wanted = roles.raw_reviews(spark, d).withColumn(q_models.ID, F.md5(F.concat_ws("|", *roles.REVIEW_ORDER)))
+        shown = [q_models.ID, "product_id", "author_id", "rating", "review_text", "skin_tone"]
+        assert given.count() == wanted.count() == spark.read.parquet(f"{d}/lineitem.parquet").count()
+        assert given.select(shown).exceptAll(wanted.select(shown)).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
