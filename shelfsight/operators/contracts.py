@@ -118,8 +118,10 @@ class Contract:
 
     def failure_counts(self, df: DataFrame) -> dict[tuple[str, str], int]:
         counts = {(r["column"], r["check"]): r["failures"] for r in self.summary(df).where("failures > 0").collect()}
-        counts.update({(c, "column_in_dataframe"): 1 for c in self.missing(df)})
-        return counts
+        return counts | self.absent(df)
+
+    def absent(self, df: DataFrame) -> dict[tuple[str, str], int]:
+        return {(c, "column_in_dataframe"): 1 for c in self.missing(df)}
 
     def coerced(self, df: DataFrame) -> DataFrame:
         return df.withColumns({f.name: f.value(df) for f in self.fields if f.name in df.columns})

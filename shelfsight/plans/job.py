@@ -50,18 +50,29 @@ def _stage(run: Run, name: str, work: Callable[[], dict], stops: bool) -> bool:
     return status != "error"
 
 
-def _write_checked(warehouse: Warehouse, df: DataFrame, name: str, contract: Contract | None) -> dict:
-    """Writes a table; its rows and contract failures are counted by the same pass."""
+def _watched(df: DataFrame, name: str, contract: Contract | None) -> tuple[DataFrame, Callable[[], tuple[int, dict]]]:
+    """``df``, and what gives its rows and failures per (column, check) once it has been written; the same pass counts them."""
     seen = Observation(f"{name}-{time.monotonic_ns()}")
     checks = [] if contract is None else contract.failing(df)
     watched = df.observe(
         seen, F.count(F.lit(1)).alias("rows"),
         *[F.coalesce(F.sum(failing.cast("bigint")), F.lit(0)).alias(f"c{i}") for i, (_, _, failing) in enumerate(checks)],
     )
+
+    def counted() -> tuple[int, dict]:
+        counts = seen.get
+        return counts["rows"], {(f.name, check): counts[f"c{i}"] for i, (f, check, _) in enumerate(checks) if counts[f"c{i}"]}
+
+    return watched, counted
+
+
+def _write_checked(warehouse: Warehouse, df: DataFrame, name: str, contract: Contract | None) -> dict:
+    """Writes a table; its rows and contract failures are counted by the same pass."""
+    watched, counted = _watched(df, name, contract)
     warehouse.write(watched, name)
-    counts = seen.get
-    failed = {f"{f.name} {check}": counts[f"c{i}"] for i, (f, check, _) in enumerate(checks) if counts[f"c{i}"]}
-    return {"rows": counts["rows"], "valid": not failed and (contract is None or not contract.missing(df)), "failures": failed}
+    rows, found = counted()
+    failed = {f"{column} {check}": n for (column, check), n in found.items()}
+    return {"rows": rows, "valid": not failed and (contract is None or not contract.missing(df)), "failures": failed}
 
 
 def run_job(
@@ -89,11 +100,15 @@ def run_job(
 
     def take() -> dict:
         products, reviews = extract()
-        loaded = load_raw(warehouse, products, reviews)
+        # Raw rows are checked as they are stored.
+        watched = {name: _watched(df, name, contract) for name, df, contract in (("raw_products", products, RAW_PRODUCTS), ("raw_reviews", reviews, RAW_REVIEWS))}
+        loaded = load_raw(warehouse, *[df for df, _ in watched.values()])
         # What this run has just stored is read from the store: the sources are scanned once.
         products = warehouse.read("raw_products") if "raw_products" in loaded else products
         reviews = warehouse.read("raw_reviews") if "raw_reviews" in loaded else reviews
+        data["checked"] = {name: counted for name, (_, counted) in watched.items() if name in loaded}
         if review_limit is not None:
+            data["checked"].pop("raw_reviews", None)  # only the sample is checked
             reviews = uniform_sample(reviews, list(review_ids), review_limit)
         cache = None
         if use_cache:
@@ -108,7 +123,8 @@ def run_job(
     def check_raw() -> dict:
         details = {}
         for name, contract in (("products", RAW_PRODUCTS), ("reviews", RAW_REVIEWS)):
-            failures = contract.failure_counts(data[name])
+            counted = data["checked"].get(f"raw_{name}")
+            failures = contract.failure_counts(data[name]) if counted is None else counted()[1] | contract.absent(data[name])
             details[f"{name} valid"] = not failures
             details.update({f"{name} {column} {check}": n for (column, check), n in failures.items()})
         return details
