@@ -23,6 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfsight.operators import boosting
 from shelfsight.operators.features import feature_names
 from shelfsight.operators.sampling import stratified_folds, uniform_sample
 from shelfsight.session import broadcast_if_small, shared_folder
@@ -187,13 +188,15 @@ def _read_by(estimator: Estimator) -> list[str]:
 def fit(estimator: Estimator, df: DataFrame) -> Model:
     """The fitted model without its training summary; the rows of trees are dealt over enough tasks.
 
-    Rows that have a fold were dealt with it. Others are dealt once and kept on disk while the fit goes over them, as
-    memory is wanted for the trees' own copy.
+    Boosted trees grow over sparse rows (:mod:`.boosting`). Of other trees, rows that have a fold were dealt with it; others
+    are dealt once and kept on disk while the fit goes over them, as memory is wanted for the trees' own copy.
 
     A summary holds on to the session and to all that the session observes, which no task can be sent; a model with one
     stops working once any write of the session has been observed. Saving and loading leaves the summary behind.
     """
     needed = df if isinstance(estimator, Pipeline) else df.select(*_read_by(estimator))
+    if boosting.grows(estimator):
+        return boosting.fit(estimator, needed)
     dealt = spread(needed) if FOLD not in df.columns and "features" in df.columns and _has_trees(estimator) else needed
     if dealt is needed:
         fitted = estimator.fit(needed)
