@@ -41,7 +41,7 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             scheme, rest = path.split(":", 1) if re.match("[a-z0-9]+:/", path) else ("file", path)
             files, name = fs.FileSystem.from_uri(f"{scheme}:{'' if rest.startswith('//') else '//'}{quote(rest, safe='/:@')}")
             digest = hashlib.sha256()
-            with files.open_input_stream(name) as source:
+            with files.open_input_stream(name, compression=None) as source:
                 while piece := source.read(PIECE):
                     digest.update(piece)
             found.append(digest.hexdigest())
